@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, shard
+from . import chat, classify, decontaminate, shard
 from .common import table
 
 
@@ -31,10 +31,22 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.unionByName(more), path), path)
 
 
+def held_out(id_col: str = "doc_id"):
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classify.train(docs, table(spark, sf_dir, "labels").where(~held_out()), label_col="quality")
+    scored = classify.score(docs, model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_proportional_sharding": op7_proportional_sharding,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
