@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, shard
+from . import chat, classify, decontaminate, quality, shard
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.robust_outliers(table(spark, sf_dir, "documents"))
+
+
 def op7_proportional_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = shard.shard_documents(table(spark, sf_dir, "documents"), n_shards=8)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source", "rank")
@@ -44,6 +48,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_quality_rules": op6_quality_rules,
     "op7_proportional_sharding": op7_proportional_sharding,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_classifier": op10_quality_classifier,
