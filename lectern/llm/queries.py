@@ -5,8 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, quality, shard
-from .common import table
+from . import chat, classify, decontaminate, materialise, quality, shard
+from .common import new_path, table
+
+
+def token_rows(spark: SparkSession, docs: DataFrame, seq_len: int = 512, shard_rows: int = 8192) -> DataFrame:
+    """Writes docs as shards in the shared folder and reads every record back."""
+    path = new_path(spark, "shards")
+    if not materialise.write_shards(docs, path, chat.tokenizer_path("byte_bpe_multi_50k.tiktoken"), seq_len, shard_rows):
+        return spark.createDataFrame([], "doc_id long, seq int, slot long, shard long, offset long, n_tokens int, ids_crc32 long")
+    rows = materialise.read_shards(spark, path, seq_len, shard_rows)
+    return rows.select(F.col("doc").alias("doc_id"), "seq", "slot", "shard", "offset", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op4_training_order_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rows(spark, table(spark, sf_dir, "documents"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_training_order_output": op4_training_order_output,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_proportional_sharding": op7_proportional_sharding,
