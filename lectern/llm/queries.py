@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, extract, materialise, quality, shard
+from . import chat, classify, decontaminate, extract, materialise, mix, quality, shard
 from .common import new_path, table
 
 
@@ -13,6 +13,20 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: Domains of the labelled table, and the share of tokens that each should have.
+TARGETS = {"high": 0.85, "low": 0.05, "toxic": 0.10}
+
+
+def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("domain"))
+
+
+def op3_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mix.mix(table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), TARGETS)
+    share = lambda i: F.round(F.get("posteriors", F.lit(i)), 6)
+    return rows.select("doc_id", "tokens", *[share(i).alias(f"p_{d}") for i, d in enumerate(TARGETS)], F.round("rate", 6).alias("rate"), "copies")
+
+
 def token_rows(spark: SparkSession, docs: DataFrame, seq_len: int = 512, shard_rows: int = 8192) -> DataFrame:
     """Writes docs as shards in the shared folder and reads every record back."""
     path = new_path(spark, "shards")
@@ -65,6 +79,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_html_extraction": op2_html_extraction,
+    "op3_mixing_to_targets": op3_mixing_to_targets,
     "op4_training_order_output": op4_training_order_output,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_quality_rules": op6_quality_rules,
