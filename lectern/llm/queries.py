@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, extract, materialise, mix, quality, shard
+from . import chat, classify, decontaminate, extract, materialise, mix, neardup, quality, shard
 from .common import new_path, table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
@@ -78,6 +82,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
     "op3_mixing_to_targets": op3_mixing_to_targets,
     "op4_training_order_output": op4_training_order_output,
@@ -91,6 +96,16 @@ QUERIES = {
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op1_ngram_jaccard_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM w),
+d AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n, s FROM s),
+u AS (SELECT doc_id, n, unnest(s) AS x FROM d),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, d.n AS n_shingles, m.b AS component_id FROM d JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON d.doc_id = m.a""",
     # The pages of these tables mark their article up, and use few character references.
     "op2_html_extraction": r"""
 WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS x FROM pages),
