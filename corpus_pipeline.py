@@ -3,11 +3,68 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
-#: SQL cannot express all stages.
+from lectern.llm import decontaminate, mix, neardup, quality, queries
+from lectern.llm.common import materialise, table
+
+#: Shares of tokens that domains of the labelled table should have (the quality rules have removed the third),
+#: and the tokens in all, as a multiple of what there is. No rate is below one: the shares come about by
+#: repeating documents, and none is lost.
+TARGETS = {"high": 0.93, "toxic": 0.07}
+GROWTH, MIN_RATE = 1.2, 1.0
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but for the rows with these ids; rows without an id stay."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that fail the base rules, and outliers of their language and source."""
+    return _without(docs, quality.robust_outliers(docs).where("not kept"))
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each component of near-duplicates the document of the least id."""
+    return _without(docs, neardup.near_duplicates(docs).where("doc_id <> component_id"))
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    return _without(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).where("size(spans) > 0"))
+
+
+def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document in as many rows as its rate says; most have one."""
+    rows, _ = mix.mix(docs, queries.domain_labels(spark, sf_dir), TARGETS, growth=GROWTH, min_rate=MIN_RATE)
+    other = rows.where("copies <> 1").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
+    copies = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1).cast("long")))
+    out = docs.join(materialise(other, "copies"), "doc_id", "left").where("_copies is null or _copies > 0")
+    return out.select(*docs.columns, F.explode(copies).alias("_copy")).drop("_copy")
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the documents as token shards in training order, and returns every record read back."""
+    return queries.token_rows(spark, docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", ngram_jaccard_join),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("mixing sources to target weights", mixing_to_targets),
+    ("token-ID / binary output", token_output),
+]
+
+#: SQL expresses neither the covariance fits and the rates nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i + 1 < len(STAGES):
+            docs = materialise(docs, "stage")
+    return docs

@@ -119,11 +119,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col:
     return out
 
 
-def fit_rates(rows: DataFrame, shares: list[float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, steps: int = 20, tolerance: float = 1e-3) -> tuple[Column, dict]:
+def fit_rates(rows: DataFrame, shares: list[float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, steps: int = 20, tolerance: float = 1e-3) -> tuple[Column, dict]:
     """The rate as a column of rows (tokens, p0..), and a report.
 
-    budget: expected tokens in all; None: as many as there are; "grow": the least at which no domain has
-    to lose tokens. From rates of one, a step moves each rate by its posteriors times the solution of the
+    budget: expected tokens in all; None: growth times as many as there are; "grow": the least at which no
+    domain has to lose tokens. From rates of one, a step moves each rate by its posteriors times the solution of the
     overlap matrix for what the domains lack, cut to [min_rate, max_rate]; a step that doesn't lower the squared
     error is halved. Stops when all domains are within tolerance of their targets, or after steps.
     """
@@ -151,7 +151,7 @@ def fit_rates(rows: DataFrame, shares: list[float], budget: float | str | None =
         with np.errstate(divide="ignore", invalid="ignore"):
             goal = w * max([x for x in np.where(w > 0, natural / w, 0.0)], default=0.0)
     else:
-        goal = w * (float(natural.sum()) if budget is None else float(budget))
+        goal = w * (growth * float(natural.sum()) if budget is None else float(budget))
     scale = max(float(goal.sum()), 1.0)
     error = lambda a: float((((a - goal) / scale) ** 2).sum())
     size, taken = 1.0, 0
@@ -174,7 +174,7 @@ def fit_rates(rows: DataFrame, shares: list[float], budget: float | str | None =
     return rate, {"goal": goal.tolist(), "reached": total.tolist(), "natural": natural.tolist(), "steps": taken}
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> tuple[DataFrame, dict]:
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> tuple[DataFrame, dict]:
     """Per row: id, tokens, posteriors (array in the order of targets), rate, copies; and a report of totals.
 
     copies is the rate rounded down, and one more for the share of rows that a seeded hash of id and
@@ -183,7 +183,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget:
     """
     domains = list(targets)
     rows = posteriors(docs, labelled, domains, id_col, text_col, domain_col)
-    rate, report = fit_rates(rows, [targets[d] for d in domains], budget, min_rate, max_rate)
+    rate, report = fit_rates(rows, [targets[d] for d in domains], budget, min_rate, max_rate, growth)
     chance = F.pmod(F.xxhash64(F.lit(seed), "k", "tokens"), F.lit(1 << 30)) / float(1 << 30)
     out = rows.withColumn("rate", rate)
     out = out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))

@@ -205,7 +205,8 @@ _LIST = ["token", "v", "n", "level", "ell", "c"]
 
 
 def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Streams the lists, each ordered by v; rows of one token and v may repeat. The first width documents of a
+    """Streams the lists, each ordered by v; rows of one token and v may repeat. Columns but token and v that
+    rows lack are one, and each document is a component. The first width documents of a
     list are centers, and every later one is paired with those of another component. Gives pairs (token null,
     v and c of the center, w and d of the other), and the rows after the centers of lists with two such rows."""
     names = [*_LIST, "w", "d"]
@@ -237,7 +238,10 @@ def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return rows.select(*_LIST).repartition("token").sortWithinPartitions("token", "v").mapInArrow(run, "token long, v long, n int, level int, ell int, c long, w long, d long")
+    dealt = rows.repartition("token")
+    more = {"n": F.lit(1), "level": F.lit(1), "ell": F.lit(1), "c": F.col("v")}
+    dealt = dealt.withColumns({c: x for c, x in more.items() if c not in rows.columns}).select(*_LIST)
+    return dealt.sortWithinPartitions("token", "v").mapInArrow(run, "token long, v long, n int, level int, ell int, c long, w long, d long")
 
 
 #: Bits of the sketch that says which sets are wanted.
@@ -351,33 +355,22 @@ def _release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles and component_id, the least id reachable over links of a Jaccard similarity of
-    percent / 100 or more between sets of 5-word shingles.
+def connect(postings: DataFrame, sets_of, percent: int) -> DataFrame:
+    """v, c: the components of the links among documents that share a list, for every document that has one.
 
-    Fewer than five words: the whole sequence is the one shingle. Null, empty and blank texts have no
-    shingles and are linked with nothing: their component is their own id. Rows with equal sets are in one
-    component whatever their ids; null ids name a component only if it has no other. An empty table gives
-    an empty result. Other columns are not read. Shingles and sets are known by 64-bit hashes.
+    postings: token and v, and n, level and ell where they differ. sets_of(broadcast sketch) gives the sets
+    (v, prefix, ell, z) of the documents wanted; it may give more.
     """
-    spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t"))
-    members = _members(texts, kind)
-    texts = texts.where("length(t) > 0")
-    total = members.agg(F.sum("n")).first()[0] or 0
-    order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
-    _release(spark)
-
+    spark = postings.sparkSession
     width, sets, labels = 1, None, None
-    found = common.materialise(_sweep(_postings(texts, order, percent).withColumn("c", F.col("v")), width, percent), "sweep")
+    found = common.materialise(_sweep(postings, width, percent), "sweep")
     _release(spark)
     while True:
         pairs = found.where("token is null").select("v", "c", "w", "d").distinct()
         lists = found.where("token is not null").select(*_LIST)
         if sets is None:
             wanted = pairs.select("v").union(pairs.select("w")).union(lists.select("v")).distinct()
-            sets = common.materialise(_sets(texts, order, spark.sparkContext.broadcast(_wanted(wanted)), percent), "sets")
+            sets = common.materialise(sets_of(spark.sparkContext.broadcast(_wanted(wanted))), "sets")
             _release(spark)
         batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
@@ -390,17 +383,37 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
             labels = joined
         else:
             kept = labels.join(moved, "c", "left").select("v", F.coalesce("m", "c").alias("c"))
-            old, labels = labels, common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
-            common.discard(old)
+            labels = common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
         lists = lists.join(moved, "c", "left").select("token", "v", "n", "level", "ell", F.coalesce("m", "c").alias("c"))
         lists = common.materialise(lists, "lists")
-        open_ = lists.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-        lists_open = lists.join(open_, "token", "left_semi")
+        mixed = lists.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
         width = min(2 * width, 128)
-        old, found = found, common.materialise(_sweep(lists_open, width, percent), "sweep")
+        old, found = found, common.materialise(_sweep(lists.join(mixed, "token", "left_semi"), width, percent), "sweep")
         common.discard(old, lists)
         if found.isEmpty():
-            break
+            common.discard(sets, found)
+            return labels
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles and component_id, the least id reachable over links of a Jaccard similarity of
+    percent / 100 or more between sets of 5-word shingles.
+
+    Fewer than five words: the whole sequence is the one shingle. Null, empty and blank texts have no
+    shingles and are linked with nothing: their component is their own id. Rows with equal sets are in one
+    component whatever their ids; null ids name a component only if it has no other. An empty table gives
+    an empty result. Other columns are not read. Shingles and sets are known by 64-bit hashes.
+    """
+    spark = docs.sparkSession
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t"))
+    members = _members(texts, kind)
+    texts = texts.where("length(t) > 0")
+    total = members.agg(F.sum("n")).first()[0] or 0
+    order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
+    _release(spark)
+
+    labels = connect(_postings(texts, order, percent), lambda wanted: _sets(texts, order, wanted, percent), percent)
     named = members.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
     least = named.where("c is not null").groupBy("c").agg(F.min("k").alias("least"))
     out = named.join(least, "c", "left")
