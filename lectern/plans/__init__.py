@@ -1 +1,5 @@
+"""Queries over the test tables, and the same in SQL."""
 
+from . import relations, sequences
+
+MODULES = (sequences, relations)
