@@ -10,24 +10,28 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_CHUNKS = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("op", "before", "after")]))
+_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType()), T.StructField("pattern", T.StringType())]))
 
 
 def _fold(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def accent_fold(c: pd.Series) -> pd.Series:
     """NFKD without combining marks."""
     return c.map(_fold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(c: pd.Series) -> pd.Series:
     return c.map(lambda s: unicodedata.normalize("NFC", s).replace("\u00ad", ""), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape_html(c: pd.Series) -> pd.Series:
     return c.map(html.unescape, na_action="ignore")
 
@@ -35,7 +39,7 @@ def unescape_html(c: pd.Series) -> pd.Series:
 def similarity(autojunk: bool = True):
     """Ratcliff-Obershelp ratio; not symmetric, and autojunk matters for long texts."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y, autojunk).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
@@ -45,7 +49,7 @@ def similarity(autojunk: bool = True):
 def diff_chunks(context: int = 80, most: int = 5):
     """The first changes between two texts, each with context."""
 
-    @F.pandas_udf("array<struct<op:string,before:string,after:string>>")
+    @F.pandas_udf(_CHUNKS)
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(a.fillna(""), b.fillna(""), strict=True):
@@ -69,14 +73,14 @@ def strip_command(name: str, keep: bool = False):
             s = s[: m.start()] + (s[m.end() : i - 1] if keep else "") + s[i:]
         return s
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(c: pd.Series) -> pd.Series:
         return c.map(one, na_action="ignore")
 
     return run
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def repair_mojibake(c: pd.Series) -> pd.Series:
     """UTF-8 that was read as Windows-1252, where reading it back works and leaves fewer odd characters."""
 
@@ -128,7 +132,7 @@ def greedy(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(kept)
 
 
-@F.pandas_udf("array<struct<first:int,last:int,pattern:string>>")
+@F.pandas_udf(_SPANS)
 def greedy_matches(texts: pd.Series, patterns: pd.Series) -> pd.Series:
     """Occurrences of a row's patterns in its text, chosen by greedy()."""
     out = []
@@ -154,7 +158,7 @@ def best_lines(words: list[str], lines: int) -> list[str]:
 
 
 def line_breaks(lines: int = 3):
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def run(c: pd.Series) -> pd.Series:
         return c.map(lambda s: best_lines((s or "").split(), lines))
 

@@ -1,5 +1,5 @@
 """Queries over the test tables, and the same in SQL."""
 
-from . import relations, sequences
+from . import relations, sequences, texts
 
-MODULES = (sequences, relations)
+MODULES = (sequences, relations, texts)
