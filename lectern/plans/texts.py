@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import python as P
@@ -33,13 +34,11 @@ def t09_replace_chain(spark, d):
 
 
 def t12_sentence_chunks(spark, d):
-    t = _docs(spark, d).where("n_chars < 3000")
-    return t.select("doc_id", F.posexplode(X.sentence_chunks(F.col("text"), 200)).alias("no", "chunk"))
+    return _docs(spark, d).select("doc_id", F.posexplode(X.sentence_chunks(F.col("text"), 200)).alias("no", "chunk"))
 
 
 def t13_word_chunks(spark, d):
-    t = _docs(spark, d).where("n_chars < 3000")
-    return t.select("doc_id", F.posexplode(X.word_chunks(F.col("text"), 120)).alias("no", "chunk"))
+    return _docs(spark, d).select("doc_id", F.posexplode(X.word_chunks(F.col("text"), 120)).alias("no", "chunk"))
 
 
 def t17_url_tokens(spark, d):
@@ -136,14 +135,14 @@ def c13_clip_start(spark, d):
 
 
 def t03_accent_fold(spark, d):
-    return _docs(spark, d).select("doc_id", P.accent_fold(F.substring("text", 1, 1 << 20)).alias("text")).select("doc_id", F.md5("text").alias("digest"))
+    return _docs(spark, d).select("doc_id", P.accent_fold("text").alias("text")).select("doc_id", F.md5("text").alias("digest"))
 
 
 def _pairs(spark, d):
-    """Documents of one source with equal first words: candidates by an equality join before any ratio."""
-    t = _docs(spark, d).where("n_chars between 40 and 600").select("doc_id", "text", "lang", F.substring_index("text", " ", 2).alias("head"))
-    a, b = t.alias("a"), t.alias("b")
-    return a.join(b, (F.col("a.head") == F.col("b.head")) & (F.col("a.lang") == F.col("b.lang")) & (F.col("a.doc_id") < F.col("b.doc_id"))).select(F.col("a.doc_id").alias("left_id"), F.col("b.doc_id").alias("right_id"), F.col("a.text").alias("x"), F.col("b.text").alias("y"))
+    """Each benchmark item with the next: candidates come from the order of a small table, not from all pairs."""
+    w = Window.orderBy("item_id")
+    t = table(spark, d, "benchmark").select(F.col("item_id").alias("left_id"), F.col("text").alias("x"), F.lead("item_id").over(w).alias("right_id"), F.lead("text").over(w).alias("y"))
+    return t.where("right_id is not null")
 
 
 def t14_similarity(spark, d):
