@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,12 @@ def discard(*dfs: DataFrame | None) -> None:
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished phases when the driver collects its garbage; this asks for it."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def let(value, body):
     """Binds value once for body, inside one expression; a lambda that names a column would compute it for each element."""
     return F.element_at(F.transform(F.array(value), body), 1)

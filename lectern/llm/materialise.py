@@ -1,7 +1,7 @@
 """Token-ID output in training order.
 
-Texts become sequences of a fixed number of token ids. Sequences are numbered 0..N-1 in the order of a
-hash of their document; a keyed Feistel network permutes these numbers, walking its cycle until the
+Texts become sequences of a fixed number of token ids, written once as a table in which each row records the
+partition that wrote it and its place there. These number the sequences 0..N-1; a keyed Feistel network permutes these numbers, walking its cycle until the
 number lies below N, and so gives every sequence a global slot. Sequences are dealt by ranges of slots
 and written as shards in which record i starts at byte i * stride: a reader seeks to any slot, reads on,
 and resumes from a slot number alone.
@@ -17,15 +17,16 @@ import base64
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
 NULL_ID = -(1 << 63)
 HEADER = 16
-CACHE = 150_000
-DOCS_PER_BUCKET = 20_000
+#: Pieces that a worker keeps the ids of. The first ones stay: frequent pieces come early, and rare ones aren't worth a place.
+CACHE = 300_000
 _M64 = (1 << 64) - 1
 
 
@@ -94,9 +95,9 @@ class Pieces(dict):
         self.encode = tiktoken.Encoding("lectern", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        got = self[piece] = np.array(self.encode(piece), "<u2").tobytes()
+        got = np.array(self.encode(piece), "<u2").tobytes()
+        if len(self) < CACHE:
+            self[piece] = got
         return got
 
     def ids(self, text: str) -> bytes:
@@ -116,73 +117,58 @@ def pieces(path: str) -> Pieces:
     return _pieces[path]
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """part, place (0.. in the part), doc, seq, n and ids (zstd) of every sequence, as a table in the shared folder."""
     rows = docs.select(F.col(id_col).cast("long").alias("k"), F.col(text_col).cast("string").alias("t")).where("t is not null and t <> ''")
-    return rows.withColumn("h", F.xxhash64("k", "t")).withColumn("b", F.expr(f"cast(shiftrightunsigned(h, 33) * {buckets} div {1 << 31} as int)"))
+    names = ["part", "place", "doc", "seq", "n", "z"]
 
-
-def assign(docs: DataFrame, tokenizer: str, seq_len: int, key: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """(doc, seq, n, ids as zstd bytes, slot) of every sequence, and their number.
-
-    Two passes over the texts: one counts sequences per hash bucket of documents, the other numbers them.
-    A bucket's documents are ordered by hash, id and text; equal rows are interchangeable.
-    """
-    spark = docs.sparkSession
-    buckets = max(1, -(-docs.count() // DOCS_PER_BUCKET))
-    rows = _rows(docs, id_col, text_col, buckets)
-
-    def count(batches):
-        enc = pieces(tokenizer)
-        for b in batches:
-            n = [-(-(len(enc.ids(t)) // 2 + 1) // seq_len) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["b", "n"])
-
-    per = {r.b: r.n for r in rows.select("b", "t").mapInArrow(count, "b int, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()}  # one number a bucket
-    total, ahead = 0, {}
-    for b in range(buckets):
-        ahead[b], total = total, total + per.get(b, 0)
-    sent = spark.sparkContext.broadcast(ahead)
-
-    def pack(batches):
-        press = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            z = [press.compress(t) for t in b.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(z, pa.binary())], ["b", "h", "k", "z"])
-
-    packed = rows.select("b", "h", "k", F.col("t").cast("binary").alias("t")).mapInArrow(pack, "b int, h long, k long, z binary")
-    packed = packed.repartition("b").sortWithinPartitions("b", "h", "k", "z")
-
-    def number(batches):
-        enc, open_, press = pieces(tokenizer), zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        last, at = None, 0
+    def run(batches):
+        enc, press = pieces(tokenizer), zstandard.ZstdCompressor(level=1)
+        part, place = TaskContext.get().partitionId(), 0
         end = np.array([enc.end], "<u2").tobytes()
         for b in batches:
-            ks, seqs, ns, zs, index = [], [], [], [], []
-            for bucket, k, z in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                if bucket != last:
-                    last, at = bucket, sent.value[bucket]
-                ids = enc.ids(open_.decompress(z).decode("utf-8", "surrogatepass")) + end
+            doc, seq, n, z = [], [], [], []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ids = enc.ids(t) + end
                 for s, i in enumerate(range(0, len(ids), 2 * seq_len)):
-                    part = ids[i : i + 2 * seq_len]
-                    ks.append(k)
-                    seqs.append(s)
-                    ns.append(len(part) // 2)
-                    zs.append(press.compress(part))
-                    index.append(at)
-                    at += 1
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(seqs, pa.int32()), pa.array(ns, pa.int32()), pa.array(zs, pa.binary()), pa.array(permute(np.array(index, np.int64), total, key))], ["doc", "seq", "n", "z", "slot"])
+                    piece = ids[i : i + 2 * seq_len]
+                    doc.append(k)
+                    seq.append(s)
+                    n.append(len(piece) // 2)
+                    z.append(press.compress(piece))
+            at = np.arange(place, place + len(doc), dtype=np.int64)
+            place += len(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(doc), part, np.int32)), pa.array(at), pa.array(doc, pa.int64()), pa.array(seq, pa.int32()), pa.array(n, pa.int32()), pa.array(z, pa.binary())], names)
+
+    return common.materialise(rows.mapInArrow(run, "part int, place long, doc long, seq int, n int, z binary"), "sequences")
+
+
+def assign(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
+    """sequences with their slot, and their number. Only one number a part decides on the order."""
+    counts = sequences.groupBy("part").agg((F.max("place") + 1).alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = common.materialise(counts.select("part", "rows", F.coalesce(before, F.lit(0)).alias("ahead")), "parts")
+    total = parts.agg(F.sum("rows")).first()[0] or 0
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(permute(b.column(0).to_numpy(), total, key))], ["doc", "seq", "n", "z", "slot"])
 
-    return packed.mapInArrow(number, "doc long, seq int, n int, z binary, slot long"), total
+    indexed = sequences.join(parts.select("part", "ahead"), "part").select((F.col("ahead") + F.col("place")).alias("i"), "doc", "seq", "n", "z")
+    return indexed.mapInArrow(run, "doc long, seq int, n int, z binary, slot long"), total
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer: str, seq_len: int = 512, shard_rows: int = 8192, key: int = 20240229, id_col: str = "doc_id", text_col: str = "text") -> int:
+def write_shards(docs: DataFrame, path: str, tokenizer: str, seq_len: int = 512, shard_rows: int = 8192, key: int = 20240229, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> int:
     """Writes path/shard=K/part-* with slots K * shard_rows and on; gives the number of sequences.
 
     A text's ids end with the end id; null and empty texts have no sequence. Spark's committed writers
     write the files, so a lost executor leaves no partial shard. Long texts are many sequences. An empty
-    table writes no shard.
+    table writes no shard. The sequences are read in rounds, each for its share of the shards, so that only a
+    part of them is between map and reduce at a time; after a failure the rounds that are written stay.
     """
-    rows, total = assign(docs, tokenizer, seq_len, key, id_col, text_col)
+    spark = docs.sparkSession
+    sequences = tokenize(docs, tokenizer, seq_len, id_col, text_col)
+    rows, total = assign(sequences, key)
     kind = record_type(seq_len)
 
     def record(batches):
@@ -198,11 +184,17 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, seq_len: int = 512,
             raw = r.tobytes()
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([raw[i : i + kind.itemsize - 1] for i in range(0, len(raw), kind.itemsize)], pa.binary())], ["shard", "value"])
 
+    shards = -(-total // shard_rows)
     dealt = rows.withColumn("shard", F.expr(f"slot div {shard_rows}"))
-    n = max(1, min(-(-total // shard_rows), max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1) * 4))
-    dealt = dealt.repartitionByRange(n, "shard").sortWithinPartitions("shard", "slot")
-    out = dealt.select("shard", "doc", "seq", "n", "z").mapInArrow(record, "shard long, value binary")
-    out.select("shard", F.col("value").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(path)
+    for r in range(min(rounds, shards)):
+        first, last = r * shards // min(rounds, shards), (r + 1) * shards // min(rounds, shards)
+        n = min(last - first, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
+        own = dealt.where((F.col("shard") >= first) & (F.col("shard") < last)).repartitionByRange(n, "shard").sortWithinPartitions("shard", "slot")
+        out = own.select("shard", "doc", "seq", "n", "z").mapInArrow(record, "shard long, value binary")
+        out.select("shard", F.col("value").cast("string").alias("value")).write.mode("append").partitionBy("shard").option("lineSep", "\n").text(path)
+        del own, out
+        common.release(spark)
+    common.discard(sequences)
     return total
 
 
