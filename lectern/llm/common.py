@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,8 +53,10 @@ def discard(*dfs: DataFrame | None) -> None:
 
 def release(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of finished phases when the driver collects its garbage; this asks for it."""
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):  # what the first round frees may hold more
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def let(value, body):
