@@ -6,8 +6,8 @@ n - ceil(t n) + l shingles share at least l; each document takes the l with the
 cost, and a pair needs min(l) shared shingles in the prefixes of that l before its sets are compared.
 
 Links are needed for components only, so a shingle's list of documents is not expanded into all pairs: its
-first document is compared with the others, lists whose documents are in one component are done, and the
-rest goes on with twice as many first documents, until no list holds two components that are not compared.
+first document is compared with the others (short lists in full), lists whose documents are in one component are done, and the
+rest goes on with more first documents, until no list holds two components that are not compared.
 """
 
 from __future__ import annotations
@@ -17,13 +17,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 SHINGLE = 5
-CACHE = 200_000
+#: Words that a worker keeps the hashes of; the first ones stay, for frequent words come early.
+CACHE = 300_000
 #: The sketch that orders shingles: bits of shingles found in two documents or more, and the most frequent
 #: shingles with their counts. Its size is fixed; if it is full, more shingles are treated as frequent or
 #: as shared than need be, which costs time but loses nothing.
@@ -31,14 +32,15 @@ SHARED_BITS, FREQUENT, LEAST_FREQUENT = 1 << 27, 1 << 20, 8
 MAX_MATCHES = 6
 TOKENS_PER_BUCKET = 1 << 21
 _P = np.uint64(0x9E3779B97F4A7C15)
+_FULL = (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(self) < CACHE:
+            self[word] = h
         return h
 
 
@@ -73,15 +75,16 @@ def needed(n: int, percent: int) -> int:
 class Order:
     """The sketch, and the global order of shingles that it gives."""
 
-    def __init__(self, bits: np.ndarray, keys: np.ndarray, counts: np.ndarray):
-        self.bits, self.keys, self.counts = bits, keys, counts
+    def __init__(self, bits: np.ndarray, keys: np.ndarray, counts: np.ndarray, shift: int = 20):
+        """keys: the frequent shingles, sorted, without their last shift bits."""
+        self.bits, self.keys, self.counts, self.shift = bits, keys, counts, np.uint64(shift)
 
     def frequency(self, s: np.ndarray) -> np.ndarray:
         """1: in no other document; 2: perhaps in others; else the count."""
         at = s >> np.uint64(64 - SHARED_BITS.bit_length() + 1)
         f = 1 + ((self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
         if len(self.keys):
-            k = s >> np.uint64(20)
+            k = s >> self.shift
             i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
             f = np.where(self.keys[i] == k, self.counts[i], f)
         return f
@@ -155,7 +158,7 @@ def _order(docs: DataFrame, tokens: int) -> Order:
         bits[(low[n > 1] >> np.uint64(32 - (size.bit_length() - 1))).astype(np.int64)] = 1
         often = np.flatnonzero(n >= LEAST_FREQUENT)
         often = often[np.argsort(-n[often], kind="stable")[:most]]
-        keys = ((np.uint64(at) << np.uint64(32)) | low[often]) << np.uint64(64 - 32 - b) >> np.uint64(20)
+        keys = (np.uint64(at) << np.uint64(32)) | low[often]
         return pa.table({"b": pa.array([at], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), "keys": pa.array([keys.astype("<u8").tobytes()], pa.binary()), "n": pa.array([n[often].astype("<i8").tobytes()], pa.binary())})
 
     rows = docs.select("t").mapInArrow(spread, "b int, z binary").groupBy("b").applyInArrow(count, "b int, bits binary, keys binary, n binary").collect()  # of fixed size in all
@@ -166,17 +169,17 @@ def _order(docs: DataFrame, tokens: int) -> Order:
     keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["keys"], "<u8") for r in rows]])
     n = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r.n, "<i8") for r in rows]])
     keys, first = np.unique(keys, return_index=True)
-    return Order(bits, keys, n[first])
+    return Order(bits, keys, n[first], 32 - b)
 
 
-def _postings(docs: DataFrame, order, percent: int) -> DataFrame:
-    """token, v, n, level (the least l whose prefix holds the token), ell; only tokens that others may have."""
+def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
+    """v, n, ell, base (the length of the prefix for l = 1), and the tokens of the prefix that others may have, with
+    their positions in it. One row for each distinct set."""
 
     def run(batches):
         hashes, rank, seen = _Hashes(), order.value, set()
-        names = ["token", "v", "n", "level", "ell"]
         for b in batches:
-            cols: list[list] = [[], [], [], [], []]
+            out = []
             for t in b.column(0):
                 s = shingles(t.as_py(), hashes)
                 if not len(s):
@@ -190,64 +193,117 @@ def _postings(docs: DataFrame, order, percent: int) -> DataFrame:
                 ell = matches(f, n, percent)
                 base = n - needed(n, percent) + 1
                 at = np.flatnonzero(f[: base + ell - 1] > 1)
-                cols[0].append(s[at].astype(np.int64))
-                cols[1].append(np.full(len(at), v, np.int64))
-                cols[2].append(np.full(len(at), n, np.int32))
-                cols[3].append(np.maximum(1, at - base + 2).astype(np.int32))
-                cols[4].append(np.full(len(at), ell, np.int32))
-            if cols[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
+                if len(at):
+                    out.append((v, n, ell, base, s[at].view(np.int64), at.astype(np.int32)))
+            if out:
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["v", "n", "ell", "base", "tokens", "at"])
+
+    return docs.select("t").mapInArrow(run, "v long, n int, ell int, base int, tokens array<long>, at array<int>").dropDuplicates(["v"])
+
+
+def _postings(prefixes: DataFrame) -> DataFrame:
+    """A row for each token: level is the least l whose prefix holds it, pos its position, before the number of
+    tokens before it that others may have."""
+    rows = prefixes.select("v", "n", "ell", "base", F.posexplode(F.arrays_zip("tokens", "at")).alias("before", "x"))
+    return rows.select(F.col("x.tokens").alias("token"), "v", "n", F.greatest(F.lit(1), F.col("x.at") - F.col("base") + 2).alias("level"), "ell", "before", F.col("x.at").alias("pos"))
 
-    return docs.select("t").mapInArrow(run, "token long, v long, n int, level int, ell int")
 
+def _enough_matches(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """The pairs that share at least min(ell) tokens of their prefixes for that l."""
+    cols = ["ell", "base", "tokens", "at"]
+    for side in ("v", "w"):
+        pairs = pairs.join(prefixes.select(F.col("v").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in cols]), side)
+    ell = F.least("ell_v", "ell_w")
+    cut = lambda side: F.filter(f"tokens_{side}", lambda x, i: F.get(f"at_{side}", i) < F.col(f"base_{side}") + ell - 1)
+    return pairs.where(F.size(F.array_intersect(cut("v"), cut("w"))) >= ell).select("v", "c", "w", "d")
 
-_LIST = ["token", "v", "n", "level", "ell", "c"]
+
+_LIST = ["token", "v", "n", "level", "ell", "before", "pos", "c"]
+
+
+#: A list of so many documents or fewer is compared in full at once.
+SHORT = 8
 
 
 def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Streams the lists, each ordered by v; rows of one token and v may repeat. Columns but token and v that
-    rows lack are one, and each document is a component. The first width documents of a
-    list are centers, and every later one is paired with those of another component. Gives pairs (token null,
-    v and c of the center, w and d of the other), and the rows after the centers of lists with two such rows."""
+    """Streams the lists, documents with few tokens of their own first. Columns but token and v that rows lack
+    have one value, and each document is a component; rows of one token and v may then repeat. All pairs of a
+    short list are paired. Of a longer one the first width documents are centers, and all are paired with
+    those before them. Pairs are of different components, of sizes and positions that allow a link:
+    the overlap is at most what others may have of both before the token, the token, and what follows in
+    both. Gives pairs (token null, v and c, w and d), and the rows after the centers of longer lists."""
     names = [*_LIST, "w", "d"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.int64(), pa.int64(), pa.int64()]
+
+    def pair(out, others, row):
+        _, v, n, level, ell, before, pos, c = row
+        for _, ov, on, olevel, oell, obefore, opos, oc in others:
+            if oc != c and max(olevel, level) <= min(oell, ell) and 100 * min(on, n) >= percent * max(on, n):
+                most = min(before, obefore) + 1 + min(n - pos, on - opos) - 1
+                if (100 + percent) * most >= percent * (n + on):
+                    out.append((None, ov, None, None, None, None, None, oc, v, c))
 
     def run(batches):
-        token, last, centers, rest = None, None, [], None
+        token, last, held, long_ = None, None, [], False
+
+        def close(out):
+            if not long_:
+                for i in range(1, len(held)):
+                    pair(out, held[:i], held[i])
+
+        def batch(out):
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
         for b in batches:
             out: list[tuple] = []
-            for row in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-                t, v, n, level, ell, c = row
-                if t != token:
-                    token, last, centers, rest = t, None, [], None
-                if v == last:
+            t = b.column(0).to_numpy()
+            same = np.r_[True, t[1:] == t[:-1], True]  # the ends of a batch may go on in another
+            for row in zip(*(c.to_pylist() for c in b.filter(pa.array(same[1:] | same[:-1])).columns), strict=True):
+                if row[0] != token:
+                    close(out)
+                    token, last, held, long_ = row[0], None, [], False
+                if row[1] == last:
                     continue
-                last = v
-                for o in centers:
-                    if o[5] != c and max(o[3], level) <= min(o[4], ell) and 100 * min(o[2], n) >= percent * max(o[2], n):
-                        out.append((None, o[1], None, None, None, o[5], v, c))
-                if len(centers) < width:
-                    centers.append(row)
-                elif rest is None:
-                    rest = row
+                last = row[1]
+                if not long_:
+                    held.append(row)
+                    if len(held) > max(SHORT, width):
+                        long_ = True
+                        for i in range(1, len(held)):
+                            pair(out, held[: min(i, width)], held[i])
+                            if i >= width:
+                                out.append((*held[i], None, None))
+                        held = held[:width]
                 else:
-                    if rest:
-                        out.append((*rest, None, None))
-                        rest = ()
+                    pair(out, held, row)
                     out.append((*row, None, None))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                yield batch(out)
+        out = []
+        close(out)
+        if out:
+            yield batch(out)
 
     dealt = rows.repartition("token")
-    more = {"n": F.lit(1), "level": F.lit(1), "ell": F.lit(1), "c": F.col("v")}
+    more = {"n": F.lit(1), "level": F.lit(1), "ell": F.lit(1), "before": F.lit(0), "pos": F.lit(0), "c": F.col("v")}
     dealt = dealt.withColumns({c: x for c, x in more.items() if c not in rows.columns}).select(*_LIST)
-    return dealt.sortWithinPartitions("token", "v").mapInArrow(run, "token long, v long, n int, level int, ell int, c long, w long, d long")
+    dealt = dealt.sortWithinPartitions("token", F.col("pos") - F.col("before"), "v")
+    return dealt.mapInArrow(run, "token long, v long, n int, level int, ell int, before int, pos int, c long, w long, d long")
 
 
 #: Bits of the sketch that says which sets are wanted.
 WANTED_BITS = 1 << 26
 
 
+def is_wanted(bits: np.ndarray, v: int) -> bool:
+    x = v & _FULL  # _mix() of one number
+    x = ((x ^ (x >> 30)) * int(_M1)) & _FULL
+    x = ((x ^ (x >> 27)) * int(_M2)) & _FULL
+    h = (x ^ (x >> 31)) >> (64 - WANTED_BITS.bit_length() + 1)
+    return bool(bits[h >> 3] >> (h & 7) & 1)
+
+
 def _wanted(vertices: DataFrame) -> np.ndarray:
     """A bit for the hash of each vertex, in a sketch of fixed size."""
     b = 10
@@ -270,12 +326,11 @@ def _wanted(vertices: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, order, wanted, percent: int) -> DataFrame:
-    """v, prefix (shingles in the prefix), ell, z (all shingles, rare before frequent, 8 bytes each)."""
+def _sets(docs: DataFrame, wanted) -> DataFrame:
+    """v and z (its shingles, 8 bytes each) of the vertices that the sketch names."""
 
     def run(batches):
-        hashes, rank, bits, seen = _Hashes(), order.value, wanted.value, set()
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        hashes, bits, seen = _Hashes(), wanted.value, set()
         for b in batches:
             out = []
             for t in b.column(0):
@@ -283,47 +338,35 @@ def _sets(docs: DataFrame, order, wanted, percent: int) -> DataFrame:
                 if not len(s):
                     continue
                 v = vertex(s)
-                h = int(_mix(np.array([v], np.int64).view(np.uint64))[0]) >> (64 - WANTED_BITS.bit_length() + 1)
-                if v in seen or not bits[h >> 3] >> (h & 7) & 1:
+                if v in seen or not is_wanted(bits, v):
                     continue
                 if len(seen) < CACHE:
                     seen.add(v)
-                s, f = rank.sort(s)
-                ell = matches(f, len(s), percent)
-                out.append((v, len(s) - needed(len(s), percent) + ell, ell, s.tobytes()))
+                out.append((v, s.tobytes()))
                 if len(out) >= 1000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["v", "prefix", "ell", "z"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["v", "z"])
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["v", "prefix", "ell", "z"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["v", "z"])
 
-    return docs.select("t").mapInArrow(run, "v long, prefix int, ell int, z binary").dropDuplicates(["v"])
+    return docs.select("t").mapInArrow(run, "v long, z binary")
 
 
-def linked(x: np.ndarray, px: int, y: np.ndarray, py: int, ell: int, percent: int) -> bool:
-    """px, py: prefix lengths for ell. First the shared prefix shingles, then the whole sets."""
-    if len(np.intersect1d(x[:px], y[:py], assume_unique=True)) < ell:
-        return False
+def linked(x: bytes, y: bytes, percent: int) -> bool:
+    """x, y: sets of 8-byte shingles."""
+    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The links among pairs (v, c, w, d), as edges (a, b) between components."""
-    one = sets.select(F.col("v"), F.col("prefix").alias("p1"), F.col("ell").alias("l1"), F.col("z").alias("z1"))
-    two = sets.select(F.col("v").alias("w"), F.col("prefix").alias("p2"), F.col("ell").alias("l2"), F.col("z").alias("z2"))
-    both = pairs.join(one, "v").join(two, "w").select("c", "d", "p1", "l1", "z1", "p2", "l2", "z2")
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, same_enough) -> DataFrame:
+    """The links among pairs (v, c, w, d), as edges (a, b) between components, by their whole sets."""
+    both = pairs.join(sets.select("v", F.col("z").alias("x")), "v").join(sets.select(F.col("v").alias("w"), F.col("z").alias("y")), "w").select("c", "d", "x", "y")
 
     def run(batches):
         for b in batches:
-            a, d = b.column(0).to_pylist(), b.column(1).to_pylist()
-            keep = []
-            for i, (p1, l1, z1, p2, l2, z2) in enumerate(zip(*(b.column(j) for j in range(2, 8)), strict=True)):
-                l1, l2 = l1.as_py(), l2.as_py()
-                ell = min(l1, l2)
-                if linked(np.frombuffer(z1.as_buffer(), np.uint64), p1.as_py() - l1 + ell, np.frombuffer(z2.as_buffer(), np.uint64), p2.as_py() - l2 + ell, ell, percent):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([d[i] for i in keep], pa.int64())], ["a", "b"])
+            same = [same_enough(x, y, percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(same, pa.bool_())), b.column(1).filter(pa.array(same, pa.bool_()))], ["a", "b"])
 
     return both.mapInArrow(run, "a long, b long").distinct()
 
@@ -350,48 +393,46 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _release(spark: SparkSession) -> None:
-    """Shuffle files go when the driver's garbage is collected; phases here are long, so ask for it."""
-    spark._jvm.System.gc()
-
-
-def connect(postings: DataFrame, sets_of, percent: int) -> DataFrame:
+def connect(postings: DataFrame, sets_of, percent: int, prefixes: DataFrame | None = None, same_enough=linked) -> DataFrame:
     """v, c: the components of the links among documents that share a list, for every document that has one.
 
-    postings: token and v, and n, level and ell where they differ. sets_of(broadcast sketch) gives the sets
-    (v, prefix, ell, z) of the documents wanted; it may give more.
+    postings: token and v, and n, level and ell where they differ. prefixes: see _enough_matches(). A pair that
+    passes is compared by same_enough() of its z; sets_of(broadcast sketch of the vertices wanted) gives
+    (v, z), and may give more, and rows more than once.
     """
     spark = postings.sparkSession
     width, sets, labels = 1, None, None
     found = common.materialise(_sweep(postings, width, percent), "sweep")
-    _release(spark)
+    common.release(spark)
     while True:
         pairs = found.where("token is null").select("v", "c", "w", "d").distinct()
+        pairs = common.materialise(pairs if prefixes is None else _enough_matches(pairs, prefixes), "pairs")
         lists = found.where("token is not null").select(*_LIST)
-        if sets is None:
+        if sets is None:  # all that a later round may compare is in a longer list now
             wanted = pairs.select("v").union(pairs.select("w")).union(lists.select("v")).distinct()
-            sets = common.materialise(sets_of(spark.sparkContext.broadcast(_wanted(wanted))), "sets")
-            _release(spark)
-        batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
-        try:
-            joined = components(_verify(pairs, sets, percent))
-        finally:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-        moved = joined.select(F.col("v").alias("c"), F.col("c").alias("m"))
-        if labels is None:
-            labels = joined
-        else:
-            kept = labels.join(moved, "c", "left").select("v", F.coalesce("m", "c").alias("c"))
-            labels = common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
-        lists = lists.join(moved, "c", "left").select("token", "v", "n", "level", "ell", F.coalesce("m", "c").alias("c"))
+            sets = common.materialise(sets_of(spark.sparkContext.broadcast(_wanted(wanted))).dropDuplicates(["v"]), "sets")  # a sketch of fixed size
+        old = found
+        if labels is None or not pairs.isEmpty():
+            batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
+            try:
+                joined = components(_verify(pairs, sets, percent, same_enough))
+            finally:
+                spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            common.release(spark)
+            moved = joined.select(F.col("v").alias("c"), F.col("c").alias("m"))
+            if labels is None:
+                labels = joined
+            else:
+                kept = labels.join(moved, "c", "left").select("v", F.coalesce("m", "c").alias("c"))
+                labels = common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
+            lists = lists.join(moved, "c", "left").withColumn("c", F.coalesce("m", "c")).select(*_LIST)
         lists = common.materialise(lists, "lists")
         mixed = lists.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-        width = min(2 * width, 128)
-        old, found = found, common.materialise(_sweep(lists.join(mixed, "token", "left_semi"), width, percent), "sweep")
-        common.discard(old, lists)
+        width = min(4 * width, 1024)
+        found = common.materialise(_sweep(lists.join(mixed, "token", "left_semi"), width, percent), "sweep")
+        common.discard(old, lists, pairs)
         if found.isEmpty():
-            common.discard(sets, found)
             return labels
 
 
@@ -411,9 +452,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     texts = texts.where("length(t) > 0")
     total = members.agg(F.sum("n")).first()[0] or 0
     order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
-    _release(spark)
+    common.release(spark)
 
-    labels = connect(_postings(texts, order, percent), lambda wanted: _sets(texts, order, wanted, percent), percent)
+    prefixes = common.materialise(_prefixes(texts, order, percent), "prefixes")
+    labels = connect(_postings(prefixes), lambda wanted: _sets(texts, wanted), percent, prefixes)
     named = members.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
     least = named.where("c is not null").groupBy("c").agg(F.min("k").alias("least"))
     out = named.join(least, "c", "left")
