@@ -268,3 +268,19 @@ def test_quality_edges(spark):
     got = quality.robust_outliers(spark.createDataFrame(more, "doc_id long, text string, lang string, source string")).collect()
     assert len(got) == len(NULLS) and not any(r.kept for r in got)
     assert quality.robust_outliers(spark.createDataFrame([], "doc_id long, text string, lang string, source string")).collect() == []
+
+
+def test_each_share_rejects_alone_in_a_clean_group(spark):
+    rng = random.Random(6)
+    fresh = lambda n: [f"w{rng.randrange(10**4):04d}" for _ in range(n)]
+    lines = lambda w, n: "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+    rows = [(i, lines(fresh(rng.randrange(300, 500)), 8)) for i in range(120)]
+    few = [f"q{i:04d}" for i in range(20)]
+    rows.append((900, lines([rng.choice(few) for _ in range(400)], 1)))  # one word a line, 95% of the lines seen before
+    again = fresh(90)
+    rows.append((901, lines([*again, *fresh(220), *again], 7)))  # 45% of the words in repeated windows
+    rows.append((902, lines([w + "#" * (i % 8 == 0) for i, w in enumerate(fresh(400))], 8)))  # a symbol in 8 words
+    rows += [(903, lines([*fresh(400), "a", "#"], 8)), (904, lines([*fresh(392), *(w := fresh(8)), *w], 8))]  # a lone symbol, a lone repeated line
+    got = {r.doc_id: r for r in quality.robust_outliers(frame(spark, rows).withColumns({"lang": F.lit("en"), "source": F.lit("s")})).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert got[900].n_dup_lines >= 380 and {k for k, r in got.items() if not r.kept} == {900, 901, 902}
