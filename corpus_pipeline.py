@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import decontaminate, mix, neardup, quality, queries
 from lectern.llm.common import materialise, table
 
-#: Shares of tokens that domains of the labelled table should have (the quality rules have removed the third),
-#: and the tokens in all, as a multiple of what there is. No rate is below one: the shares come about by
-#: repeating documents, and none is lost.
-TARGETS = {"high": 0.93, "toxic": 0.07}
-GROWTH, MIN_RATE = 1.2, 1.0
+#: Shares of tokens that the domains of the labelled table should have, and the tokens in all, as a multiple of
+#: what there is. Rates go from zero up: a domain that is over its share loses documents. What of the low
+#: domain the quality rules have left should go.
+TARGETS = {"high": 0.93, "low": 0.0, "toxic": 0.07}
+GROWTH = 1.2
+#: A domain whose reached share is further from its target is reported as missed.
+TOLERANCE = 0.01
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -36,8 +41,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document in as many rows as its rate says; most have one."""
-    rows, _ = mix.mix(docs, queries.domain_labels(spark, sf_dir), TARGETS, growth=GROWTH, min_rate=MIN_RATE)
+    """Each document in as many rows as its rate says, or in none. Domains are learned from the texts of the
+    whole table, for no labelled document of a domain that the quality rules reject is left in docs."""
+    rows, report = mix.mix(docs, queries.domain_labels(spark, sf_dir), TARGETS, growth=GROWTH, teach=table(spark, sf_dir, "documents"))
+    reached = mix.shares(report, list(TARGETS))
+    print("mixing, shares of tokens:", ", ".join(f"{d} {r:.4f} (target {g:.4f})" for d, (g, r) in reached.items()), file=sys.stderr)
+    missed = [d for d, (g, r) in reached.items() if abs(r - g) > TOLERANCE]
+    if missed:
+        warnings.warn(f"mixing missed the target shares of {', '.join(missed)}", stacklevel=2)
     other = rows.where("copies <> 1").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
     copies = F.sequence(F.lit(1).cast("long"), F.coalesce("_copies", F.lit(1).cast("long")))
     out = docs.join(materialise(other, "copies"), "doc_id", "left").where("_copies is null or _copies > 0")

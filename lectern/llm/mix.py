@@ -90,27 +90,35 @@ def _calibrate(known: DataFrame, k: int, rounds: int = 8, ridge: float = 1.0) ->
     return w
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> DataFrame:
+def _score(rows: DataFrame, model: DataFrame, k: int) -> DataFrame:
+    """k, tokens, n and the sums of evidence s0.. of every row (k, t)."""
+    words = rows.select(F.monotonically_increasing_id().alias("r"), "k", F.regexp_count("t", F.lit(common.WORD)).cast("long").alias("tokens"), _slots(F.col("t")).alias("slots"))
+    words = words.select("r", "k", "tokens", F.size("slots").alias("n"), F.explode_outer("slots").alias("slot")).join(F.broadcast(model), "slot", "left")
+    scored = words.groupBy("r").agg(F.first("k").alias("k"), F.first("tokens").alias("tokens"), F.first("n").alias("n"), *[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)])
+    return scored.drop("r")
+
+
+def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None) -> DataFrame:
     """k (the id), tokens, p0.. (posterior of each domain in domains) for every row.
 
     labelled has an id and a domain; at most MAX_LABELLED of its rows, those with the smallest hash, are
     used, and only their ids and the model, SLOTS rows at most, are broadcast. Null ids and domains outside
     the list are passed over, an id with several domains takes the first in the list's order. Without
-    labelled rows the posteriors are uniform. Texts without tokens have no evidence, only length and variety.
+    labelled rows the posteriors are uniform. teach has the texts of the labelled rows, if docs no longer
+    has all of them: a domain whose rows an earlier stage took out is learned all the same. Texts without tokens have no evidence, only length and variety.
     """
     index = F.create_map(*[x for i, d in enumerate(domains) for x in (F.lit(d), F.lit(i))])
     sample = labelled.select(F.col(id_col).alias("k"), index[F.col(domain_col)].alias("y")).where("k is not null and y is not null")
     sample = common.materialise(sample.groupBy("k").agg(F.min("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(MAX_LABELLED), "labelled")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("k"), text.alias("t"))
-    model = common.materialise(_vocabulary(rows.join(F.broadcast(sample.where(_first_half())), "k").select("y", _slots(F.col("t")).alias("slots")), len(domains)).coalesce(1), "vocabulary")
-
-    words = rows.select(F.monotonically_increasing_id().alias("r"), "k", F.regexp_count("t", F.lit(common.WORD)).cast("long").alias("tokens"), _slots(F.col("t")).alias("slots"))
-    words = words.select("r", "k", "tokens", F.size("slots").alias("n"), F.explode_outer("slots").alias("slot")).join(F.broadcast(model), "slot", "left")
-    scored = words.groupBy("r").agg(F.first("k").alias("k"), F.first("tokens").alias("tokens"), F.first("n").alias("n"), *[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))])
-    scored = common.materialise(scored.drop("r"), "scores")
-
-    w = _calibrate(scored.join(F.broadcast(sample.where(~_first_half())), "k"), len(domains))
+    texts = lambda df: df.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    rows, k = texts(docs), len(domains)
+    known = rows if teach is None else texts(teach)
+    model = common.materialise(_vocabulary(known.join(F.broadcast(sample.where(_first_half())), "k").select("y", _slots(F.col("t")).alias("slots")), k).coalesce(1), "vocabulary")
+
+    scored = common.materialise(_score(rows, model, k), "scores")
+    half = sample.where(~_first_half())
+    known = scored if teach is None else _score(known.join(F.broadcast(half.select("k")), "k", "left_semi"), model, k)
+    w = _calibrate(known.join(F.broadcast(half), "k"), k)
     x = _features(len(domains))
     raw = scored.select("k", "tokens", *[_logistic(_dot(w[i], x)).alias(f"q{i}") for i in range(len(domains))])
     all_ = sum((F.col(f"q{i}") for i in range(len(domains))), F.lit(0.0))
@@ -174,15 +182,21 @@ def fit_rates(rows: DataFrame, shares: list[float], budget: float | str | None =
     return rate, {"goal": goal.tolist(), "reached": total.tolist(), "natural": natural.tolist(), "steps": taken}
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain") -> tuple[DataFrame, dict]:
+def shares(report: dict, domains: list[str]) -> dict[str, tuple[float, float]]:
+    """Of a report of fit_rates(): per domain the share of tokens that was sought, and the expected one."""
+    goal, reached = (np.array(report[c], float) / max(sum(report[c]), 1.0) for c in ("goal", "reached"))
+    return {d: (float(g), float(r)) for d, g, r in zip(domains, goal, reached, strict=True)}
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """Per row: id, tokens, posteriors (array in the order of targets), rate, copies; and a report of totals.
 
     copies is the rate rounded down, and one more for the share of rows that a seeded hash of id and
     tokens gives: their expected totals are those of the rates. Rows without tokens have the prior and
-    a rate of their own, and weigh nothing. An empty table gives an empty result.
+    a rate of their own, and weigh nothing. teach: see posteriors(). An empty table gives an empty result.
     """
     domains = list(targets)
-    rows = posteriors(docs, labelled, domains, id_col, text_col, domain_col)
+    rows = posteriors(docs, labelled, domains, id_col, text_col, domain_col, teach)
     rate, report = fit_rates(rows, [targets[d] for d in domains], budget, min_rate, max_rate, growth)
     chance = F.pmod(F.xxhash64(F.lit(seed), "k", "tokens"), F.lit(1 << 30)) / float(1 << 30)
     out = rows.withColumn("rate", rate)

@@ -218,6 +218,25 @@ def test_mix_edges(spark):
     assert rows.count() == 0
 
 
+def test_pipeline_takes_down_a_large_toxic_source(spark, tmp_path, capsys):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    own = {"high": 0.5, "toxic": 0.35, "low": 0.15}
+    kinds = rng.choices(list(own), list(own.values()), k=900)
+    docs = [(i, " ".join(rng.choice([f"all{rng.randrange(300)}", f"{k}{rng.randrange(60)}"]) for _ in range(rng.randrange(60, 140)))) for i, k in enumerate(kinds)]
+    labels = [(i, 1 if k == "high" else 0, int(k == "toxic")) for i, k in enumerate(kinds) if i % 2]
+    frame(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = frame(spark, [d for d, k in zip(docs, kinds, strict=True) if k != "low" or d[0] % 8 == 0])  # an unlabelled rest of the low ones
+    tokens = collections.Counter()
+    for r in corpus_pipeline.mixing_to_targets(spark, left, str(tmp_path)).collect():
+        tokens[kinds[r.doc_id]] += len(r.text.split())
+    share = {k: n / sum(tokens.values()) for k, n in tokens.items()}
+    assert abs(share["toxic"] - 0.07) < 0.03 and share.get("low", 0) < 0.01
+    assert "toxic 0.0" in capsys.readouterr().err
+
+
 # --- quality rules
 
 
