@@ -1,12 +1,11 @@
-"""HTML extraction with a suffix array per host.
+"""HTML extraction with the repeated strings of each host.
 
 A page becomes blocks of text in page order, each with the zone it stands in: page furniture by markup
 (menus, headers, footers, sidebars, notices, adverts, forms, reader comments), the page's article, or plain
-ground. The token streams of the pages of a host are concatenated and their suffixes sorted by their first
-tokens, up to the length sought; equal suffixes on distinct pages are repeated strings, and the tokens that
-they cover are boilerplate. Furniture goes, and so does covered ground on pages of any kind; the runs of
-ground that no repeated string covers stay. The article of a page that marks one up is its text whether or
-not another page repeats it: repetition alone cannot tell a copied article from a menu.
+ground. Every string of MIN_TOKENS tokens is counted over all pages of its host; those on MIN_PAGES distinct
+pages are repeated, and the tokens that they cover are boilerplate. Furniture goes, and so does covered
+ground; the runs of ground that no repeated string covers stay on pages that mark no article up. The article of a page that marks one up is its
+text whether or not another page repeats it: repetition alone cannot tell a copied article from a menu.
 """
 
 from __future__ import annotations
@@ -16,10 +15,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, neardup
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -37,10 +37,14 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 #: Words of class and id attributes that mark furniture.
 HINTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead comment comments disqus respond replies related recommended share sharing social toolbar pagination pager widget".split())
 GROUND, ARTICLE, AWAY = 0, 1, 2
-#: Repeated strings have at least so many tokens and stand on so many pages; pages are compared in bins of about PAGES_PER_BIN.
+#: Repeated strings have at least so many tokens and stand on so many pages of a host; a task takes bins of about PAGES_PER_BIN.
 MIN_TOKENS, MIN_PAGES, PAGES_PER_BIN = 8, 3, 400
 #: The table of hosts is broadcast up to so many rows, and joined by a shuffle beyond.
 BROADCAST_HOSTS = 50_000
+#: Strings are counted by the bucket that their first bits name, about so many in one; LOW_BYTES more of each travel.
+STRINGS_PER_BUCKET, LOW_BYTES = 1 << 21, 5
+#: A task sorts so many strings at once.
+HELD = 2_000_000
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -164,61 +168,151 @@ def repeated(tokens: np.ndarray, pages: np.ndarray, length: int = MIN_TOKENS, mi
     return np.cumsum(edge[:-1]) > 0
 
 
-def main_texts(pages: list[list[tuple[int, str]]]) -> list[str]:
-    """The main text of each page of one host, from its blocks."""
-    ids: dict[str, int] = {}
-    words = [[b.split(" ") for _, b in page] for page in pages]
-    counts = np.array([sum(map(len, w)) for w in words], np.int64)
-    stream = np.fromiter((ids.setdefault(t, len(ids)) for w in words for b in w for t in b), np.int64, int(counts.sum()))
-    covered = repeated(stream, np.repeat(np.arange(len(pages)), counts))
-    out, at = [], 0
-    for page, split in zip(pages, words, strict=True):
-        marked = any(z == ARTICLE for z, _ in page)
-        kept = []
-        for (zone, text), w in zip(page, split, strict=True):
-            mask = covered[at : at + len(w)]
-            at += len(w)
-            if zone == ARTICLE:
-                kept.append(text)
-            elif zone == GROUND and not marked:
-                run = " ".join(t for t, c in zip(w, mask, strict=True) if not c)
-                if run:
-                    kept.append(run)
-        out.append(" ".join(kept))
-    return out
+class _Hashes(dict):
+    def __missing__(self, token: str) -> int:
+        h = xxhash.xxh64_intdigest(token.encode("utf-8", "surrogatepass"))
+        if len(self) < neardup.CACHE:
+            self[token] = h
+        return h
+
+
+def strings(host: str, tokens: list[str], hashes: dict, length: int = MIN_TOKENS) -> np.ndarray:
+    """A 64-bit hash of host and string for each position at which a string of length tokens starts."""
+    if len(tokens) < length:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    x = np.full(len(h) - length + 1, xxhash.xxh64_intdigest(host.encode("utf-8", "surrogatepass")), np.uint64)
+    for i in range(length):
+        x = x * neardup._P + h[i : i + len(x)]
+    return neardup._mix(x)
+
+
+def _covered(n: int, hit: np.ndarray, length: int = MIN_TOKENS) -> np.ndarray:
+    """Which of n positions lie in a string that starts where hit says."""
+    edge = np.zeros(n + 1, np.int64)
+    at = np.flatnonzero(hit)
+    edge[at] += 1
+    edge[at + length] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _tokens(page: list[tuple[int, str]]) -> list[str]:
+    return [t for _, b in page for t in b.split(" ")]
+
+
+def main_text(page: list[tuple[int, str]], covered: np.ndarray) -> str:
+    """The main text of a page, from its blocks and the tokens that repeated strings cover."""
+    article, ground, at = [], [], 0
+    for zone, text in page:
+        w = text.split(" ")
+        mask = covered[at : at + len(w)]
+        at += len(w)
+        if zone == ARTICLE:
+            article.append(text)
+        elif zone == GROUND and (run := " ".join(t for t, c in zip(w, mask, strict=True) if not c)):
+            ground.append(run)
+    return " ".join(article or ground)
+
+
+def _repeated_strings(pages: DataFrame, b: int) -> DataFrame:
+    """h: the strings that stand on MIN_PAGES pages of a host or more, by the first b + 8 * LOW_BYTES bits of their
+    hashes. A task sorts the strings of its pages, one of a kind for each page, and sends MIN_PAGES of a kind at most, for
+    more decide nothing; so no string of a large host is frequent where it is counted."""
+    keep = np.uint64(8 * LOW_BYTES)
+
+    def spread(batches):
+        hashes, parts, held = _Hashes(), [], 0
+
+        def blobs():
+            x = np.sort(np.concatenate(parts)) >> (np.uint64(64 - b) - keep)
+            more = np.r_[np.zeros(MIN_PAGES, bool), x[MIN_PAGES:] == x[:-MIN_PAGES]] if len(x) > MIN_PAGES else np.zeros(len(x), bool)
+            x = x[~more]
+            cut = np.searchsorted(x, np.arange(1, 1 << b, dtype=np.uint64) << keep)
+            low = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW_BYTES]
+            found = [(i, p.tobytes()) for i, p in enumerate(np.split(low, cut)) if len(p)]
+            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int32()), pa.array([p for _, p in found], pa.binary())], ["b", "z"])
+
+        for batch in batches:
+            for host, html in zip(batch.column(0), batch.column(1), strict=True):
+                parts.append(np.unique(strings(host.as_py(), _tokens(blocks(html.as_py())), hashes)))
+                held += len(parts[-1])
+                if held >= HELD:
+                    yield blobs()
+                    parts, held = [], 0
+        if held:
+            yield blobs()
+
+    def count(table: pa.Table) -> pa.Table:
+        low = np.concatenate([np.frombuffer(z.as_py(), np.uint8).reshape(-1, LOW_BYTES) for z in table.column("z")])
+        x = np.zeros((len(low), 8), np.uint8)
+        x[:, :LOW_BYTES] = low
+        x = np.sort(x.view("<u8").ravel())
+        edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+        x = x[edge][np.diff(np.r_[edge, len(x)]) >= MIN_PAGES]
+        return pa.table({"h": pa.array((x | np.uint64(table.column("b")[0].as_py()) << keep).view(np.int64))})
+
+    return pages.select("host", "html").mapInArrow(spread, "b int, z binary").groupBy("b").applyInArrow(count, "h long")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """id, url and text of every row, "" if none.
 
-    Pages of a host are compared in bins of about PAGES_PER_BIN, chosen by a hash of the row, so that a host
-    with any number of pages is spread over tasks and a bin fits in memory; a string that a whole host
-    repeats is repeated in each of its bins. Rows without a url share the empty host. Null or empty html
+    Strings are counted over all pages of a host, however many. Then bins of about PAGES_PER_BIN pages of a host,
+    chosen by a hash of the row, learn which of their strings are repeated: only those that a sketch of fixed size
+    names are sent to be looked up. Pages are parsed anew in each of the three passes, for their texts are
+    nearly as large as the input. Rows without a url share the empty host. Null or empty html
     has no text. Repeated rows are pages of their own. Other columns are not read.
     """
+    spark = pages.sparkSession
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
     rows = rows.withColumn("host", host)
-    sizes = common.materialise(rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PAGES_PER_BIN).alias("bins")), "hosts")
+    sizes = common.materialise(rows.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / PAGES_PER_BIN).alias("bins"), F.sum(F.length("html")).alias("size")), "hosts")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    b = max(8, min(16, (total // 6 // STRINGS_PER_BUCKET).bit_length()))  # a token and its space have 6 characters or so
+    shift = np.uint64(64 - b - 8 * LOW_BYTES)
+    often = common.materialise(_repeated_strings(rows, b), "strings")
+    common.release(spark)
+    sketch = spark.sparkContext.broadcast(neardup._wanted(often.select(F.col("h").alias("v"))))  # of fixed size
+
+    few = sizes.count() <= BROADCAST_HOSTS
+    bins = sizes.select("host", "bins")
+    binned = rows.join(F.broadcast(bins) if few else bins, "host").withColumn("bin", F.xxhash64("host", F.pmod(F.xxhash64("id", "url"), F.col("bins")))).select("id", "url", "html", "host", "bin")
+
+    def look_up(batches):
+        hashes, bits = _Hashes(), sketch.value
+        for batch in batches:
+            seen: dict[int, list[np.ndarray]] = {}
+            for html, host, bin_ in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True):
+                x = np.unique(strings(host, _tokens(blocks(html)), hashes)) >> shift
+                at = neardup._mix(x) >> np.uint64(64 - neardup.WANTED_BITS.bit_length() + 1)
+                seen.setdefault(bin_, []).append(x[(bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1])
+            found = [(k, np.unique(np.concatenate(v))) for k, v in seen.items()]
+            k = np.repeat(np.array([k for k, _ in found], np.int64), [len(v) for _, v in found])
+            h = np.concatenate([np.zeros(0, np.uint64), *[v for _, v in found]])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(h.view(np.int64))], ["bin", "h"])
+
+    hits = common.materialise(binned.mapInArrow(look_up, "bin long, h long").join(often, "h").select("bin", "h"), "hits")
+    common.release(spark)
 
     def parse(batches):
-        for b in batches:
-            found = [blocks(h) for h in b.column(2).to_pylist()]
+        for batch in batches:
+            found = [blocks(h) for h in batch.column(2).to_pylist()]
             z = pa.array([[z for z, _ in f] for f in found], pa.list_(pa.int8()))
             t = pa.array([[t for _, t in f] for f in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), z, t], ["id", "url", "host", "zones", "texts"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), batch.column(4), z, t], ["id", "url", "host", "bin", "zones", "texts"])
 
-    parsed = rows.select("id", "url", "html", "host").mapInArrow(parse, f"id {kinds['id']}, url {kinds['url']}, host string, zones array<tinyint>, texts array<string>")
-    few = sizes.count() <= BROADCAST_HOSTS
-    binned = parsed.join(F.broadcast(sizes) if few else sizes, "host").withColumn("bin", F.pmod(F.xxhash64("id", "url"), F.col("bins"))).drop("bins")
-    if not few:  # else the groups would stay where the join left them, a host in one task
-        binned = binned.repartition("host", "bin")
+    parsed = binned.mapInArrow(parse, f"id {kinds['id']}, url {kinds['url']}, host string, bin long, zones array<tinyint>, texts array<string>")
 
-    def clean(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
-        found = [list(zip(z, x, strict=True)) for z, x in zip(t.column("zones").to_pylist(), t.column("texts").to_pylist(), strict=True)]
-        return pa.table({"id": t.column("id"), "url": t.column("url"), "text": pa.array(main_texts(found), pa.string())})
+    def clean(t: pa.Table, found: pa.Table) -> pa.Table:
+        hashes, texts = _Hashes(), []
+        repeats = np.sort(found.column("h").to_numpy().view(np.uint64))
+        for host, zones, parts in zip(*(t.column(c).to_pylist() for c in ("host", "zones", "texts")), strict=True):
+            page = list(zip(zones, parts, strict=True))
+            tokens = _tokens(page)
+            texts.append(main_text(page, _covered(len(tokens), np.isin(strings(host, tokens, hashes) >> shift, repeats))))
+        return pa.table({"id": t.column("id"), "url": t.column("url"), "text": pa.array(texts, pa.string())})
 
-    out = binned.groupBy("host", "bin").applyInArrow(clean, f"id {kinds['id']}, url {kinds['url']}, text string")
+    out = parsed.groupBy("bin").cogroup(hits.groupBy("bin")).applyInArrow(clean, f"id {kinds['id']}, url {kinds['url']}, text string")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

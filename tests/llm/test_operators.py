@@ -59,6 +59,30 @@ def test_ground_keeps_unique_runs(spark):
     assert extract.extract_main_text(df.limit(0)).collect() == []
 
 
+def test_repeats_are_counted_over_the_whole_host(spark, monkeypatch):
+    rng = random.Random(5)
+    notice = [" ".join(f"n{k}w{i}" for i in range(9)) for k in range(12)]
+    own = lambda i: " ".join(f"p{i}t{j}" for j in range(rng.randrange(3, 12)))
+    texts = {i: [own(i), *([notice[i % 40]] if i % 40 < 12 else []), own(-i - 1)] for i in range(120)}  # each notice on three pages of 120
+    texts |= {i: [own(i), notice[0] + " x"] for i in range(500, 502)}  # two of another host
+    rows = [(i, f"http://{'h' if i < 500 else 'other'}.example/{i}", "".join(f"<div>{t}</div>" for t in x)) for i, x in texts.items()]
+    monkeypatch.setattr(extract, "PAGES_PER_BIN", 4)
+    monkeypatch.setattr(extract, "HELD", 50)
+    got = {r.page_id: r.text for r in extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+    assert got == {i: " ".join(t for t in x if i >= 500 or t not in notice) for i, x in texts.items()}
+
+
+def test_strings_cover_as_the_suffix_array_does():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        tokens, pages = rng.integers(0, 2, 200), np.sort(rng.integers(0, 5, 200))
+        split = [[str(t) for t in tokens[pages == p]] for p in range(5)]
+        found = [extract.strings("h", s, extract._Hashes()) for s in split]
+        counts = collections.Counter(h for f in found for h in set(f.tolist()))
+        covered = [extract._covered(len(s), np.array([counts[h] >= 3 for h in f.tolist()], bool)) for s, f in zip(split, found, strict=True)]
+        assert (np.concatenate(covered) == extract.repeated(tokens, pages)).all()
+
+
 # --- decontamination
 
 
