@@ -4,7 +4,8 @@ A page becomes blocks of text in page order, each with the zone it stands in: pa
 (menus, headers, footers, sidebars, notices, adverts, forms, reader comments), the page's article, or plain
 ground. Every string of MIN_TOKENS tokens is counted over all pages of its host; those on MIN_PAGES distinct
 pages are repeated, and the tokens that they cover are boilerplate. Furniture goes, and so does covered
-ground; the runs of ground that no repeated string covers stay on pages that mark no article up. The article of a page that marks one up is its
+ground; the runs of ground that no repeated string covers stay on pages that mark no article up, and on
+those whose ground holds more of such text than their articles do. The article of a page that marks one up is its
 text whether or not another page repeats it: repetition alone cannot tell a copied article from a menu.
 """
 
@@ -203,15 +204,24 @@ def _tokens(page: list[tuple[int, str]]) -> list[str]:
 def main_text(page: list[tuple[int, str]], covered: np.ndarray) -> str:
     """The main text of a page, from its blocks and the tokens that repeated strings cover."""
     article, ground, at = [], [], 0
+    own = {ARTICLE: 0, GROUND: 0}
+    both = []
     for zone, text in page:
         w = text.split(" ")
         mask = covered[at : at + len(w)]
         at += len(w)
+        if zone == AWAY:
+            continue
+        own[zone] += int((~mask).sum())
         if zone == ARTICLE:
             article.append(text)
-        elif zone == GROUND and (run := " ".join(t for t, c in zip(w, mask, strict=True) if not c)):
+            both.append(text)
+        elif run := " ".join(t for t, c in zip(w, mask, strict=True) if not c):
             ground.append(run)
-    return " ".join(article or ground)
+            both.append(run)
+    if not article:
+        return " ".join(ground)
+    return " ".join(both if own[GROUND] > own[ARTICLE] else article)
 
 
 def _repeated_strings(pages: DataFrame, b: int) -> DataFrame:

@@ -72,6 +72,14 @@ def test_repeats_are_counted_over_the_whole_host(spark, monkeypatch):
     assert got == {i: " ".join(t for t in x if i >= 500 or t not in notice) for i, x in texts.items()}
 
 
+def test_text_beside_teaser_articles_is_kept(spark):
+    card = "<article><h3>more news</h3></article>"
+    long_ = "the own long text of this page stands in a plain box"
+    rows = [(1, "http://a.example/1", f"<div>{long_}</div>{card}"), (2, "http://a.example/2", f"<article>{long_}</article><div>short rest</div>")]
+    got = {r.page_id: r.text for r in extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: f"{long_} more news", 2: long_}
+
+
 def test_strings_cover_as_the_suffix_array_does():
     rng = np.random.default_rng(4)
     for _ in range(20):
