@@ -5,7 +5,7 @@ vertex. Shingles have a global order, rare before frequent. If two sets overlap
 n - ceil(t n) + l shingles share at least l; each document takes the l with the least estimated candidate
 cost, and a pair needs min(l) shared shingles in the prefixes of that l before its sets are compared.
 
-Links are needed for components only, so a shingle's list of documents is not expanded into all pairs: its
+links() gives every link. near_duplicates() needs them for components only, so there a shingle's list of documents is not expanded into all pairs: its
 first document is compared with the others (short lists in full), lists whose documents are in one component are done, and the
 rest goes on with more first documents, until no list holds two components that are not compared.
 """
@@ -436,6 +436,53 @@ def connect(postings: DataFrame, sets_of, percent: int, prefixes: DataFrame | No
             return labels
 
 
+def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFrame:
+    """v, w (v < w) and overlap: every link between distinct sets, by their names, and how many shingles both hold.
+
+    No pair is passed over because its sets are in one component already: the pairs of a large group of near
+    copies are all compared, and so the cost grows with the number of links. Texts are as in near_duplicates().
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(text_col).cast("binary").alias("t")).where("length(t) > 0")
+    total = _members(texts.select(F.lit(0).alias("k"), "t"), "int").agg(F.sum("n")).first()[0] or 0
+    order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
+    prefixes = common.materialise(_prefixes(texts, order, percent), "prefixes")
+    side = lambda s: _postings(prefixes).select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("v", "n", "level", "ell", "before", "pos")])
+    both = side("v").join(side("w"), "token").where("v_v < v_w")
+    both = both.where((F.greatest("level_v", "level_w") <= F.least("ell_v", "ell_w")) & (100 * F.least("n_v", "n_w") >= percent * F.greatest("n_v", "n_w")))
+    most = F.least("before_v", "before_w") + F.least(F.col("n_v") - F.col("pos_v"), F.col("n_w") - F.col("pos_w"))
+    pairs = both.where((100 + percent) * most >= percent * (F.col("n_v") + F.col("n_w"))).select(F.col("v_v").alias("v"), F.col("v_w").alias("w")).distinct()
+    pairs = common.materialise(_enough_matches(pairs.withColumns({"c": F.col("v"), "d": F.col("w")}), prefixes).select("v", "w"), "pairs")
+    wanted = spark.sparkContext.broadcast(_wanted(pairs.select("v").union(pairs.select("w")).distinct()))  # of fixed size
+    sets = common.materialise(_sets(texts, wanted).dropDuplicates(["v"]), "sets")
+    sized = pairs.join(sets.select("v", F.col("z").alias("x")), "v").join(sets.select(F.col("v").alias("w"), F.col("z").alias("y")), "w").select("v", "w", "x", "y")
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for v, w, x, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                overlap = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                if 100 * overlap >= percent * ((len(x) + len(y)) // 8 - overlap):
+                    rows.append((v, w, overlap))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["v", "w", "overlap"])
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    batch = spark.conf.get(name)
+    spark.conf.set(name, "256")
+    try:
+        return common.materialise(sized.mapInArrow(run, "v long, w long, overlap long"), "links")
+    finally:
+        spark.conf.set(name, batch)
+
+
+def link_counts(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, v (the name of its set, null if it has none) and n_links, the number of distinct other sets that
+    its set is linked with by found, the table of links()."""
+    members = _members(docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t")), docs.schema[id_col].dataType.simpleString())
+    ends = found.select("v").unionAll(found.select(F.col("w").alias("v"))).groupBy("v").agg(F.count(F.lit(1)).alias("n_links"))
+    return members.join(ends, "v", "left").select(F.col("k").alias(id_col), "v", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles and component_id, the least id reachable over links of a Jaccard similarity of
     percent / 100 or more between sets of 5-word shingles.
