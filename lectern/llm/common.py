@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -16,10 +17,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only if it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, set here only if it is unset, and only
+    where driver and executors are one process. On a cluster without it there is no such folder: an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext.getCheckpointDir()
+        if not current and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = current or "file://" + tempfile.mkdtemp(prefix="lectern-")
         if not current:
             spark.sparkContext.setCheckpointDir(root)
@@ -46,9 +50,39 @@ def discard(*dfs: DataFrame | None) -> None:
     for df in dfs:
         path = getattr(df, "_lectern_path", None)
         if path:
-            jvm = df.sparkSession._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            p, fs = _file(df.sparkSession, path)
+            fs.delete(p, True)
+
+
+def _file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file(spark, path)
+    return bool(fs.exists(p))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text; None if there is none."""
+    p, fs = _file(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _file(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
 def release(spark: SparkSession) -> None:

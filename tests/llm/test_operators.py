@@ -222,8 +222,58 @@ def test_token_round_trip(spark):
         assert ids == [*enc.encode(t), enc.end]
 
 
+def test_word_cache_is_exact(monkeypatch):
+    monkeypatch.setattr(materialise, "CACHE", 5)
+    enc = materialise.Pieces(chat.tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+    texts = ["a b c d e f g", "x\ny \nz w\u00a0 v \u00a0u", "it's  two", " lead", "a's 12ab ,, \t q\n\n r", "é ü €uro 漢字 かな", "one", "a\r\n b\t c"]
+    for _ in range(2):
+        assert enc.ids(texts) == [np.array(enc.encode(t), "<u2").tobytes() for t in texts]
+    assert len(enc) == 5
+
+
+def shard_rows_by_hand(docs, enc, seq_len, bucket_chars, key, spark):
+    """(slot, doc, seq, ids) of every sequence: rows in order of bucket, hash, id and text, numbered and permuted."""
+    rows = [(k, t) for k, t in docs if t]
+    buckets = max(1, -(-sum(len(t) for _, t in rows) // bucket_chars))
+    hashed = [(r.h, r.k, r.t) for r in spark.createDataFrame(rows, "k long, t string").select("k", "t", F.xxhash64("k", "t").alias("h")).collect()]
+    out = []
+    for _, _, k, t in sorted((h % buckets, h, (k is not None, k or 0), t) for h, k, t in hashed):
+        ids = [*enc.encode(t), enc.end]
+        out += [(k[1] if k[0] else None, s, ids[i : i + seq_len]) for s, i in enumerate(range(0, len(ids), seq_len))]
+    slots = materialise.permute(np.arange(len(out)), len(out), key)
+    return sorted((int(s), *map(str, r)) for s, r in zip(slots, out, strict=True))
+
+
+def shard_files(spark, where):
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(where).select("path", "content").collect()
+    return {r.path.rsplit("shard=", 1)[1].split("/")[0]: bytes(r.content) for r in files}
+
+
+def test_order_depends_on_rows_alone_and_writing_resumes(spark):
+    path, rng = chat.tokenizer_path("byte_bpe_multi_50k.tiktoken"), random.Random(3)
+    docs = [*NULLS, *[(100 + i, " ".join(rng.choice(["ab", "cd", "\n", "efg"]) for _ in range(rng.randrange(1, 90))).strip()) for i in range(60)]]
+    write = lambda df, where, **more: materialise.write_shards(df, where, path, seq_len=16, shard_rows=50, rounds=3, bucket_chars=2000, **more)
+    one, seven = common.new_path(spark, "one"), common.new_path(spark, "seven")
+    total = write(frame(spark, docs).coalesce(1), one)
+    assert write(frame(spark, docs[::-1]).repartition(7), seven) == total
+    assert shard_files(spark, one) == shard_files(spark, seven) and len(shard_files(spark, one)) == -(-total // 50)
+    got = sorted((r.slot, str(r.doc), str(r.seq), str(np.frombuffer(r.ids, "<u2").tolist())) for r in materialise.read_shards(spark, one, 16, 50).collect())
+    assert got == shard_rows_by_hand(docs, materialise.pieces(path), 16, 2000, 20240229, spark)
+    before = shard_files(spark, one)
+    p, fs = common._file(spark, f"{one}/round=1")
+    fs.delete(p, True)  # a round that was not committed
+    kept = {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{one}/round=0").collect()}
+    write(frame(spark, docs), one)
+    assert shard_files(spark, one) == before
+    assert kept == {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{one}/round=0").collect()}
+    with pytest.raises(ValueError):
+        write(frame(spark, docs), one, key=5)
+    assert write(frame(spark, []), common.new_path(spark, "none")) == 0
+
+
 def test_token_output_of_nothing(spark):
     assert queries.token_rows(spark, frame(spark, [(1, None)])).collect() == []
+    assert queries.token_rows(spark, frame(spark, [])).collect() == []
 
 
 # --- mixing
