@@ -3,8 +3,9 @@
 Statistics of a text are transformed and, per language and source, fitted with a robust mean and
 covariance: from three deterministic starts, concentration steps keep the share ALPHA of rows with the
 smallest Mahalanobis distance, the start with the smallest determinant wins, and a reweighting step follows.
-A row is rejected when its squared distance exceeds a limit. All group figures are aggregates with
-partial sums; the rows of a group never meet in one task.
+A row is rejected when its squared distance exceeds a limit. A pass over the rows is one aggregate with partial
+sums by group and bucket of distance; a bucket's sums are kept or left as a whole. Models are broadcast up to a
+number of groups, and beyond it joined by group and salt: the rows of a group never meet in one task.
 """
 
 from __future__ import annotations
@@ -28,6 +29,10 @@ STATISTICS = {"z_words": 0.5, "z_word_length": 0.12, "z_symbols": 0.063, "z_dup_
 STEPS_PER_OCTAVE = 16
 #: A group of fewer rows is fitted with its language, and that, if small, with all rows.
 MIN_GROUP = 60
+#: Models of so many groups, about a kilobyte each, are broadcast; beyond, rows of a group are dealt by SALTS.
+BROADCAST_GROUPS, SALTS = 10_000, 64
+#: Tasks that write a table of groups.
+MODEL_TASKS = 8
 P = len(STATISTICS)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
@@ -84,12 +89,11 @@ def _group_key(*cols: str) -> Column:
     return F.to_json(F.array(*[F.col(c).cast("string") for c in cols]))
 
 
-def _sums(weight: Column) -> list[Column]:
-    """Count, sums and sums of products of the rows that weight selects."""
+def _products() -> list[Column]:
+    """Count, sums and sums of products of z."""
     x = [F.get("z", i) for i in range(P)]
-    out = [F.sum(F.when(weight, 1).otherwise(0)).cast("double").alias("n")]
-    out += [F.sum(F.when(weight, x[i])).alias(f"s{i}") for i in range(P)]
-    return out + [F.sum(F.when(weight, x[i] * x[j])).alias(f"q{i}{j}") for i, j in PAIRS]
+    out = [F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(P)]]
+    return out + [F.sum(x[i] * x[j]).alias(f"q{i}{j}") for i, j in PAIRS]
 
 
 def _fit(sums: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,8 +101,8 @@ def _fit(sums: DataFrame, keys: list[str]) -> DataFrame:
     refer to columns of the one before."""
     n = F.greatest(F.col("n"), F.lit(1.0))
     floors = list(STATISTICS.values())
-    df = sums.select(*keys, "n", *[F.coalesce(F.col(f"s{i}") / n, F.lit(0.0)).alias(f"m{i}") for i in range(P)], *[F.coalesce(F.col(f"q{i}{j}") / n, F.lit(0.0)).alias(f"q{i}{j}") for i, j in PAIRS])
-    df = df.select(*keys, "n", *[f"m{i}" for i in range(P)], *[(F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") + (floors[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
+    df = sums.select(*keys, *[(F.col(f"s{i}") / n).alias(f"m{i}") for i in range(P)], *[(F.col(f"q{i}{j}") / n).alias(f"q{i}{j}") for i, j in PAIRS])
+    df = df.select(*keys, *[f"m{i}" for i in range(P)], *[(F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}") + (floors[i] ** 2 if i == j else 0.0)).alias(f"c{i}{j}") for i, j in PAIRS])
     return _factor(df, keys)
 
 
@@ -110,13 +114,13 @@ def _factor(df: DataFrame, keys: list[str]) -> DataFrame:
     df = df.withColumns({f"v{i}{i}": 1.0 / F.col(f"l{i}{i}") for i in range(P)})
     for d in range(1, P):
         df = df.withColumns({f"v{i}{i - d}": -sum((F.col(f"l{i}{k}") * F.col(f"v{k}{i - d}") for k in range(i - d, i)), F.lit(0.0)) / F.col(f"l{i}{i}") for i in range(d, P)})
-    return df.select(*keys, "n", F.array(*[F.col(f"m{i}") for i in range(P)]).alias("center"), F.array(*[F.col(f"v{i}{j}") for i, j in PAIRS]).alias("inv"), (2 * sum((F.log(F.col(f"l{i}{i}")) for i in range(P)), F.lit(0.0))).alias("log_det"))
+    return df.select(*keys, F.array(*[F.col(f"m{i}") for i in range(P)]).alias("center"), F.array(*[F.col(f"v{i}{j}") for i, j in PAIRS]).alias("inv"), (2 * sum((F.log(F.col(f"l{i}{i}")) for i in range(P)), F.lit(0.0))).alias("log_det"))
 
 
-def _distance() -> Column:
+def _distance(z: Column, model: Column) -> Column:
     at = {p: k for k, p in enumerate(PAIRS)}
-    d = [F.get("z", j) - F.get("center", j) for j in range(P)]
-    y = [sum((F.get("inv", at[i, j]) * d[j] for j in range(i + 1)), F.lit(0.0)) for i in range(P)]
+    d = [F.get(z, F.lit(j)) - F.get(model["center"], F.lit(j)) for j in range(P)]
+    y = [sum((F.get(model["inv"], F.lit(at[i, j])) * d[j] for j in range(i + 1)), F.lit(0.0)) for i in range(P)]
     return sum((v * v for v in y), F.lit(0.0))
 
 
@@ -124,91 +128,135 @@ def _bucket(d2: Column) -> Column:
     return F.floor(F.log2(F.greatest(d2, F.lit(2.0**-20))) * STEPS_PER_OCTAVE).cast("int")
 
 
-def _order_statistic(scored: DataFrame, keys: list[str], share: float, name: str) -> DataFrame:
-    """Per key the upper edge of the bucket in which the share of its rows is reached."""
-    counts = scored.groupBy(*keys, _bucket(F.col("d2")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+def _with_model(rows: DataFrame, model: DataFrame, groups: int, how: str = "inner") -> DataFrame:
+    """rows with the columns of model, one row for each of so many groups g."""
+    if groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(model), "g", how)
+    salted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    copies = model.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, ["g", "_salt"], how).drop("_salt")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return common.materialise(df.coalesce(MODEL_TASKS), "mcd")
+
+
+def _before(keys: list[str]) -> tuple[Column, Column]:
+    """Of buckets b with n rows: the rows in the buckets before, and in all."""
     w = Window.partitionBy(*keys)
-    counts = counts.withColumn("upto", F.sum("n").over(w.orderBy("b"))).withColumn("all", F.sum("n").over(w))
-    edge = F.pow(F.lit(2.0), (F.col("b") + 1) / STEPS_PER_OCTAVE)
-    return counts.where(F.col("upto") >= share * F.col("all")).groupBy(*keys).agg(F.min(edge).alias(name))
+    return F.coalesce(F.sum("n").over(w.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)), F.sum("n").over(w)
+
+
+def _added(bins: DataFrame, keys: list[str]) -> DataFrame:
+    names = ["n", *[f"s{i}" for i in range(P)], *[f"q{i}{j}" for i, j in PAIRS]]
+    return bins.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, groups: int) -> DataFrame:
     """Three starts per group around medians: quartile spreads alone, the correlation of tanh scores, and
     the spatial-sign covariance. Medians and spreads are exact to 1/256, from histograms."""
-    long = rows.select("g", F.posexplode("z").alias("i", "x")).groupBy("g", "i", F.floor(F.col("x") * 256).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("g", "i")
-    long = long.withColumn("upto", F.sum("n").over(w.orderBy("b"))).withColumn("all", F.sum("n").over(w))
+    long = rows.select("g", F.posexplode("z").alias("i", "x")).groupBy("g", "i", F.floor(F.col("x") * 256).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    before, all_ = _before(["g", "i"])
+    long = long.withColumn("upto", before + F.col("n")).withColumn("all", all_)
     at = lambda share: F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("b") / 256.0))
     per = long.groupBy("g", "i").agg(at(0.5).alias("mid"), ((at(0.75) - at(0.25)) / 1.349).alias("spread"))
     floors = F.get(F.array(*[F.lit(v) for v in STATISTICS.values()]), F.col("i"))
     per = per.withColumn("spread", F.greatest(F.col("spread"), floors))
     pick = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c)))
-    med = per.groupBy("g").agg(F.array(*[pick("mid", i) for i in range(P)]).alias("mid"), F.array(*[pick("spread", i) for i in range(P)]).alias("spread"))
-    u = rows.join(med, "g").withColumn("u", F.zip_with(F.zip_with("z", "mid", lambda a, b: a - b), "spread", lambda a, s: a / s))
-    u = u.withColumn("norm", F.sqrt(F.greatest(F.aggregate("u", F.lit(0.0), lambda a, x: a + x * x), F.lit(1e-12))))
-    x = [F.get("u", i) for i in range(P)]
-    sums = u.groupBy("g").agg(F.count(F.lit(1)).cast("double").alias("n"), F.first("mid").alias("mid"), F.first("spread").alias("spread"), *[F.sum(F.tanh(x[i]) * F.tanh(x[j])).alias(f"t{i}{j}") for i, j in PAIRS], *[F.sum(x[i] * x[j] / F.col("norm") / F.col("norm")).alias(f"p{i}{j}") for i, j in PAIRS])
+    med = _small(per.groupBy("g").agg(F.array(*[pick("mid", i) for i in range(P)]).alias("mid"), F.array(*[pick("spread", i) for i in range(P)]).alias("spread")))
+    u = _with_model(rows, med, groups)
+    u = u.select("g", *[((F.get("z", i) - F.get("mid", i)) / F.get("spread", i)).alias(f"u{i}") for i in range(P)])
+    x = [F.col(f"u{i}") for i in range(P)]
+    u = u.withColumn("norm2", F.greatest(sum((v * v for v in x), F.lit(0.0)), F.lit(1e-12)))
+    sums = u.groupBy("g").agg(*[F.sum(F.tanh(x[i]) * F.tanh(x[j])).alias(f"t{i}{j}") for i, j in PAIRS], *[F.sum(x[i] * x[j] / F.col("norm2")).alias(f"p{i}{j}") for i, j in PAIRS])
+    sums = sums.join(med, "g")
     sd = [F.get("spread", i) for i in range(P)]
     center = [F.get("mid", i).alias(f"m{i}") for i in range(P)]
     corr = lambda c, i, j: F.lit(1.0) if i == j else 0.9 * F.coalesce(F.try_divide(F.col(f"{c}{i}{j}"), F.sqrt(F.col(f"{c}{i}{i}") * F.col(f"{c}{j}{j}"))), F.lit(0.0))
-    forms = {0: lambda i, j: F.lit(1.0 if i == j else 0.0), 1: lambda i, j: corr("t", i, j), 2: lambda i, j: corr("p", i, j)}
-    out = None
-    for k, f in forms.items():
-        df = sums.select("g", F.lit(k).alias("k"), "n", *center, *[(f(i, j) * sd[i] * sd[j]).alias(f"c{i}{j}") for i, j in PAIRS])
-        out = df if out is None else out.unionByName(df)
-    return _factor(out, ["g", "k"])
+    forms = [lambda i, j: F.lit(1.0 if i == j else 0.0), lambda i, j: corr("t", i, j), lambda i, j: corr("p", i, j)]
+    form = lambda k, f: F.struct(F.lit(k).alias("k"), *[(f(i, j) * sd[i] * sd[j]).alias(f"c{i}{j}") for i, j in PAIRS])
+    three = sums.select("g", *center, F.explode(F.array(*[form(k, f) for k, f in enumerate(forms)])).alias("_f"))
+    out = _small(_factor(three.select("g", *[f"m{i}" for i in range(P)], "_f.*"), ["g", "k"]))
+    common.discard(med)
+    return out
 
 
 def fit(rows: DataFrame, steps: int = 4) -> DataFrame:
     """Per group g of rows (g, z): center, inv, log_det, and scale, by which squared distances are divided.
 
-    rows must be a table that is cheap to read again. A concentration step takes two passes over it: one
-    counts distances in buckets, one sums the rows within the limit that the counts give.
+    rows must be a table that is cheap to read again. A concentration step is one pass over it: sums by bucket of
+    distance, of which those up to the one that reaches the share ALPHA are added up. In the same way the
+    reweighting step takes the buckets that begin within its limit.
     """
-    model = common.materialise(_starts(rows), "mcd")
+    groups = rows.select("g").distinct().count()
+    model = _starts(rows, groups)
+    one = F.struct("center", "inv", "log_det")
     for _ in range(steps):
-        scored = rows.join(model, "g").select("g", "k", "z", _distance().alias("d2"))
-        limit = _order_statistic(scored, ["g", "k"], ALPHA, "limit")
-        sums = scored.join(limit, ["g", "k"]).groupBy("g", "k").agg(*_sums(F.col("d2") <= F.col("limit")))
-        old, model = model, common.materialise(_fit(sums, ["g", "k"]), "mcd")
+        three = model.groupBy("g").agg(F.array(*[F.max(F.when(F.col("k") == k, one)) for k in range(3)]).alias("models"))
+        scored = _with_model(rows, three, groups)
+        scored = scored.select("g", "z", F.posexplode(F.array(*[_distance(F.col("z"), F.get("models", F.lit(k))) for k in range(3)])).alias("k", "d2"))
+        bins = scored.groupBy("g", "k", _bucket(F.col("d2")).alias("b")).agg(*_products())
+        before, all_ = _before(["g", "k"])
+        inner = bins.withColumn("before", before).withColumn("all", all_).where(F.col("before") < ALPHA * F.col("all"))
+        old, model = model, _small(_fit(_added(inner, ["g", "k"]), ["g", "k"]))
         common.discard(old)
-    best = model.groupBy("g").agg(F.min_by(F.struct("center", "inv", "log_det", "n"), F.struct("log_det", "k")).alias("m")).select("g", "m.*")
-    for last in (False, True):
-        scored = rows.join(best, "g").select("g", "z", _distance().alias("d2"))
-        scale = _order_statistic(scored, ["g"], 0.5, "mid").select("g", F.greatest(F.col("mid") / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
-        if last:
-            out = common.materialise(best.join(scale, "g"), "mcd")
-            common.discard(model, best)
-            return out
-        sums = scored.join(scale, "g").groupBy("g").agg(*_sums(F.col("d2") <= CHI2_REWEIGHT * F.col("scale")))
-        best = common.materialise(_fit(sums, ["g"]), "mcd")
-    raise AssertionError
-
-
-def robust_outliers(docs: DataFrame, limit: float = CHI2_LIMIT, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source"), steps: int = 4) -> DataFrame:
-    """Per row: id, base statistics, base_failed, distance2 (null if base_failed) and kept.
+    best = _small(model.groupBy("g").agg(F.min_by(one, F.struct("log_det", "k")).alias("m")))
+    common.discard(model)
+
+    def scaled(bins: DataFrame) -> DataFrame:
+        """bins with the scale that puts the median distance where that of the chi-square distribution is."""
+        before, all_ = _before(["g"])
+        bins = bins.withColumn("before", before).withColumn("all", all_)
+        edge = F.pow(F.lit(2.0), (F.col("b") + 1) / STEPS_PER_OCTAVE)
+        mid = F.min(F.when(F.col("before") + F.col("n") >= 0.5 * F.col("all"), edge)).over(Window.partitionBy("g"))
+        return bins.withColumn("scale", F.greatest(mid / CHI2_MEDIAN, F.lit(1.0)))
+
+    scored = _with_model(rows, best, groups).select("g", "z", _distance(F.col("z"), F.col("m")).alias("d2"))
+    bins = scaled(scored.groupBy("g", _bucket(F.col("d2")).alias("b")).agg(*_products()))
+    within = bins.where(F.pow(F.lit(2.0), F.col("b") / STEPS_PER_OCTAVE) <= CHI2_REWEIGHT * F.col("scale"))
+    final = _small(_fit(_added(within, ["g"]), ["g"]).select("g", one.alias("m")))
+    scored = _with_model(rows, final, groups).select("g", _distance(F.col("z"), F.col("m")).alias("d2"))
+    scale = scaled(scored.groupBy("g", _bucket(F.col("d2")).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("n"))).groupBy("g").agg(F.max("scale").alias("scale"))
+    out = _small(final.join(scale, "g").select("g", "m.*", "scale"))
+    common.discard(best, final)
+    return out
+
+
+def robust_outliers(docs: DataFrame, limit: float = CHI2_LIMIT, id_col: str = "doc_id", text_col: str = "text", group_cols: tuple[str, str] = ("lang", "source"), steps: int = 4, min_group: int = MIN_GROUP) -> DataFrame:
+    """Per row: id, base statistics, base_failed, kept and distance2 (null if base_failed).
 
     The fit is over rows that pass the base rules, per pair of group_cols (null is a value); a group of fewer
-    than MIN_GROUP rows takes the fit of its first column, or of all rows; if those are fewer still, every
-    such row is kept. Repeated rows count each. An empty table gives an empty result. limit is for the
-    squared distance after scaling; null text has no words and fails the base rules.
+    than min_group rows takes the fit of its first column, or of all rows; if those are fewer still, every
+    such row is kept: a covariance of five statistics needs rows. A row at the limit is kept. Repeated rows count
+    each and get one verdict. An empty table gives an empty result. limit is for the squared distance after scaling;
+    null text has no words and fails the base rules. Other columns are not read, whatever they are called.
     """
     first, second = group_cols
     rows = base_rules(docs, id_col, text_col, carry=tuple(dict.fromkeys(group_cols)))
     rows = rows.withColumns({"g2": _group_key(first, second), "g1": _group_key(first), "z": F.array(*transformed())}).drop(*[c for c in group_cols if c != id_col])
     rows = common.materialise(rows, "statistics")
     ok = rows.where(~F.col("base_failed"))
-    sizes = ok.groupBy("g2", "g1").agg(F.count(F.lit(1)).alias("n2"))
-    sizes = sizes.withColumn("n1", F.sum("n2").over(Window.partitionBy("g1"))).crossJoin(ok.agg(F.count(F.lit(1)).alias("n0")))
-    group = F.when(F.col("n2") >= MIN_GROUP, F.col("g2")).when(F.col("n1") >= MIN_GROUP, F.col("g1")).when(F.col("n0") >= MIN_GROUP, F.lit("[]"))
-    chosen = common.materialise(sizes.select("g2", group.alias("g")), "groups")
-    levels = chosen.select("g").where("g is not null").distinct()
+    sizes = _small(ok.groupBy("g2", "g1").agg(F.count(F.lit(1)).alias("n2")))
+    pairs, total = sizes.agg(F.count(F.lit(1)), F.sum("n2")).first()
+    sizes = sizes.withColumn("n1", F.sum("n2").over(Window.partitionBy("g1")))
+    group = F.when(F.col("n2") >= min_group, F.col("g2")).when(F.col("n1") >= min_group, F.col("g1")).when(F.lit((total or 0) >= min_group), F.lit("[]"))
+    chosen = _small(sizes.select("g2", "g1", group.alias("g")))
+    # every row counts in the fit of its pair, its first column or the whole, as far as some pair is judged by that
+    levels = [F.col("g2"), F.col("g1"), F.lit("[]")]
+    used = [chosen.select(x.alias("own"), "g").where("own = g").select(F.col("own").alias("g")).distinct() for x in levels[:2]]
+    whole = chosen.where("g = '[]'").limit(1).count() > 0
     members = None
-    for key in ("g2", "g1", None):
-        part = ok.select((F.col(key) if key else F.lit("[]")).alias("g"), "z").join(levels, "g", "left_semi")
+    for x, own in zip(levels, [*used, None], strict=True):
+        part = ok.select(x.alias("g"), "z")
+        if own is not None:
+            part = _with_model(part, own, pairs)
+        elif not whole:
+            continue
         members = part if members is None else members.unionByName(part)
     model = fit(members, steps)
-    out = rows.join(chosen, "g2", "left").join(model, "g", "left")
-    d2 = F.when(~F.col("base_failed"), _distance() / F.col("scale"))
-    return out.withColumn("distance2", d2).select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance2", (~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= limit)).alias("kept"))
+    judged = chosen.join(model, "g").select(F.col("g2").alias("g"), F.struct("center", "inv", "log_det").alias("m"), "scale")
+    out = _with_model(rows.withColumnRenamed("g2", "g"), judged, pairs, "left")
+    d2 = F.when(~F.col("base_failed"), _distance(F.col("z"), F.col("m")) / F.col("scale"))
+    out = out.withColumn("distance2", d2)
+    kept = ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= limit)
+    return out.select(id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance2")

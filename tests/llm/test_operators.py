@@ -344,24 +344,94 @@ def test_base_statistics_match_brute_force(spark):
     assert got == {k: base(t) for k, t in docs}
 
 
-def test_robust_fit_matches_numpy(spark):
+def mcd_by_hand(z, steps=4):
+    """center, inverse factor and scale of one group, by the same method in numpy."""
+    floors = np.array(list(quality.STATISTICS.values()))
+    chol = lambda c: np.linalg.inv(np.linalg.cholesky(c))
+    d2_of = lambda c, inv: ((inv @ (z - c).T) ** 2).sum(0)
+    bucket = lambda d2: np.floor(np.log2(np.maximum(d2, 2.0**-20)) * 16)
+
+    def estimate(x):
+        return x.mean(0), chol(np.cov(x.T, bias=True) + np.diag(floors**2))
+
+    def least_bucket(b, share):  # the first at which the share of rows is reached
+        return np.sort(b)[int(np.ceil(share * len(b))) - 1]
+
+    grid = np.floor(z * 256) / 256
+    at = lambda share: np.array([least_bucket(grid[:, i], share) for i in range(5)])
+    mid, spread = at(0.5), np.maximum((at(0.75) - at(0.25)) / 1.349, floors)
+    u = (z - mid) / spread
+    unit = u / np.sqrt(np.maximum((u * u).sum(1), 1e-12))[:, None]
+    best = None
+    for m in (np.eye(5), np.tanh(u).T @ np.tanh(u), unit.T @ unit):
+        s = np.sqrt(np.outer(np.diag(m), np.diag(m)))
+        r = np.where(np.eye(5) > 0, 1.0, 0.9 * np.divide(m, s, out=np.zeros((5, 5)), where=s > 0))
+        c, inv = mid, chol(r * np.outer(spread, spread))
+        for _ in range(steps):
+            b = bucket(d2_of(c, inv))
+            c, inv = estimate(z[b <= least_bucket(b, quality.ALPHA)])
+        det = -2 * np.log(np.diag(inv)).sum()
+        if best is None or det < best[0] - 1e-12:
+            best = det, c, inv
+    scale = lambda b: max(2.0 ** ((least_bucket(b, 0.5) + 1) / 16) / quality.CHI2_MEDIAN, 1.0)
+    b = bucket(d2_of(*best[1:]))
+    c, inv = estimate(z[2.0 ** (b / 16) <= quality.CHI2_REWEIGHT * scale(b)])
+    return c, inv, scale(bucket(d2_of(c, inv)))
+
+
+def test_robust_fit_matches_numpy(spark, monkeypatch):
     rng = np.random.default_rng(8)
     good = rng.multivariate_normal(np.zeros(5), np.diag([1, 0.04, 0.01, 0.02, 0.03]) + 0.005, 400)
     bad = rng.normal(6, 0.2, (80, 5))
-    z = np.vstack([good, bad])
-    df = common.materialise(spark.createDataFrame([("g", v.tolist()) for v in z], "g string, z array<double>"), "z")
-    m = quality.fit(df).first()
-    inv = np.zeros((5, 5))
-    for (i, j), v in zip(quality.PAIRS, m.inv, strict=True):
-        inv[i, j] = v
-    d2 = ((inv @ (z - np.array(m.center)).T) ** 2).sum(0)
-    # the reweighted estimate from rows within the limit is a fixed point of its own step
-    floors = np.array(list(quality.STATISTICS.values()))
-    own = z[:400]
-    assert np.allclose(m.center, own.mean(0), atol=0.12)
-    cov = np.cov(own.T, bias=True) + np.diag(floors**2)
-    assert np.allclose(np.linalg.inv(inv) @ np.linalg.inv(inv).T, cov, atol=0.15)
-    assert (d2[:400] / m.scale <= quality.CHI2_LIMIT).mean() > 0.99 and (d2[400:] / m.scale > quality.CHI2_LIMIT).all()
+    z = {"g": np.vstack([good, bad]), "h": rng.gamma(2, 0.3, (333, 5)), "same": np.ones((70, 5))}
+    df = common.materialise(spark.createDataFrame([(g, v.tolist()) for g, x in z.items() for v in x], "g string, z array<double>"), "z")
+    for groups in (quality.BROADCAST_GROUPS, 1):
+        monkeypatch.setattr(quality, "BROADCAST_GROUPS", groups)
+        for m in quality.fit(df).collect():
+            inv = np.zeros((5, 5))
+            for (i, j), v in zip(quality.PAIRS, m.inv, strict=True):
+                inv[i, j] = v
+            c, want, scale = mcd_by_hand(z[m.g])
+            assert np.allclose(m.center, c) and np.allclose(inv, want) and np.isclose(m.scale, scale), m.g
+            if m.g == "g":
+                d2 = ((inv @ (z["g"] - np.array(m.center)).T) ** 2).sum(0) / m.scale
+                assert (d2[:400] <= quality.CHI2_LIMIT).mean() > 0.99 and (d2[400:] > quality.CHI2_LIMIT).all()
+
+
+def test_verdicts_match_brute_force(spark):
+    """kept and distance2 of whole rows, with groups of 59, 60 and 61 rows."""
+    rng = random.Random(9)
+    rows = []
+    for source, n in (("a", 59), ("b", 60), ("c", 61), (None, 150)):
+        for i in range(n):
+            w = [f"w{rng.randrange(3000)}" + "#" * (rng.random() < 0.02) for _ in range(rng.randrange(30, 300))]
+            if i % 17 == 3:
+                w = [x + "||" for x in w]
+            if i % 19 == 4:
+                w += w[: len(w) // 3]
+            rows.append((len(rows), "\n".join(" ".join(w[j : j + 9]) for j in range(0, len(w), 9)), "en", source))
+    rows += [(5000, rows[7][1], "en", "a"), (5000, rows[7][1], "en", "a")]  # repeated rows: a has 61
+    rows += [(6000 + i, rows[i][1], "de", "z") for i in range(5)]  # a small language: the fit of all rows
+    got = {r.doc_id: r for r in quality.robust_outliers(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("kept", F.lit("clash"))).collect()}
+    z, ok = {}, {}
+    for k, t, _, _ in rows:
+        n, chars, symbols, dup, rep = base(t)
+        ok[k] = not (n < 50 or 100 * rep > 50 * n)
+        lines = sum(bool(x.strip()) for x in t.split("\n"))
+        z[k] = [np.log(n), np.log(chars / n), np.sqrt(symbols / n), np.sqrt(dup / max(lines, 1)), np.sqrt(rep / n)]
+    passed = lambda pick: [r[0] for r in rows if ok[r[0]] and pick(r)]
+    for lang, source in {(r[2], r[3]) for r in rows}:
+        own = passed(lambda r, a=lang, b=source: r[2:] == (a, b))
+        near = passed(lambda r, a=lang: r[2] == a)
+        members = own if len(own) >= 60 else near if len(near) >= 60 else passed(lambda r: True)
+        c, inv, scale = mcd_by_hand(np.array([z[k] for k in members]))
+        for k in own:
+            d2 = float(((inv @ (np.array(z[k]) - c)) ** 2).sum() / scale)
+            assert np.isclose(got[k].distance2, d2) and got[k].kept == (d2 <= quality.CHI2_LIMIT), (lang, source, k)
+    assert all(r.base_failed != ok[k] and (ok[k] or r.distance2 is None and not r.kept) for k, r in got.items())
+    assert 5 < sum(ok[k] and not r.kept for k, r in got.items()) < 60
+    few = spark.createDataFrame(rows[:59], "doc_id long, text string, lang string, source string")
+    assert all(r.kept != r.base_failed for r in quality.robust_outliers(few, min_group=60).collect())
 
 
 def test_quality_edges(spark):
