@@ -16,6 +16,16 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def strip(c: Column) -> Column:
+    """Without white space of any kind at both ends; F.trim() takes blanks only."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
+def fixed(c: Column, digits: int) -> Column:
+    """A number with so many digits after the point; ties go to the even digit."""
+    return F.format_string(f"%.{digits}f", F.bround(c, digits))
+
+
 def normalize(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
 
@@ -129,7 +139,7 @@ def section(c: Column, heading: str, following: str, strict: bool = True) -> Col
     """Text between two headings. Without the first: an error if strict, else the whole text."""
     after = F.substring_index(F.substring(c, F.instr(c, heading) + len(heading), 1 << 30), following, 1)
     missing = F.raise_error(F.lit(f"no heading {heading}")) if strict else c
-    return F.trim(F.when(F.instr(c, heading) > 0, after).otherwise(missing))
+    return strip(F.when(F.instr(c, heading) > 0, after).otherwise(missing))
 
 
 def sentences(c: Column) -> Column:

@@ -7,12 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from . import relations, sequence
 
 BODY = ("file", "line_no", "page", "x", "y", "font", "size", "color", "text")
 
 
-def body_only(spans: DataFrame, top: float = 45.0, bottom: float = 785.0, away: tuple[str, ...] = ("ALIUSC767171",)) -> DataFrame:
+def body_only(spans: DataFrame, top: float = 45.0, bottom: float = 785.0, away: tuple[str, ...] = ("C767171",)) -> DataFrame:
     """Without headers, footers and running heads."""
     return spans.where(F.col("y").between(top, bottom) & ~F.col("color").isin(*away))
 
@@ -34,7 +35,10 @@ def line_texts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("file", "page", "row").agg(F.min("y").alias("y"), F.min("x").alias("x"), F.max(F.col("x") + F.col("w")).alias("right"), F.max("size").alias("size"), F.array_join(parts, " ").alias("text"))
 
 
-def finding(spans: DataFrame, issue: str, detail: Column | None = None) -> DataFrame:
+def finding(spans: DataFrame, issue: str, detail: Column | None = None, override: Column | None = None) -> DataFrame:
+    """The nine fields of a span, the issue and a detail; override stands in the place of the text."""
+    if override is not None:
+        spans = spans.withColumn("text", F.coalesce(override, "text"))
     return spans.select(*BODY, F.lit(issue).alias("issue"), (detail if detail is not None else F.lit("")).cast("string").alias("detail"))
 
 
@@ -53,7 +57,7 @@ def size_drift(rows: DataFrame, keys: list[str], most: float = 0.45) -> DataFram
     """Spans whose size is off the upper median of their keys."""
     typical = rows.groupBy(*keys).agg(relations.upper_median("size").alias("_m"))
     found = rows.join(typical, keys).where(F.abs(F.col("size") - F.col("_m")) > most)
-    return finding(found, "size_drift", F.format_string("%.2f", "_m"))
+    return finding(found, "size_drift", X.fixed(F.col("_m"), 2))
 
 
 def tight_rows(lines: DataFrame, least: float = 8.0) -> DataFrame:

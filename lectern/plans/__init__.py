@@ -1,5 +1,5 @@
 """Queries over the test tables, and the same in SQL."""
 
-from . import relations, sequences, texts
+from . import citing, layouts, queueing, relations, sequences, texts
 
-MODULES = (sequences, relations, texts)
+MODULES = (sequences, relations, texts, layouts, citing, queueing)

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 from ..functions import text as X
 
 NUMBER = r"(-?[\d.]+)"
-#: A positioned run of text: x, y, width, colour, font, size, text.
-SPAN = rf"\\ALIUSPlacedTextContent\{{{NUMBER}\}}\{{{NUMBER}\}}\{{{NUMBER}\}}\{{([^{{}}]*)\}}\{{([^{{}}]*)\}}\{{{NUMBER}\}}\{{(.*)\}}"
+#: A positioned run of text: x, y, width, colour, font, size, text. Commands begin with a prefix of letters of the document's own.
+SPAN = rf"\\[A-Za-z]*PlacedTextContent\{{{NUMBER}\}}\{{{NUMBER}\}}\{{{NUMBER}\}}\{{([^{{}}]*)\}}\{{([^{{}}]*)\}}\{{{NUMBER}\}}\{{(.*)\}}"
 PAGE = r"^\s*%\s*Page\s+(\d+)"
 
 
@@ -30,6 +30,12 @@ def spans(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("line").rlike(SPAN)).select("file", "line_no", "page", *[part(i).cast("double").alias(n) for n, i in names.items()], part(4).alias("color"), part(5).alias("font"), part(7).alias("text"))
 
 
+def visible_text(rows: DataFrame) -> DataFrame:
+    """Per file the texts of all its spans in order of line, joined by blanks."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.regexp_extract("line", SPAN, 7).alias("text")))), lambda x: x["text"])
+    return rows.where(F.col("line").rlike(SPAN)).groupBy("file").agg(F.array_join(parts, " ").alias("text"))
+
+
 def before(rows: DataFrame, end: str = r"\end{tikzpicture}") -> DataFrame:
     """Lines of each file before the first that holds end (a first page)."""
     w = Window.partitionBy("file").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -49,12 +55,12 @@ def environments(whole: DataFrame, first: str = "question", second: str = "answe
     """unit, question, answer of paired environments in (file, value)."""
     get = lambda n: F.regexp_extract_all("value", F.lit(rf"(?s)\\begin\{{{n}\}}(.*?)\\end\{{{n}\}}"), F.lit(1))
     z = F.arrays_zip(get(first).alias("a"), get(second).alias("b"))
-    return whole.select("file", F.posexplode(z).alias("unit", "z")).where("z.b is not null").select("file", "unit", F.trim("z.a").alias(first), F.trim("z.b").alias(second))
+    return whole.select("file", F.posexplode(z).alias("unit", "z")).where("z.b is not null").select("file", "unit", X.strip(F.col("z.a")).alias(first), X.strip(F.col("z.b")).alias(second))
 
 
 def quotes(rows: DataFrame) -> DataFrame:
     """Quote slots (x, y, width, quote) with the id of the last comment before them; an id serves one quote."""
-    slot = rf"\\ALIUSMaybeNotableQuoteAt\{{{NUMBER}\}}\{{{NUMBER}\}}\{{{NUMBER}\}}\{{(.*)\}}"
+    slot = rf"\\[A-Za-z]*MaybeNotableQuoteAt\{{{NUMBER}\}}\{{{NUMBER}\}}\{{{NUMBER}\}}\{{(.*)\}}"
     w = Window.partitionBy("file").orderBy("line_no")
     rows = rows.withColumn("_q", F.col("line").rlike(slot)).withColumn("_id", F.nullif(F.regexp_extract("line", r"^\s*%\s*quote-id:\s*(\S+)", 1), F.lit("")))
     rows = rows.withColumn("_g", F.coalesce(F.sum(F.col("_q").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -63,6 +69,18 @@ def quotes(rows: DataFrame) -> DataFrame:
     return rows.select("file", "line_no", *[F.regexp_extract("line", slot, i).cast("double").alias(n) for i, n in ((1, "x"), (2, "y"), (3, "width"))], F.regexp_extract("line", slot, 4).alias("quote"), "quote_id")
 
 
+def catalog(whole: DataFrame, kind: str, schema: str = "pieces array<struct<piece_type:string,issue:string,slug:string,tex:string,source_pdf:string,doi:string>>") -> DataFrame:
+    """The pieces of a kind of catalog documents (value: JSON)."""
+    rows = whole.select(F.explode(F.from_json("value", schema)["pieces"]).alias("p")).select("p.*")
+    return rows.where(F.col("piece_type") == kind)
+
+
+def required_field(records: DataFrame, name: str) -> DataFrame:
+    """file and value of one field of every record; a record without it is an error."""
+    value = F.col("fields")[name]
+    return records.select("file", F.when(F.coalesce(value, F.lit("")) == "", F.raise_error(F.concat(F.lit(f"no {name} in "), "file"))).otherwise(value).alias("value"))
+
+
 def bib(whole: DataFrame) -> DataFrame:
     """key and fields (map; a repeated field keeps its last value) of the record in each (file, value)."""
     pattern = F.lit(r"(?s)(\w+)\s*=\s*\{((?:[^{}]|\{[^{}]*\})*)\}")

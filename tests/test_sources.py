@@ -8,7 +8,7 @@ from lectern.operators import audit, relations, score, sequence
 from lectern.sources import readers, sinks
 from lectern.streaming import ingest
 
-SPAN = r"\ALIUSPlacedTextContent{%s}{%s}{%s}{%s}{%s}{%s}{%s}"
+SPAN = r"\TstPlacedTextContent{%s}{%s}{%s}{%s}{%s}{%s}{%s}"
 
 
 def one(spark, column):
@@ -16,7 +16,7 @@ def one(spark, column):
 
 
 def tex(tmp_path):
-    rows = ["% Page 1", SPAN % (10, 20.0, 30, "C1", "F1", 12, "What is it?"), SPAN % (42, 21.2, 30, "C1", "F1", 12, "Well?"), r"\end{tikzpicture}", "% Page 2", SPAN % (10, 20, 5, "C0", "F2", 10, r"\textit{a} b"), SPAN % (16, 20, 5, "C0", "F9", 10, "mid"), SPAN % (22, 20, 5, "C0", "F2", 10, "end"), SPAN % (22, 28, 5, "ALIUSC767171", "F2", 10, "foot")]
+    rows = ["% Page 1", SPAN % (10, 20.0, 30, "C1", "F1", 12, "What is it?"), SPAN % (42, 21.2, 30, "C1", "F1", 12, "Well?"), r"\end{tikzpicture}", "% Page 2", SPAN % (10, 20, 5, "C0", "F2", 10, r"\textit{a} b"), SPAN % (16, 20, 5, "C0", "F9", 10, "mid"), SPAN % (22, 20, 5, "C0", "F2", 10, "end"), SPAN % (22, 28, 5, "C767171", "F2", 10, "foot")]
     (tmp_path / "a.tex").write_text("\n".join(rows))
     return str(tmp_path / "*.tex")
 
