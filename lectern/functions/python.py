@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import html
-import math
 import re
 import unicodedata
 
@@ -60,6 +60,52 @@ def diff_chunks(context: int = 80, most: int = 5):
     return run
 
 
+def clean_caption(s: str) -> str:
+    """A caption without tags and cues in brackets, entities decoded, white space as one blank."""
+    return " ".join(re.sub(r"\[[^\]]*\]", " ", html.unescape(re.sub(r"<[^>]*>", "", s))).split())
+
+
+@F.pandas_udf(T.StringType())
+def caption_text(c: pd.Series) -> pd.Series:
+    return c.map(clean_caption, na_action="ignore")
+
+
+@F.pandas_udf(T.StringType())
+def unhyphenated(c: pd.Series) -> pd.Series:
+    """NFC without soft hyphens; words that a line break has cut are put together."""
+    return c.map(lambda s: re.sub(r"(?<=\w)-\s*\n\s*(?=[a-z\u00df-\u00ff])", "", unicodedata.normalize("NFC", s).replace("\u00ad", "")), na_action="ignore")
+
+
+def replace_two_arguments(name: str, form: str):
+    """\\name{a}{b}, braces balanced, as form with its {0} and {1}; innermost last."""
+    head = re.compile(r"\\" + re.escape(name) + r"\s*\{")
+
+    def argument(s: str, i: int) -> int:
+        depth = 1
+        while i < len(s) and depth:
+            depth += (s[i] == "{") - (s[i] == "}")
+            i += 1
+        return i
+
+    def one(s: str) -> str:
+        at = 0
+        while m := head.search(s, at):
+            a = argument(s, m.end())
+            if s[a : a + 1] != "{":
+                at = m.end()
+                continue
+            b = argument(s, a + 1)
+            s = s[: m.start()] + form.format(s[m.end() : a - 1], s[a + 1 : b - 1]) + s[b:]
+            at = m.start()
+        return s
+
+    @F.pandas_udf(T.StringType())
+    def run(c: pd.Series) -> pd.Series:
+        return c.map(one, na_action="ignore")
+
+    return run
+
+
 def strip_command(name: str, keep: bool = False):
     """Removes \\name{...} with balanced braces; keep leaves the argument."""
     head = re.compile(r"\\" + re.escape(name) + r"\s*\{")
@@ -94,29 +140,54 @@ def repair_mojibake(c: pd.Series) -> pd.Series:
     return c.map(one, na_action="ignore")
 
 
-def smarten(s: str, open_double: bool = False) -> tuple[str, bool]:
-    """Curly quotes; the state is whether a double quote is open."""
-    out = []
-    for i, c in enumerate(s):
-        before = s[i - 1] if i else " "
-        if c == '"':
-            open_double = not open_double
-            out.append("\u201c" if open_double else "\u201d")
-        elif c == "'":
-            out.append("\u2018" if before.isspace() or before in "([{\u201c" else "\u2019")
+_OPENS = "([{/<\u2013\u2014-~"
+_QUOTE = re.compile(r"\\[A-Za-z]+|['\"]")
+#: Marks that a split of the text has left the wrong way round.
+_TIDY = ((re.compile(r"(?<=[A-Za-z0-9\])\u2019\u201d.])\u201c(?=[,.)\s])"), "\u201d"), (re.compile(r"(?<=~)\u201c(?=[,.)\s])"), "\u201d"), (re.compile(r"(^|~)\u2019(?=[A-Za-z][^{}]*\u2019)"), "\\1\u2018"))
+
+
+def smarten(s: str, double: bool = False, single: bool = False) -> tuple[str, bool, bool]:
+    """Curly quotes. The state, which goes on in the next text, says for each kind whether the last mark closed, so that
+    the next one opens. Names of TeX commands are left alone."""
+    out, at = [], 0
+    for m in _QUOTE.finditer(s):
+        out.append(s[at : m.start()])
+        at = m.end()
+        if m[0][0] == "\\":
+            out.append(m[0])
+            continue
+        before, after = s[m.start() - 1 : m.start()], s[at : at + 1]
+        opens = not before or before.isspace() or before in _OPENS
+        if m[0] == '"':
+            opening = double or opens and bool(after) and (after.isalnum() or after in "([{\u2018\u201c")
+            double = not opening
+            out.append("\u201c" if opening else "\u201d")
+            continue
+        starts = bool(after) and (after.isalnum() or after in "([{")
+        inside = bool(before) and (before.isalnum() or before in ")]") and bool(after) and (after.isalnum() or after == "\u2019")
+        if not inside and starts and (single or opens):
+            single = False if single else single
+            out.append("\u2018")
         else:
-            out.append(c)
-    return "".join(out), open_double
+            single = single or not inside
+            out.append("\u2019")
+    text = "".join([*out, s[at:]])
+    for pattern, mark in _TIDY:
+        text = pattern.sub(mark, text)
+    return text, double, single
+
+
+_LINKS = re.compile(r"https?://|doi\.org|@")
 
 
 def smart_quotes(df, keys: list[str], order: str, text: str):
     """Curly quotes over the rows of a key in order, the open quote carried from row to row."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, state, out = pdf.sort_values(order, kind="stable"), False, []
+        pdf, state, out = pdf.sort_values(order, kind="stable"), (False, False), []
         for s in pdf[text]:
-            if s is not None:
-                s, state = smarten(s, state)
+            if s is not None and s.strip() and not _LINKS.search(s):  # links and addresses are left alone
+                s, *state = smarten(s, *state)
             out.append(s)
         return pdf.assign(**{text: out})
 
@@ -125,11 +196,12 @@ def smart_quotes(df, keys: list[str], order: str, text: str):
 
 def greedy(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Non-overlapping spans, the longest first; ties by name, then by start."""
-    kept: list[tuple[int, int, str]] = []
-    for a, z, name in sorted(spans, key=lambda s: (s[0] - s[1], s[2], s[0])):
-        if all(z <= x or a >= y for x, y, _ in kept):
-            kept.append((a, z, name))
-    return sorted(kept)
+    kept: list[tuple[int, int, str]] = []  # in order of position, so that neighbours decide
+    for span in sorted(spans, key=lambda s: (s[0] - s[1], s[2], s[0])):
+        i = bisect.bisect(kept, span)
+        if (i == 0 or kept[i - 1][1] <= span[0]) and (i == len(kept) or kept[i][0] >= span[1]):
+            kept.insert(i, span)
+    return kept
 
 
 @F.pandas_udf(_SPANS)
@@ -142,8 +214,9 @@ def greedy_matches(texts: pd.Series, patterns: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-def best_lines(words: list[str], lines: int) -> list[str]:
-    """Words in so many lines of nearly equal length: the least sum of squared differences from the mean."""
+def best_lines(words: list[str], lines: int, most: float = float("inf")) -> list[str]:
+    """Words in so many lines of nearly equal length: the least sum of squared differences from the mean, and of
+    what lines are longer than most."""
     n, lines = len(words), max(1, min(lines, len(words)))
     size = [len(w) for w in words]
     goal = (sum(size) + n - lines) / lines
@@ -151,7 +224,7 @@ def best_lines(words: list[str], lines: int) -> list[str]:
     best = {(0, 0): (0.0, ())}
     for k in range(1, lines + 1):
         for j in range(k, n - (lines - k) + 1):
-            found = [(best[k - 1, i][0] + (length(i, j) - goal) ** 2, (*best[k - 1, i][1], i)) for i in range(k - 1, j) if (k - 1, i) in best]
+            found = [(best[k - 1, i][0] + (length(i, j) - goal) ** 2 + max(0.0, length(i, j) - most) ** 2, (*best[k - 1, i][1], i)) for i in range(k - 1, j) if (k - 1, i) in best]
             best[k, j] = min(found)
     cuts = [*best[lines, n][1], n] if n else [0, 0]
     return [" ".join(words[a:z]) for a, z in zip(cuts, cuts[1:], strict=False)]
@@ -165,20 +238,31 @@ def line_breaks(lines: int = 3):
     return run
 
 
+def matched(rows: list[tuple], reach: float) -> list[tuple]:
+    """(opener, closer) of rows (order, kind, at) in order. Where at never falls, the first unused closer after an opener
+    is the only one in question, and one pass does; else later ones are tried as well."""
+    closers = [i for i, (_, k, _) in enumerate(rows) if k == "close"]
+    rising = all(a[2] <= b[2] for a, b in zip(rows, rows[1:], strict=False))
+    out, used, first = [], set(), 0
+    for i, (o, k, v) in enumerate(rows):
+        if k != "open":
+            continue
+        while first < len(closers) and (closers[first] < i or closers[first] in used):
+            first += 1
+        for c in closers[first : first + 1] if rising else closers[first:]:
+            if c not in used and rows[c][2] - v <= reach:
+                used.add(c)
+                out.append((o, rows[c][0]))
+                break
+    return out
+
+
 def one_to_one(df, keys: list[str], order: str, kind: str, at: str, reach: float):
     """Openers matched with the first unused closer after them within reach, in order; a matching, not a join."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
-        rows, used, out = list(zip(pdf[order], pdf[kind], pdf[at], strict=True)), set(), []
-        for i, (o, k, v) in enumerate(rows):
-            if k != "open":
-                continue
-            for p, q, w in rows[i + 1 :]:
-                if q == "close" and p not in used and w - v <= reach:
-                    used.add(p)
-                    out.append((o, p))
-                    break
+        out = matched(list(zip(pdf[order], pdf[kind], pdf[at], strict=True)), reach)
         got = pd.DataFrame(out, columns=["opener", "closer"])
         for c in keys:
             got[c] = pdf[c].iloc[0]
@@ -214,10 +298,11 @@ def flow_layout(df, keys: list[str], order: str, y: str, lead: str, top: float,
 
 
 def tempo_steps(x: float) -> list[float]:
-    """A tempo as factors in [0.5, 2]."""
+    """A tempo as factors in [0.5, 2]; a factor within 0.001 of one is left out."""
+    if x <= 0:
+        raise ValueError("a tempo is greater than zero")
     out = []
     while x > 2 or x < 0.5:
-        step = 2.0 if x > 2 else 0.5
-        out.append(step)
-        x /= step
-    return [*out, x] if not math.isclose(x, 1.0) or not out else out
+        out.append(2.0 if x > 2 else 0.5)
+        x /= out[-1]
+    return [*out, x] if abs(x - 1.0) > 0.001 else out

@@ -147,28 +147,37 @@ def sentences(c: Column) -> Column:
 
 
 def pack(pieces: Column, most: int) -> Column:
-    """Pieces joined by blanks into chunks of at most most characters, greedily; a longer piece is a chunk."""
+    """Pieces (array of struct(text, alone)) joined by blanks into chunks of at most most characters, greedily; a piece
+    that stands alone is a chunk. Each chunk copies the array of those before it: for texts of some thousand chunks."""
     empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
+    flushed = lambda s: F.when(s["cur"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"])))
 
-    def step(s, x):
-        fits = F.length(s["cur"]) + 1 + F.length(x) <= most
+    def step(s, p):
+        x = p["text"]
+        keep = (s["cur"] == "") | (F.length(s["cur"]) + 1 + F.length(x) <= most)
         joined = F.when(s["cur"] == "", x).otherwise(F.concat(s["cur"], F.lit(" "), x))
-        keep = (s["cur"] == "") | fits
-        return F.struct(F.when(keep, s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"]))).alias("done"), F.when(keep, joined).otherwise(x).alias("cur"))
+        done = F.when(p["alone"], F.concat(flushed(s), F.array(x))).when(keep, s["done"]).otherwise(flushed(s))
+        return F.struct(done.alias("done"), F.when(p["alone"], "").when(keep, joined).otherwise(x).alias("cur"))
+
+    return F.aggregate(pieces, empty, step, flushed)
+
 
-    return F.aggregate(pieces, empty, step, lambda s: F.when(s["cur"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(s["cur"]))))
+def _pieces(texts: Column, alone: bool) -> Column:
+    return F.transform(texts, lambda x: F.struct(x.alias("text"), F.lit(alone).alias("alone")))
 
 
 def sentence_chunks(c: Column, most: int) -> Column:
-    """Sentences packed up to most characters; a longer sentence is cut into slices of most."""
-    slices = F.flatten(F.transform(sentences(c), lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - 1) / most).cast("int")), lambda i: F.substring(s, i * most + 1, F.lit(most)))))
-    return pack(slices, most)
+    """Sentences packed up to most characters; a longer sentence is cut into slices of most that stand by themselves."""
+    cut = lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - 1) / most).cast("int")), lambda i: F.trim(F.substring(s, i * most + 1, F.lit(most))))
+    parts = lambda s: F.when(F.length(s) <= most, _pieces(F.array(s), False)).otherwise(_pieces(F.filter(cut(s), lambda x: x != ""), True))
+    return pack(F.flatten(F.transform(sentences(c), parts)), most)
 
 
 def word_chunks(c: Column, most: int) -> Column:
-    """As sentence_chunks, but a longer sentence is cut between words."""
-    parts = F.flatten(F.transform(sentences(c), lambda s: F.when(F.length(s) <= most, F.array(s)).otherwise(pack(F.split(s, " "), most))))
-    return pack(parts, most)
+    """As sentence_chunks, but a longer sentence is cut between words; a longer word is a chunk."""
+    cut = lambda s: pack(_pieces(F.split(s, " "), False), most)
+    parts = lambda s: F.when(F.length(s) <= most, _pieces(F.array(s), False)).otherwise(_pieces(cut(s), True))
+    return pack(F.flatten(F.transform(sentences(c), parts)), most)
 
 
 def join_tokens(tokens: Column) -> Column:
@@ -203,6 +212,20 @@ def escape_html(c: Column) -> Column:
     return replace_all(c, [("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")])
 
 
+def escape_ffmetadata(c: Column) -> Column:
+    return F.regexp_replace(c, r"([=;#\\\n])", r"\\$1")
+
+
+def escape_concat(c: Column) -> Column:
+    """A path between single quotes."""
+    return F.replace(c, F.lit("'"), F.lit("'\\''"))
+
+
+def escape_quoted(c: Column) -> Column:
+    """Text between double quotes in TOML or JSON."""
+    return replace_all(c, [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")])
+
+
 def spoken(c: Column) -> Column:
     """Text for reading aloud: no addresses, links, figure references, bracketed notes or author-year parentheses."""
     c = F.regexp_replace(c, r"[\w.+-]+@[\w-]+\.[\w.]+", "")

@@ -125,8 +125,7 @@ def deviation(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def upper_median(value: str) -> Column:
     """The middle of the sorted values, the upper one of two: no interpolation."""
-    s = F.array_sort(F.collect_list(value))
-    return F.get(s, F.floor(F.size(s) / 2).cast("int"))
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")  # from counts of values, with partial sums
 
 
 def median_gap(df: DataFrame, keys: list[str], order: list[str], value: str, low: float, high: float, default: float) -> DataFrame:
@@ -147,9 +146,12 @@ def unique_or_ambiguous(df: DataFrame, pattern: str, target: str) -> DataFrame:
 
 
 def ordinal_suffix(df: DataFrame, keys: list[str], base: str, order: str, name: str) -> DataFrame:
-    """base, and for a repeated base its number from the second on."""
-    n = F.row_number().over(over([*keys, base], [order]))
-    return df.withColumn(name, F.when(n == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), n.cast("string"))))
+    """base, and for a repeated base its number from the second on, in order of a number."""
+    from .sequence import total_before
+
+    n = F.col("_i") + 1
+    rows = total_before(df, [*keys, base], order, F.lit(1), "_i")
+    return rows.withColumn(name, F.when(n == 1, F.col(base)).otherwise(F.concat_ws("-", F.col(base), n.cast("string")))).drop("_i")
 
 
 # --- selection

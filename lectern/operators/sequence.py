@@ -6,8 +6,13 @@ here relies on the order in which rows arrive. All are windows or folds within a
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Rows of a key that one window should hold, where a key may have most of the rows.
+ROWS_PER_BUCKET = 1_000_000
 
 
 def over(keys: list[str], order: list[str]):
@@ -18,6 +23,20 @@ def running(keys: list[str], order: list[str]):
     return over(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def total_before(df: DataFrame, keys: list[str], order: str, value: Column, name: str) -> DataFrame:
+    """name: the sum of value over the rows of the key before the row, in order of one number that is distinct in a key. Counted
+    in two levels, over buckets of the order and inside them, so that a key with most of the rows fills no task."""
+    low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
+    buckets = -(-(n or 1) // ROWS_PER_BUCKET)
+    if buckets == 1 or low == high:
+        return df.withColumn(name, F.coalesce(F.sum(value).over(over(keys, [order]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = df.withColumn("_b", F.width_bucket(F.col(order).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(buckets))).withColumn("_v", value)
+    sums = rows.groupBy(*keys, "_b").agg(F.sum("_v").alias("_t"))
+    sums = sums.withColumn("_a", F.coalesce(F.sum("_t").over(over(keys, ["_b"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
+    inside = F.coalesce(F.sum("_v").over(over([*keys, "_b"], [order]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(sums, [*keys, "_b"]).withColumn(name, F.col("_a") + inside).drop("_b", "_v", "_a")
+
+
 def carry_forward(df: DataFrame, keys: list[str], order: list[str], marker: Column, name: str) -> DataFrame:
     """The last marker that isn't null, up to and with the row (page numbers, cue times)."""
     return df.withColumn(name, F.last(marker, ignorenulls=True).over(running(keys, order)))
@@ -46,21 +65,24 @@ def chained_groups(df: DataFrame, keys: list[str], order: list[str], value: str,
 
 
 def anchored_groups(df: DataFrame, keys: list[str], order: list[str], value: str, gap: float, name: str) -> DataFrame:
-    """A new group where a value is over gap from the first of the current group: a fold, for a group's extent
-    depends on where it began. A key's values are folded as one array."""
-    others = [c for c in df.columns if c not in keys]
-    item = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others if c not in order])
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_r"))
-    start = F.struct(F.lit(None).cast("double").alias("a"), F.lit(0).cast("long").alias("g"), F.array().cast("array<bigint>").alias("o"))
-
-    def step(s, x):
-        v = x[value].cast("double")
-        new = s["a"].isNull() | (F.abs(v - s["a"]) > gap)
-        g = s["g"] + new.cast("long")
-        return F.struct(F.when(new, v).otherwise(s["a"]).alias("a"), g.alias("g"), F.concat(s["o"], F.array(g)).alias("o"))
-
-    rows = rows.select(*keys, F.explode(F.arrays_zip(F.col("_r").alias("r"), F.aggregate("_r", start, step, lambda s: s["o"]).alias("g"))).alias("_z"))
-    return rows.select(*keys, *[F.col(f"_z.r.{c}").alias(c) for c in others], F.col("_z.g").alias(name))
+    """A new group where a value is over gap from the first of the current group: each group's extent depends on
+    where it began, so rows are numbered in one pass over them in order. Only the current anchor is held."""
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+    at, own = df.columns.index(value), [df.columns.index(k) for k in keys]
+
+    def run(batches):
+        key, anchor, group = None, 0.0, 0
+        for b in batches:
+            out = []
+            for k, v in zip(zip(*(b.column(i).to_pylist() for i in own), strict=True), b.column(at).to_pylist(), strict=True):
+                if k != key:
+                    key, anchor, group = k, None, 0
+                if v is not None and (anchor is None or abs(v - anchor) > gap):
+                    anchor, group = v, group + 1
+                out.append(group)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], schema.names)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *[c for c in order if c not in keys]).mapInArrow(run, schema)
 
 
 def run_blocks(df: DataFrame, keys: list[str], order: str, role: str, text: str, separator: str = " ") -> DataFrame:
@@ -99,22 +121,22 @@ def gap_timeline(df: DataFrame, keys: list[str], order: list[str], duration: str
     return df.withColumn("start_at", start.cast("long")).withColumn("end_at", (F.col("start_at") + F.col(duration)).cast("long"))
 
 
-def proportional_timeline(df: DataFrame, keys: list[str], order: list[str], weight: str, total: int) -> DataFrame:
-    """Shares of total by weight; ends are rounded half to even, the last end is total."""
-    w = over(keys, order)
-    share = F.bround(F.lit(float(total)) * F.sum(weight).over(running(keys, order)) / F.sum(weight).over(Window.partitionBy(*keys)))
-    end = F.when(F.lead(weight).over(w).isNull(), F.lit(total)).otherwise(share).cast("long")
-    df = df.withColumn("end_at", end)
-    return df.withColumn("start_at", F.lag("end_at", 1, 0).over(w).cast("long"))
+def proportional_timeline(df: DataFrame, keys: list[str], order: str, weight: str, total: int) -> DataFrame:
+    """Shares of total by weight, in order of a number; ends are rounded half to even, the last end is total."""
+    sums = df.groupBy(*keys).agg(F.sum(weight).alias("_w"), F.max(order).alias("_l"))
+    rows = total_before(df, keys, order, F.col(weight), "_before").join(sums, keys)
+    share = lambda c: F.bround(F.lit(float(total)) * c / F.col("_w")).cast("long")
+    end = F.when(F.col(order) == F.col("_l"), F.lit(total).cast("long")).otherwise(share(F.col("_before") + F.col(weight)))
+    return rows.withColumn("end_at", end).withColumn("start_at", F.when(F.col("_before") == 0, F.lit(0).cast("long")).otherwise(share(F.col("_before")))).drop("_before", "_w", "_l")
 
 
-def rescale_timeline(df: DataFrame, keys: list[str], order: list[str], total: int) -> DataFrame:
+def rescale_timeline(df: DataFrame, keys: list[str], order: str, total: int) -> DataFrame:
     """start_at and end_at stretched so that the last end is total and the first start 0."""
-    w, whole = over(keys, order), Window.partitionBy(*keys)
-    scale = F.lit(float(total)) / F.max("end_at").over(whole)
-    start = F.when(F.row_number().over(w) == 1, 0).otherwise(F.bround(F.col("start_at") * scale))
-    end = F.when(F.row_number().over(w) == F.count(F.lit(1)).over(whole), total).otherwise(F.bround(F.col("end_at") * scale))
-    return df.withColumns({"new_start": start.cast("long"), "new_end": end.cast("long")})
+    ends = df.groupBy(*keys).agg(F.min(order).alias("_f"), F.max(order).alias("_l"), F.max("end_at").alias("_e"))
+    scaled = lambda c: F.bround(F.col(c) * (F.lit(float(total)) / F.col("_e")))
+    start = F.when(F.col(order) == F.col("_f"), 0).otherwise(scaled("start_at"))
+    end = F.when(F.col(order) == F.col("_l"), total).otherwise(scaled("end_at"))
+    return df.join(ends, keys).withColumns({"new_start": start.cast("long"), "new_end": end.cast("long")}).drop("_f", "_l", "_e")
 
 
 def sliding_windows(df: DataFrame, keys: list[str], at: str, length: int, step: int) -> DataFrame:
@@ -131,9 +153,10 @@ def sliding_windows(df: DataFrame, keys: list[str], at: str, length: int, step:
     return df.drop("_first", "_last", "_i")
 
 
-def round_robin(df: DataFrame, keys: list[str], order: list[str], n: Column, name: str) -> DataFrame:
-    """(i - 1) mod n for the i-th row of a key; null where n is 0."""
-    return df.withColumn(name, F.when(n > 0, (F.row_number().over(over(keys, order)) - 1) % n).cast("long"))
+def round_robin(df: DataFrame, keys: list[str], order: str, n: Column, name: str) -> DataFrame:
+    """(i - 1) mod n for the i-th row of a key, in order of a number; null where n is 0."""
+    rows = total_before(df, keys, order, F.lit(1), "_i")
+    return rows.withColumn(name, F.when(n > 0, F.col("_i") % n).cast("long")).drop("_i")
 
 
 def spacing(df: DataFrame, keys: list[str], order: list[str], value: str, least: float) -> DataFrame:

@@ -49,7 +49,7 @@ def j13_isolated_islands(spark, d):
 
 
 def j15_priority_alias(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("id"), F.lit("customer").alias("kind")).where("c_acctbal > 9000")
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("id"), F.lit("customer").alias("kind"))
     s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id"), F.lit("supplier").alias("kind"))
     return R.priority_union([c, s], "nation", "id")
 
@@ -186,7 +186,7 @@ FROM e WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECED
     "j12_prev_next_neighbour": f"""WITH e AS {EVENTS} SELECT event_id, last_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous,
 first_value(CASE WHEN event_type = 'click' THEN event_id END IGNORE NULLS) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next FROM e""",
     "j13_isolated_islands": f"WITH e AS {EVENTS}, n AS (SELECT event_id, event_type, lag(event_type) OVER w AS b, lead(event_type) OVER w AS a FROM e WINDOW w AS ({_W})) SELECT event_id, event_type, b AS around FROM n WHERE a = b AND event_type <> b",
-    "j15_priority_alias": """WITH u AS (SELECT c_nationkey AS nation, c_custkey AS id, 'customer' AS kind, 0 AS p FROM customer WHERE c_acctbal > 9000 UNION ALL SELECT s_nationkey, s_suppkey, 'supplier', 1 FROM supplier)
+    "j15_priority_alias": """WITH u AS (SELECT c_nationkey AS nation, c_custkey AS id, 'customer' AS kind, 0 AS p FROM customer UNION ALL SELECT s_nationkey, s_suppkey, 'supplier', 1 FROM supplier)
 SELECT nation, id, kind FROM u QUALIFY row_number() OVER (PARTITION BY nation ORDER BY p, id DESC) = 1""",
     "j16_semi": "SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "j17_anti": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",

@@ -55,7 +55,7 @@ def w08_gap_timeline(spark, d):
 
 def _timeline(spark, d):
     t = table(spark, d, "documents").select("doc_id", "source", F.regexp_count("text", F.lit("[a-z]+")).cast("long").alias("words"))
-    return S.proportional_timeline(t, ["source"], ["doc_id"], "words", 3_600_000)
+    return S.proportional_timeline(t, ["source"], "doc_id", "words", 3_600_000)
 
 
 def w09_proportional_timeline(spark, d):
@@ -63,7 +63,7 @@ def w09_proportional_timeline(spark, d):
 
 
 def w10_rescale_timeline(spark, d):
-    return S.rescale_timeline(_timeline(spark, d), ["source"], ["doc_id"], 1_234_567).select("source", "doc_id", "new_start", "new_end")
+    return S.rescale_timeline(_timeline(spark, d), ["source"], "doc_id", 1_234_567).select("source", "doc_id", "new_start", "new_end")
 
 
 def w11_sliding_windows(spark, d):
@@ -74,7 +74,7 @@ def w11_sliding_windows(spark, d):
 def w16_round_robin(spark, d):
     n = table(spark, d, "nation").groupBy(F.col("n_regionkey").alias("r")).agg(F.count(F.lit(1)).alias("n"))
     c = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(n, F.col("n_regionkey") == F.col("r"))
-    return S.round_robin(c, ["n_regionkey"], ["c_custkey"], F.col("n"), "place").select("c_custkey", "n_regionkey", "place")
+    return S.round_robin(c, ["n_regionkey"], "c_custkey", F.col("n"), "place").select("c_custkey", "n_regionkey", "place")
 
 
 def w17_row_spacing(spark, d):

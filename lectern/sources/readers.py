@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from .paths import exists
 
 NUMBER = r"(-?[\d.]+)"
 #: A positioned run of text: x, y, width, colour, font, size, text. Commands begin with a prefix of letters of the document's own.
@@ -132,16 +133,19 @@ def hashes(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select(F.col("path").alias("file"), F.upper(F.sha2("content", 256)).alias("sha256"))
 
 
-def or_empty(spark: SparkSession, read, schema: str, strict: bool = False) -> DataFrame:
-    """A table, or an empty one if its path is missing; an error if strict."""
-    from pyspark.errors import AnalysisException
-
-    try:
+def or_empty(spark: SparkSession, path: str, read, schema: str, strict: bool = False) -> DataFrame:
+    """read() of a table, or an empty one if its path is missing; an error if strict. Other faults are errors."""
+    if strict or exists(spark, path):
         return read()
-    except AnalysisException:
-        if strict:
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
+
+
+def wav_seconds(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFrame:
+    """file and seconds of WAV files, from the first bytes of each: the byte rate of the format and the length of the data."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    word = lambda at: F.conv(F.concat(*[F.hex(F.substring("content", at + k, 1)) for k in (3, 2, 1, 0)]), 16, 10).cast("double")
+    whole = (F.substring("content", 1, 4) == F.lit(b"RIFF")) & (F.substring("content", 37, 4) == F.lit(b"data"))
+    return files.select(F.col("path").alias("file"), F.when(whole, word(41) / word(29)).alias("seconds"))
 
 
 def svg_paths(spark: SparkSession, path: str) -> DataFrame:
@@ -153,3 +157,11 @@ def svg_paths(spark: SparkSession, path: str) -> DataFrame:
 def transcript(c: Column) -> tuple[Column, Column]:
     """Question and answer of a transcript with headings."""
     return X.section(c, "QUESTION SPOKEN TEXT:", "ANSWER SPOKEN TEXT:"), X.section(c, "ANSWER SPOKEN TEXT:", "\u0000")
+
+
+def in_order(paths: DataFrame, wanted: list[str]) -> DataFrame:
+    """The wanted paths by id, in their order; an error if one is missing."""
+    spark = paths.sparkSession
+    want = spark.createDataFrame(list(enumerate(wanted)), "ord int, id string")
+    rows = want.join(paths, "id", "left")
+    return rows.withColumn("d", F.when(F.col("d").isNull(), F.raise_error(F.concat(F.lit("no path "), "id"))).otherwise(F.col("d"))).select("ord", "id", "fill", "d")
