@@ -13,7 +13,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +82,8 @@ def format_chat(turns: DataFrame, tokenizer: str, conv_col: str = "conv_id", tur
     A conversation's sequence is its rows' ids, one after another: no row holds more than one turn, so a
     conversation of any length needs little memory. Texts are encoded before the shuffle; then each
     conversation passes through one task as a stream. Null role or text: empty; a null conversation is a
-    conversation; equal turn numbers are ordered by role, then text; repeated rows are repeated turns.
+    conversation; equal turn numbers are ordered by role, then text, both by their UTF-8 bytes; repeated rows are
+    repeated turns.
     Null turn numbers come first. Other columns are not read. A conversation without rows has no output.
     """
     kind = turns.schema[conv_col].dataType.simpleString()
@@ -92,26 +95,26 @@ def format_chat(turns: DataFrame, tokenizer: str, conv_col: str = "conv_id", tur
         start, end = cod.size + START_AT, cod.size + END_AT
         nl = cod.encode("\n")
         for b in batches:
-            ids, a, z, h = [], [], [], []
+            ids, a, z = [], [], []
             for r, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 head = [start, *cod.encode(escape_role(r)), *nl]
                 body = cod.encode(escape(x))
-                ids.append([*head, *body, end, *nl])
+                ids.append(array("I", [*head, *body, end, *nl]).tobytes())
                 loss = len(body) if r == LOSS_ROLE else 0
                 a.append(len(head))
                 z.append(len(head) + loss)
-                h.append(hashlib.md5(r.encode("utf-8", "surrogatepass") + b"\0" + x.encode("utf-8", "surrogatepass")).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(h), pa.array(ids, pa.list_(pa.int32())), pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["c", "t", "r", "h", "ids", "a", "z"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary()), pa.array(a, pa.int64()), pa.array(z, pa.int64())], ["c", "t", "r", "x", "ids", "a", "z"])
 
-    coded = rows.mapInArrow(encode, f"c {kind}, t {turn_kind}, r string, h string, ids array<int>, a long, z long")
-    coded = (coded.repartition(partitions, "c") if partitions else coded.repartition("c")).sortWithinPartitions("c", "t", "r", "h")
+    coded = rows.mapInArrow(encode, f"c {kind}, t {turn_kind}, r string, x string, ids binary, a long, z long")
+    coded = (coded.repartition(partitions, "c") if partitions else coded.repartition("c")).sortWithinPartitions("c", "t", "r", "x").drop("t", "r", "x")
 
     def place(batches):
         at, n, last = 0, 0, (False, None)
         for b in batches:
             cs = b.column(0).to_pylist()
-            lens = [len(x) for x in b.column(4)]
-            a, z = b.column(5).to_pylist(), b.column(6).to_pylist()
+            raw = b.column(1).to_pylist()
+            lens = [len(x) // 4 for x in raw]
+            a, z = b.column(2).to_pylist(), b.column(3).to_pylist()
             no, first, stop, lf, ll = [], [], [], [], []
             for i, c in enumerate(cs):
                 if (True, c) != last:
@@ -123,7 +126,9 @@ def format_chat(turns: DataFrame, tokenizer: str, conv_col: str = "conv_id", tur
                 ll.append(at + z[i])
                 at, n = at + lens[i], n + 1
             big = pa.int64()
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(no, big), b.column(4), *(pa.array(v, big) for v in (first, stop, lf, ll))], ["c", "n", "ids", "first", "last", "loss_first", "loss_last"])
+            flat = pa.array(np.frombuffer(b"".join(raw), "<i4"))
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32)), flat)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(no, big), ids, *(pa.array(v, big) for v in (first, stop, lf, ll))], ["c", "n", "ids", "first", "last", "loss_first", "loss_last"])
 
     out = coded.mapInArrow(place, f"c {kind}, n long, ids array<int>, first long, last long, loss_first long, loss_last long")
     return out.withColumnRenamed("c", conv_col)
