@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Rows that one window task should hold.
-ROWS_PER_BUCKET = 20_000
+#: Rows that one window task should hold, and buckets there are at least, so that small tables are spread, too.
+ROWS_PER_BUCKET, MIN_BUCKETS = 20_000, 128
 
 
 def interleave(rows: DataFrame, n_shards: int, stratum: str, order: list[str], seed: int = 17) -> DataFrame:
@@ -31,7 +31,7 @@ def interleave(rows: DataFrame, n_shards: int, stratum: str, order: list[str], s
     packed = rows.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("r"), F.col(f"`{stratum}`").alias("s"), F.md5(F.to_json(F.struct(F.lit(seed).alias("seed"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(order)]))).alias("h"))
     packed = common.materialise(packed, "interleave")
     total = packed.count()
-    buckets = max(1, -(-total // ROWS_PER_BUCKET))
+    buckets = max(MIN_BUCKETS, -(-total // ROWS_PER_BUCKET))
     packed = packed.withColumn("b", F.expr(f"cast(conv(substring(h, 1, 8), 16, 10) as bigint) * {buckets} div {1 << 32}"))
 
     per = packed.groupBy("s", "b").agg(F.count(F.lit(1)).alias("n"))
