@@ -8,6 +8,8 @@ selects a bucket of patterns, and each is compared word by word.
 
 from __future__ import annotations
 
+import uuid
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,32 +85,51 @@ def scan(words: list[bytes], tables: list[WuManber]) -> tuple[list[tuple[int, in
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """The benchmark in blocks of at most about block_bytes of text, one at a time on the driver."""
+    """The number of blocks, and the benchmark in blocks of about block_bytes of text, one at a time on the driver."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t")).where("t is not null")
     total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
     n = -(-total // block_bytes) or 1
-    for k in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r.i if r.i is not None else "null", bytes(r.t)) for r in part.collect()]
+
+    def each():
+        for k in range(n):
+            part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
+            yield [(r.i if r.i is not None else "null", bytes(r.t)) for r in part.collect()]
+
+    return n, each()
+
+
+#: The tables of the block that this worker process searched last.
+_tables: dict[str, list[WuManber]] = {}
+
+
+def tables_of(name: str, sent, window: int) -> list[WuManber]:
+    """The tables of a broadcast block: built once for a worker, not for each task."""
+    if name not in _tables:
+        _tables.clear()
+        _tables[name] = build(sent.value, window)
+    return _tables[name]
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """Per document: the id, n_words, spans of hit words (first, last exclusive, merged) and the items found.
 
     The benchmark goes to the executors in blocks of about block_bytes; a larger benchmark takes one
-    pass over the documents for each block, so that memory is bounded and all items are searched.
+    pass over the documents for each block, so that memory is bounded by a block (and the longest item) and all items
+    are searched.
     Null or empty text: no words, no spans. A null item id is named "null"; items without words match
     nothing. Repeated rows give repeated results. Other columns of either table are not read.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t"))
     kind = rows.schema["k"].dataType.simpleString()
-    passes = []
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+    n, blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+
+    def search(items: list[tuple]):
         sent = spark.sparkContext.broadcast(items)
+        name = uuid.uuid4().hex
 
-        def run(batches, sent=sent):
-            tables = build(sent.value, window)
+        def run(batches):
+            tables = tables_of(name, sent, window)
             for b in batches:
                 n, spans, names = [], [], []
                 for t in b.column(1):
@@ -122,21 +143,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
                     ["k", "n_words", "spans", "items"],
                 )
 
-        passes.append((rows, run))
-    if len(passes) == 1:
-        out = rows.mapInArrow(passes[0][1], f"k {kind}, {SCHEMA}")
+        return sent, run
+
+    if n == 1:
+        out = rows.mapInArrow(search(next(blocks))[1], f"k {kind}, {SCHEMA}")
     else:
-        out = _merged(rows, [r for _, r in passes], kind)
+        out = _merged(rows, map(search, blocks))
     return out.withColumnRenamed("k", id_col)
 
 
-def _merged(rows: DataFrame, runs: list, kind: str) -> DataFrame:
-    """Several passes, put together by document; rows with one id and text share a result and keep their number."""
+def _merged(rows: DataFrame, searches) -> DataFrame:
+    """Several passes, each written before the next block is read, so that one block is in memory at a time; put together
+    by document. Rows with one id and text share a result and keep their number."""
     tagged = rows.select(F.struct("k", F.sha2("t", 256).alias("h")).alias("key"), "t").withColumn("k", F.to_json("key"))
     plain = rows.select("k", F.to_json(F.struct("k", F.sha2("t", 256).alias("h"))).alias("j"))
     part = None
-    for run in runs:
-        p = tagged.select("k", "t").mapInArrow(run, f"k string, {SCHEMA}").dropDuplicates(["k"])
+    for sent, run in searches:
+        p = common.materialise(tagged.select("k", "t").mapInArrow(run, f"k string, {SCHEMA}").dropDuplicates(["k"]), "hits")
+        sent.destroy()
         part = p if part is None else part.unionByName(p)
     both = part.groupBy(F.col("k").alias("j")).agg(F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     empty = F.expr("cast(array() as array<struct<first:bigint,last:bigint>>)")
