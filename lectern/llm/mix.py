@@ -11,7 +11,7 @@ aggregation over the documents; only K + K * K sums come to the driver.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -22,6 +22,8 @@ SLOTS = 1 << 16
 #: A slot is in the model if its share in one domain is so many standard errors from its share overall.
 MIN_Z = 5.0
 MAX_LABELLED = 20_000
+#: Rows whose rates are rounded together, about.
+ROWS_PER_BUCKET = 20_000
 
 
 def _first_half() -> Column:
@@ -98,21 +100,24 @@ def _score(rows: DataFrame, model: DataFrame, k: int) -> DataFrame:
     return scored.drop("r")
 
 
-def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None) -> DataFrame:
+def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None, label_id_col: str | None = None) -> DataFrame:
     """k (the id), tokens, p0.. (posterior of each domain in domains) for every row.
 
     labelled has an id and a domain; at most MAX_LABELLED of its rows, those with the smallest hash, are
     used, and only their ids and the model, SLOTS rows at most, are broadcast. Null ids and domains outside
     the list are passed over, an id with several domains takes the first in the list's order. Without
     labelled rows the posteriors are uniform. teach has the texts of the labelled rows, if docs no longer
-    has all of them: a domain whose rows an earlier stage took out is learned all the same. Texts without tokens have no evidence, only length and variety.
+    has all of them: a domain whose rows an earlier stage took out is learned all the same; its ids are in
+    label_id_col, as those of labelled are. Texts without tokens have no evidence, only length and variety. Repeated rows get one
+    posterior each; other columns are not read, whatever they are called.
     """
     index = F.create_map(*[x for i, d in enumerate(domains) for x in (F.lit(d), F.lit(i))])
-    sample = labelled.select(F.col(id_col).alias("k"), index[F.col(domain_col)].alias("y")).where("k is not null and y is not null")
+    label_id_col = label_id_col or id_col
+    sample = labelled.select(F.col(label_id_col).alias("k"), index[F.col(domain_col)].alias("y")).where("k is not null and y is not null")
     sample = common.materialise(sample.groupBy("k").agg(F.min("y").alias("y")).orderBy(F.xxhash64("k"), "k").limit(MAX_LABELLED), "labelled")
-    texts = lambda df: df.select(F.col(id_col).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
+    texts = lambda df, c=id_col: df.select(F.col(c).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     rows, k = texts(docs), len(domains)
-    known = rows if teach is None else texts(teach)
+    known = rows if teach is None else texts(teach, label_id_col)
     model = common.materialise(_vocabulary(known.join(F.broadcast(sample.where(_first_half())), "k").select("y", _slots(F.col("t")).alias("slots")), k).coalesce(1), "vocabulary")
 
     scored = common.materialise(_score(rows, model, k), "scores")
@@ -188,17 +193,33 @@ def shares(report: dict, domains: list[str]) -> dict[str, tuple[float, float]]:
     return {d: (float(g), float(r)) for d, g, r in zip(domains, goal, reached, strict=True)}
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None) -> tuple[DataFrame, dict]:
+def rounded(rows: DataFrame, rate: Column, k: int, seed: int) -> DataFrame:
+    """rows (k, tokens, p0..) with rate and copies: rates rounded so that sums agree. Rows of about the same length and the
+    same likeliest domain stand in a seeded order, and each gets the whole numbers that the running sum of rates passes in its
+    row: a run of rows is at most one copy off, where coin flips would be off by the root of their number."""
+    total = rows.count()
+    buckets = max(1, -(-total // ROWS_PER_BUCKET))
+    h = F.xxhash64(F.lit(seed), "k", "tokens")
+    likeliest = F.greatest(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(-i).alias("i")) for i in range(k)])["i"] if k > 1 else F.lit(0)
+    place = {"rate": rate, "_h": h, "_b": F.pmod(h, F.lit(buckets)), "_s": F.floor(F.log2(F.greatest(F.col("tokens"), F.lit(1)).cast("double")) * 2), "_d": likeliest}
+    own = Window.partitionBy("_b", "_s", "_d")
+    upto = F.sum("rate").over(own.orderBy("_h", "k").rowsBetween(Window.unboundedPreceding, 0))
+    start = F.pmod(F.xxhash64(F.lit(seed), "_b", "_s", "_d"), F.lit(1 << 30)) / float(1 << 30)
+    out = rows.withColumns(place).withColumn("_u", upto + start)
+    before = F.coalesce(F.floor(F.lag("_u").over(own.orderBy("_h", "k"))), F.floor(start))
+    return out.withColumn("copies", (F.floor("_u") - before).cast("long")).drop("_h", "_b", "_s", "_d", "_u")
+
+
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], budget: float | str | None = None, min_rate: float = 0.0, max_rate: float = 16.0, growth: float = 1.0, seed: int = 29, id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None, label_id_col: str | None = None) -> tuple[DataFrame, dict]:
     """Per row: id, tokens, posteriors (array in the order of targets), rate, copies; and a report of totals.
 
-    copies is the rate rounded down, and one more for the share of rows that a seeded hash of id and
-    tokens gives: their expected totals are those of the rates. Rows without tokens have the prior and
-    a rate of their own, and weigh nothing. teach: see posteriors(). An empty table gives an empty result.
+    copies is the rate rounded up or down, see rounded(). at_bound is true where the rate is min_rate or max_rate. Rows without
+    tokens have the prior and a rate of their own, and weigh nothing. teach, label_id_col: see posteriors(). Repeated
+    rows are rows of their own. An empty table gives an empty result.
     """
     domains = list(targets)
-    rows = posteriors(docs, labelled, domains, id_col, text_col, domain_col, teach)
+    rows = posteriors(docs, labelled, domains, id_col, text_col, domain_col, teach, label_id_col)
     rate, report = fit_rates(rows, [targets[d] for d in domains], budget, min_rate, max_rate, growth)
-    chance = F.pmod(F.xxhash64(F.lit(seed), "k", "tokens"), F.lit(1 << 30)) / float(1 << 30)
-    out = rows.withColumn("rate", rate)
-    out = out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("long")).cast("long"))
-    return out.select(F.col("k").alias(id_col), "tokens", F.array(*[f"p{i}" for i in range(len(domains))]).alias("posteriors"), "rate", "copies"), report
+    out = rounded(rows, rate, len(domains), seed)
+    bound = (F.col("rate") <= min_rate) | (F.col("rate") >= max_rate)
+    return out.select(F.col("k").alias(id_col), "tokens", F.array(*[f"p{i}" for i in range(len(domains))]).alias("posteriors"), "rate", "copies", bound.alias("at_bound")), report

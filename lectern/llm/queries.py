@@ -26,9 +26,11 @@ def domain_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = mix.mix(table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), TARGETS)
+    """Per document its posteriors, rate and copies, and of the whole the shares sought and reached, the same in each row."""
+    rows, report = mix.mix(table(spark, sf_dir, "documents"), domain_labels(spark, sf_dir), TARGETS)
     share = lambda i: F.round(F.get("posteriors", F.lit(i)), 6)
-    return rows.select("doc_id", "tokens", *[share(i).alias(f"p_{d}") for i, d in enumerate(TARGETS)], F.round("rate", 6).alias("rate"), "copies")
+    reached = [F.lit(round(r, 6)).alias(f"reached_{d}") for d, (_, r) in mix.shares(report, list(TARGETS)).items()]
+    return rows.select("doc_id", "tokens", *[share(i).alias(f"p_{d}") for i, d in enumerate(TARGETS)], F.round("rate", 6).alias("rate"), "copies", "at_bound", *reached)
 
 
 def token_rows(spark: SparkSession, docs: DataFrame, seq_len: int = 512, shard_rows: int = 8192) -> DataFrame:
