@@ -1,13 +1,14 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, and the components of its links.
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Documents with equal sets are one
-vertex. Shingles have a global order, rare before frequent. If two sets overlap enough, their prefixes of
+vertex, named by the 128-bit digest of the set. Shingles have a global order, rare before frequent. If two sets overlap enough, their prefixes of
 n - ceil(t n) + l shingles share at least l; each document takes the l with the least estimated candidate
 cost, and a pair needs min(l) shared shingles in the prefixes of that l before its sets are compared.
 
 links() gives every link. near_duplicates() needs them for components only, so there a shingle's list of documents is not expanded into all pairs: its
 first document is compared with the others (short lists in full), lists whose documents are in one component are done, and the
-rest goes on with more first documents, until no list holds two components that are not compared.
+rest goes on with more first documents, until no list holds two components that are not compared. The longest lists are
+compared with their centers where their rows lie, so that no task holds such a list.
 """
 
 from __future__ import annotations
@@ -31,6 +32,12 @@ CACHE = 300_000
 SHARED_BITS, FREQUENT, LEAST_FREQUENT = 1 << 27, 1 << 20, 8
 MAX_MATCHES = 6
 TOKENS_PER_BUCKET = 1 << 21
+#: Bytes of a word and the space after it, for the number of buckets.
+BYTES_PER_WORD = 6
+#: Lists of HOT rows or more are split, MOST_HOT of them at most (the longest), with MOST_CENTERS centers in all.
+HOT, MOST_HOT, MOST_CENTERS = 1000, 10_000, 100_000
+#: Up to so many vertices are looked up in a table by broadcasting their names.
+BROADCAST_IDS = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _FULL = (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -63,8 +70,8 @@ def shingles(text: bytes | None, hashes: dict) -> np.ndarray:
     return np.unique(_mix(x + np.uint64(width if width < SHINGLE else 0)))
 
 
-def vertex(s: np.ndarray) -> int:
-    return int.from_bytes(hashlib.md5(s.tobytes()).digest()[:8], "little", signed=True)
+def vertex(s: np.ndarray) -> bytes:
+    return hashlib.md5(s.tobytes()).digest()
 
 
 def needed(n: int, percent: int) -> int:
@@ -115,25 +122,37 @@ def _members(docs: DataFrame, kind: str) -> DataFrame:
         hashes = _Hashes()
         for b in batches:
             sets = [shingles(t.as_py(), hashes) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([vertex(s) if len(s) else None for s in sets], pa.int64())], ["k", "n", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([vertex(s) if len(s) else None for s in sets], pa.binary())], ["k", "n", "v"])
 
-    return common.materialise(docs.mapInArrow(run, f"k {kind}, n long, v long"), "members")
+    return common.materialise(docs.mapInArrow(run, f"k {kind}, n long, v binary"), "members")
+
+
+def _words(texts: DataFrame) -> int:
+    """About the number of words."""
+    return (texts.agg(F.sum(F.length("t"))).first()[0] or 0) // BYTES_PER_WORD
 
 
 def _order(docs: DataFrame, tokens: int) -> Order:
     """Counts every shingle of every text. Shingles travel as sorted blocks of 4 bytes each, by the bucket
-    that their first bits name; a bucket's counts fit in memory whatever the size of the corpus."""
-    b = max(6, min(16, (tokens // TOKENS_PER_BUCKET).bit_length()))
+    that their first bits name; those found LEAST_FREQUENT times in a block travel with their count, so that
+    no shingle fills a bucket. Buckets grow in number with the corpus."""
+    b = max(6, min(20, (tokens // TOKENS_PER_BUCKET).bit_length()))
 
     def spread(batches):
         hashes = _Hashes()
 
         def blocks(parts):
             x = np.sort(np.concatenate(parts))
-            cut = np.searchsorted(x, np.arange(1, 1 << b, dtype=np.uint64) << np.uint64(64 - b))
-            low = ((x << np.uint64(b)) >> np.uint64(32)).astype("<u4")
-            found = [(i, p.tobytes()) for i, p in enumerate(np.split(low, cut)) if len(p)]
-            return pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int32()), pa.array([p for _, p in found], pa.binary())], ["b", "z"])
+            edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+            n = np.diff(np.r_[edge, len(x)])
+            often = n >= LEAST_FREQUENT
+            few, many, counts = np.repeat(x[edge][~often], n[~often]), x[edge][often], n[often].astype("<u4")
+            edges = np.arange(1, 1 << b, dtype=np.uint64) << np.uint64(64 - b)
+            low = lambda v: ((v << np.uint64(b)) >> np.uint64(32)).astype("<u4")
+            at = np.searchsorted(many, edges)
+            found = [(i, f.tobytes(), m.tobytes(), c.tobytes()) for i, (f, m, c) in enumerate(zip(np.split(low(few), np.searchsorted(few, edges)), np.split(low(many), at), np.split(counts, at), strict=True)) if len(f) or len(m)]
+            cols = list(zip(*found, strict=True)) or [[], [], [], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["b", "z", "m", "c"])
 
         parts, held = [], 0
         for batch in batches:
@@ -151,9 +170,12 @@ def _order(docs: DataFrame, tokens: int) -> Order:
 
     def count(table: pa.Table) -> pa.Table:
         at = table.column("b")[0].as_py()
-        x = np.sort(np.concatenate([np.frombuffer(z.as_py(), "<u4") for z in table.column("z")]))
+        z, m, c = (np.frombuffer(b"".join(table.column(name).to_pylist()), "<u4") for name in ("z", "m", "c"))
+        x, weight = np.concatenate([z, m]), np.concatenate([np.ones(len(z), np.int64), c.astype(np.int64)])
+        by = np.argsort(x, kind="stable")
+        x, weight = x[by], weight[by]
         edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-        low, n = x[edge].astype(np.uint64), np.diff(np.r_[edge, len(x)])
+        low, n = x[edge].astype(np.uint64), np.add.reduceat(weight, edge)
         bits = np.zeros(size, np.uint8)
         bits[(low[n > 1] >> np.uint64(32 - (size.bit_length() - 1))).astype(np.int64)] = 1
         often = np.flatnonzero(n >= LEAST_FREQUENT)
@@ -161,31 +183,46 @@ def _order(docs: DataFrame, tokens: int) -> Order:
         keys = (np.uint64(at) << np.uint64(32)) | low[often]
         return pa.table({"b": pa.array([at], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), "keys": pa.array([keys.astype("<u8").tobytes()], pa.binary()), "n": pa.array([n[often].astype("<i8").tobytes()], pa.binary())})
 
-    rows = docs.select("t").mapInArrow(spread, "b int, z binary").groupBy("b").applyInArrow(count, "b int, bits binary, keys binary, n binary").collect()  # of fixed size in all
+    def join(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["b"])
+        first = rows[0]["b"] >> (b - 10) << (b - 10)
+        bits = bytearray((size >> 3) << (b - 10))
+        for r in rows:
+            at = (r["b"] - first) * (size >> 3)
+            bits[at : at + (size >> 3)] = r["bits"]
+        return pa.table({"b": pa.array([first], pa.int32()), "bits": pa.array([bytes(bits)], pa.binary()), **{c: pa.array([b"".join(r[c] for r in rows)], pa.binary()) for c in ("keys", "n")}})
+
+    counted = docs.select("t").mapInArrow(spread, "b int, z binary, m binary, c binary").groupBy("b").applyInArrow(count, "b int, bits binary, keys binary, n binary")
+    if b > 12:  # many small buckets: a thousand rows for the driver
+        counted = counted.groupBy(F.shiftright("b", b - 10).alias("hi")).applyInArrow(join, "b int, bits binary, keys binary, n binary")
     bits = np.zeros(SHARED_BITS >> 3, np.uint8)
+    rows = counted.collect()  # of fixed size in all
     for r in rows:
         part = np.frombuffer(r.bits, np.uint8)
-        bits[r.b * len(part) : (r.b + 1) * len(part)] = part
+        bits[r.b * (size >> 3) : r.b * (size >> 3) + len(part)] = part
     keys = np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(r["keys"], "<u8") for r in rows]])
     n = np.concatenate([np.zeros(0, np.int64), *[np.frombuffer(r.n, "<i8") for r in rows]])
     keys, first = np.unique(keys, return_index=True)
     return Order(bits, keys, n[first], 32 - b)
 
 
-def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
-    """v, n, ell, base (the length of the prefix for l = 1), and the tokens of the prefix that others may have, with
-    their positions in it. One row for each distinct set."""
+def _described(docs: DataFrame, kind: str, order, percent: int) -> DataFrame:
+    """Of every row (k, t): k, n, v; and, once for a set and task, ell, base (the length of the prefix for l = 1), and
+    the tokens of the prefix that others may have, with their positions in it."""
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
     def run(batches):
         hashes, rank, seen = _Hashes(), order.value, set()
         for b in batches:
             out = []
-            for t in b.column(0):
+            for t in b.column(1):
                 s = shingles(t.as_py(), hashes)
                 if not len(s):
+                    out.append((0, None, None, None, None, None))
                     continue
                 v, n = vertex(s), len(s)
                 if v in seen:
+                    out.append((n, v, None, None, None, None))
                     continue
                 if len(seen) < CACHE:
                     seen.add(v)
@@ -193,13 +230,17 @@ def _prefixes(docs: DataFrame, order, percent: int) -> DataFrame:
                 ell = matches(f, n, percent)
                 base = n - needed(n, percent) + 1
                 at = np.flatnonzero(f[: base + ell - 1] > 1)
-                if len(at):
-                    out.append((v, n, ell, base, s[at].view(np.int64), at.astype(np.int32)))
+                out.append((n, v, ell, base, s[at].view(np.int64), at.astype(np.int32)) if len(at) else (n, v, None, None, None, None))
             if out:
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], ["v", "n", "ell", "base", "tokens", "at"])
+                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["k", "n", "v", "ell", "base", "tokens", "at"])
+
+    return common.materialise(docs.mapInArrow(run, f"k {kind}, n long, v binary, ell int, base int, tokens array<long>, at array<int>"), "described")
+
 
-    return docs.select("t").mapInArrow(run, "v long, n int, ell int, base int, tokens array<long>, at array<int>").dropDuplicates(["v"])
+def _prefixes(described: DataFrame) -> DataFrame:
+    """One row for each distinct set that may have others like it."""
+    rows = described.where("tokens is not null").select("v", F.col("n").cast("int").alias("n"), "ell", "base", "tokens", "at")
+    return common.materialise(rows.dropDuplicates(["v"]), "prefixes")
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
@@ -212,14 +253,16 @@ def _postings(prefixes: DataFrame) -> DataFrame:
 def _enough_matches(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     """The pairs that share at least min(ell) tokens of their prefixes for that l."""
     cols = ["ell", "base", "tokens", "at"]
-    for side in ("v", "w"):
-        pairs = pairs.join(prefixes.select(F.col("v").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in cols]), side)
+    for side in ("v", "w"):  # the same but for names, so that one shuffle serves both
+        own = prefixes.select(F.col("v").alias(f"key_{side}"), *[F.col(c).alias(f"{c}_{side}") for c in cols])
+        pairs = pairs.join(own, F.col(side) == F.col(f"key_{side}"))
     ell = F.least("ell_v", "ell_w")
     cut = lambda side: F.filter(f"tokens_{side}", lambda x, i: F.get(f"at_{side}", i) < F.col(f"base_{side}") + ell - 1)
     return pairs.where(F.size(F.array_intersect(cut("v"), cut("w"))) >= ell).select("v", "c", "w", "d")
 
 
 _LIST = ["token", "v", "n", "level", "ell", "before", "pos", "c"]
+SWEPT = "token long, v binary, n int, level int, ell int, before int, pos int, c binary, w binary, d binary"
 
 
 #: A list of so many documents or fewer is compared in full at once.
@@ -227,14 +270,13 @@ SHORT = 8
 
 
 def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Streams the lists, documents with few tokens of their own first. Columns but token and v that rows lack
-    have one value, and each document is a component; rows of one token and v may then repeat. All pairs of a
+    """Streams the lists, documents with few tokens of their own first; rows of one token and v may repeat. All pairs of a
     short list are paired. Of a longer one the first width documents are centers, and all are paired with
     those before them. Pairs are of different components, of sizes and positions that allow a link:
     the overlap is at most what others may have of both before the token, the token, and what follows in
     both. Gives pairs (token null, v and c, w and d), and the rows after the centers of longer lists."""
     names = [*_LIST, "w", "d"]
-    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.int64(), pa.int64(), pa.int64()]
+    kinds = [pa.int64(), pa.binary(), *[pa.int32()] * 5, pa.binary(), pa.binary(), pa.binary()]
 
     def pair(out, others, row):
         _, v, n, level, ell, before, pos, c = row
@@ -285,19 +327,44 @@ def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
         if out:
             yield batch(out)
 
-    dealt = rows.repartition("token")
-    more = {"n": F.lit(1), "level": F.lit(1), "ell": F.lit(1), "before": F.lit(0), "pos": F.lit(0), "c": F.col("v")}
-    dealt = dealt.withColumns({c: x for c, x in more.items() if c not in rows.columns}).select(*_LIST)
-    dealt = dealt.sortWithinPartitions("token", F.col("pos") - F.col("before"), "v")
-    return dealt.mapInArrow(run, "token long, v long, n int, level int, ell int, before int, pos int, c long, w long, d long")
+    dealt = rows.select(*_LIST).repartition("token").sortWithinPartitions("token", F.col("pos") - F.col("before"), "v")
+    return dealt.mapInArrow(run, SWEPT)
+
+
+def _hot_pairs(rows: DataFrame, width: int, hot: int, percent: int) -> DataFrame:
+    """_sweep() of so many long lists without dealing them out: a center is the first row of a chunk of its list, found with
+    partial minima, and the rows meet the broadcast centers where they lie."""
+    chunks = max(1, min(width, MOST_CENTERS // hot))
+    first = F.min(F.struct((F.col("pos") - F.col("before")).alias("o"), *_LIST[1:])).alias("x")
+    centers = common.materialise(rows.groupBy("token", F.pmod(F.xxhash64("v"), F.lit(chunks)).alias("chunk")).agg(first).select("token", "x"), "centers")
+    x = lambda c: F.col(f"x.{c}")
+    most = F.least("before", x("before")) + F.least(F.col("n") - F.col("pos"), x("n") - x("pos"))
+    may = (F.col("c") != x("c")) & (F.greatest("level", x("level")) <= F.least("ell", x("ell"))) & (100 * F.least("n", x("n")) >= percent * F.greatest("n", x("n"))) & ((100 + percent) * most >= percent * (F.col("n") + x("n")))
+    none = lambda *names: [F.lit(None).cast("int").alias(c) for c in names]
+    pairs = rows.join(F.broadcast(centers), "token").where(may)
+    pairs = pairs.select(F.lit(None).cast("long").alias("token"), x("v").alias("v"), *none("n", "level", "ell", "before", "pos"), x("c").alias("c"), F.col("v").alias("w"), F.col("c").alias("d"))
+    blank = F.lit(None).cast("binary")
+    rest = rows.join(F.broadcast(centers.select("token", x("v").alias("v"))), ["token", "v"], "left_anti").select(*_LIST, blank.alias("w"), blank.alias("d"))
+    return pairs.unionByName(rest)
+
+
+def _round(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """The table of _sweep() for all lists, the longest ones split."""
+    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= HOT).orderBy(F.desc("size"), "token").limit(MOST_HOT)
+    long_ = common.materialise(sizes.select("token"), "hot")
+    hot = long_.count()
+    found = _sweep(rows.join(F.broadcast(long_), "token", "left_anti") if hot else rows, width, percent)
+    if hot:
+        found = found.unionByName(_hot_pairs(rows.join(F.broadcast(long_), "token", "left_semi"), width, hot, percent))
+    return common.materialise(found, "sweep")
 
 
 #: Bits of the sketch that says which sets are wanted.
 WANTED_BITS = 1 << 26
 
 
-def is_wanted(bits: np.ndarray, v: int) -> bool:
-    x = v & _FULL  # _mix() of one number
+def is_wanted(bits: np.ndarray, v: bytes) -> bool:
+    x = int.from_bytes(v[:8], "little")  # _mix() of one number
     x = ((x ^ (x >> 30)) * int(_M1)) & _FULL
     x = ((x ^ (x >> 27)) * int(_M2)) & _FULL
     h = (x ^ (x >> 31)) >> (64 - WANTED_BITS.bit_length() + 1)
@@ -305,23 +372,25 @@ def is_wanted(bits: np.ndarray, v: int) -> bool:
 
 
 def _wanted(vertices: DataFrame) -> np.ndarray:
-    """A bit for the hash of each vertex, in a sketch of fixed size."""
+    """A bit for the hash of each vertex (16 bytes, or a long), in a sketch of fixed size."""
     b = 10
     size = WANTED_BITS >> b
 
     def mark(table: pa.Table) -> pa.Table:
-        h = _mix(np.asarray(table.column("v").to_numpy(), np.int64).view(np.uint64))
+        h = table.column("h").to_numpy().view(np.uint64)
         bits = np.zeros(size, np.uint8)
         bits[((h << np.uint64(b)) >> np.uint64(64 - size.bit_length() + 1)).astype(np.int64)] = 1
         return pa.table({"b": pa.array([int(h[0] >> np.uint64(64 - b))], pa.int32()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
 
     def bucket(batches):
         for x in batches:
-            h = _mix(np.asarray(x.column(0).to_numpy(), np.int64).view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array((h >> np.uint64(64 - b)).astype(np.int32)), x.column(0)], ["b", "v"])
+            v = x.column(0)
+            v = np.frombuffer(b"".join(v.to_pylist()), "<u8")[::2] if pa.types.is_binary(v.type) else v.to_numpy().view(np.uint64)
+            h = _mix(v)
+            yield pa.RecordBatch.from_arrays([pa.array((h >> np.uint64(64 - b)).astype(np.int32)), pa.array(h.view(np.int64))], ["b", "h"])
 
     out = np.zeros(WANTED_BITS >> 3, np.uint8)
-    for r in vertices.select("v").mapInArrow(bucket, "b int, v long").groupBy("b").applyInArrow(mark, "b int, bits binary").collect():
+    for r in vertices.select("v").mapInArrow(bucket, "b int, h long").groupBy("b").applyInArrow(mark, "b int, bits binary").collect():
         out[r.b * (size >> 3) : (r.b + 1) * (size >> 3)] = np.frombuffer(r.bits, np.uint8)
     return out
 
@@ -329,10 +398,13 @@ def _wanted(vertices: DataFrame) -> np.ndarray:
 def _sets(docs: DataFrame, wanted) -> DataFrame:
     """v and z (its shingles, 8 bytes each) of the vertices that the sketch names."""
 
+    def batch(out):
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], ["v", "z"])
+
     def run(batches):
         hashes, bits, seen = _Hashes(), wanted.value, set()
         for b in batches:
-            out = []
+            out, held = [], 0
             for t in b.column(0):
                 s = shingles(t.as_py(), hashes)
                 if not len(s):
@@ -343,32 +415,51 @@ def _sets(docs: DataFrame, wanted) -> DataFrame:
                 if len(seen) < CACHE:
                     seen.add(v)
                 out.append((v, s.tobytes()))
-                if len(out) >= 1000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["v", "z"])
-                    out = []
+                held += len(s)
+                if held >= 1_000_000:
+                    yield batch(out)
+                    out, held = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), [pa.int64(), pa.binary()], strict=True)], ["v", "z"])
+                yield batch(out)
 
-    return docs.select("t").mapInArrow(run, "v long, z binary")
+    return docs.select("t").mapInArrow(run, "v binary, z binary")
 
 
-def linked(x: bytes, y: bytes, percent: int) -> bool:
-    """x, y: sets of 8-byte shingles."""
-    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= percent * (len(x) + len(y) - both)
+def linked(xs: list[bytes], ys: list[bytes], percent: int) -> list[bool]:
+    """xs, ys: sets of 8-byte shingles, side by side."""
+    out = []
+    for x, y in zip(xs, ys, strict=True):
+        both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+        out.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both))
+    return out
+
+
+def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs with x and y, the sets of v and w; one shuffle of sets serves both."""
+    for side, z in (("v", "x"), ("w", "y")):
+        own = sets.select(F.col("v").alias(f"key_{side}"), F.col("z").alias(z))
+        pairs = pairs.join(own, F.col(side) == F.col(f"key_{side}"))
+    return pairs
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int, same_enough) -> DataFrame:
     """The links among pairs (v, c, w, d), as edges (a, b) between components, by their whole sets."""
-    both = pairs.join(sets.select("v", F.col("z").alias("x")), "v").join(sets.select(F.col("v").alias("w"), F.col("z").alias("y")), "w").select("c", "d", "x", "y")
+    both = _both(pairs, sets).select("c", "d", "x", "y")
 
     def run(batches):
         for b in batches:
-            same = [same_enough(x, y, percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(same, pa.bool_())), b.column(1).filter(pa.array(same, pa.bool_()))], ["a", "b"])
+            same = pa.array(same_enough(b.column(2).to_pylist(), b.column(3).to_pylist(), percent), pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(same), b.column(1).filter(same)], ["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary").distinct()
+
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+def _only(table: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
+    """The rows of table whose v stands in one of count pairs; found in place if these are few, else all rows."""
+    if 2 * count > BROADCAST_IDS:
+        return table
+    ids = pairs.select("v").unionAll(pairs.select(F.col("w").alias("v"))).distinct()
+    return table.join(F.broadcast(ids), "v", "left_semi")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -396,43 +487,52 @@ def components(edges: DataFrame) -> DataFrame:
 def connect(postings: DataFrame, sets_of, percent: int, prefixes: DataFrame | None = None, same_enough=linked) -> DataFrame:
     """v, c: the components of the links among documents that share a list, for every document that has one.
 
-    postings: token and v, and n, level and ell where they differ. prefixes: see _enough_matches(). A pair that
-    passes is compared by same_enough() of its z; sets_of(broadcast sketch of the vertices wanted) gives
+    postings: token, v and n, and level, ell, before and pos where they differ. prefixes: see _enough_matches(). Pairs
+    that pass are compared by same_enough() of lists of their z; sets_of(broadcast sketch of the vertices wanted) gives
     (v, z), and may give more, and rows more than once.
     """
     spark = postings.sparkSession
     width, sets, labels = 1, None, None
-    found = common.materialise(_sweep(postings, width, percent), "sweep")
+    more = {"level": F.lit(1), "ell": F.lit(1), "before": F.lit(0), "pos": F.lit(0), "c": F.col("v")}
+    rows = postings.withColumns({c: x for c, x in more.items() if c not in postings.columns}).select(*_LIST)
+    found = _round(rows, width, percent)
     common.release(spark)
     while True:
-        pairs = found.where("token is null").select("v", "c", "w", "d").distinct()
-        pairs = common.materialise(pairs if prefixes is None else _enough_matches(pairs, prefixes), "pairs")
+        pairs = found.where("token is null").select("v", "c", "w", "d")
+        if prefixes is None:
+            pairs = pairs.distinct()
+        else:
+            pairs = _enough_matches(pairs.distinct(), _only(prefixes, pairs, pairs.count()))
+        pairs = common.materialise(pairs, "pairs")
         lists = found.where("token is not null").select(*_LIST)
         if sets is None:  # all that a later round may compare is in a longer list now
-            wanted = pairs.select("v").union(pairs.select("w")).union(lists.select("v")).distinct()
-            sets = common.materialise(sets_of(spark.sparkContext.broadcast(_wanted(wanted))).dropDuplicates(["v"]), "sets")  # a sketch of fixed size
-        old = found
-        if labels is None or not pairs.isEmpty():
+            wanted = pairs.select("v").unionAll(pairs.select("w")).unionAll(lists.select("v")).distinct()
+            sketch = spark.sparkContext.broadcast(_wanted(wanted))  # of fixed size
+            sets = common.materialise(sets_of(sketch).dropDuplicates(["v"]), "sets")
+            common.release(spark)
+        count = pairs.count()
+        if labels is None or count:
             batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
             try:
-                joined = components(_verify(pairs, sets, percent, same_enough))
+                joined = components(_verify(pairs, _only(sets, pairs, count), percent, same_enough))
             finally:
                 spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
             common.release(spark)
             moved = joined.select(F.col("v").alias("c"), F.col("c").alias("m"))
+            lists = common.materialise(lists.join(moved, "c", "left").withColumn("c", F.coalesce("m", "c")).select(*_LIST), "lists")
             if labels is None:
                 labels = joined
             else:
                 kept = labels.join(moved, "c", "left").select("v", F.coalesce("m", "c").alias("c"))
-                labels = common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
-            lists = lists.join(moved, "c", "left").withColumn("c", F.coalesce("m", "c")).select(*_LIST)
-        lists = common.materialise(lists, "lists")
+                last, labels = labels, common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
+                common.discard(last, joined)
         mixed = lists.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
         width = min(4 * width, 1024)
-        found = common.materialise(_sweep(lists.join(mixed, "token", "left_semi"), width, percent), "sweep")
-        common.discard(old, lists, pairs)
+        last, found = found, _round(lists.join(mixed, "token", "left_semi"), width, percent)
+        common.discard(lists, pairs, last)
         if found.isEmpty():
+            common.discard(sets, found)
             return labels
 
 
@@ -444,9 +544,8 @@ def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFra
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).cast("binary").alias("t")).where("length(t) > 0")
-    total = _members(texts.select(F.lit(0).alias("k"), "t"), "int").agg(F.sum("n")).first()[0] or 0
-    order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
-    prefixes = common.materialise(_prefixes(texts, order, percent), "prefixes")
+    order = spark.sparkContext.broadcast(_order(texts, _words(texts)))  # of fixed size
+    prefixes = _prefixes(_described(texts.select(F.lit(0).alias("k"), "t"), "int", order, percent))
     side = lambda s: _postings(prefixes).select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("v", "n", "level", "ell", "before", "pos")])
     both = side("v").join(side("w"), "token").where("v_v < v_w")
     both = both.where((F.greatest("level_v", "level_w") <= F.least("ell_v", "ell_w")) & (100 * F.least("n_v", "n_w") >= percent * F.greatest("n_v", "n_w")))
@@ -455,7 +554,7 @@ def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFra
     pairs = common.materialise(_enough_matches(pairs.withColumns({"c": F.col("v"), "d": F.col("w")}), prefixes).select("v", "w"), "pairs")
     wanted = spark.sparkContext.broadcast(_wanted(pairs.select("v").union(pairs.select("w")).distinct()))  # of fixed size
     sets = common.materialise(_sets(texts, wanted).dropDuplicates(["v"]), "sets")
-    sized = pairs.join(sets.select("v", F.col("z").alias("x")), "v").join(sets.select(F.col("v").alias("w"), F.col("z").alias("y")), "w").select("v", "w", "x", "y")
+    sized = _both(pairs, sets).select("v", "w", "x", "y")
 
     def run(batches):
         for b in batches:
@@ -464,15 +563,17 @@ def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFra
                 overlap = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
                 if 100 * overlap >= percent * ((len(x) + len(y)) // 8 - overlap):
                     rows.append((v, w, overlap))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["v", "w", "overlap"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.binary(), pa.binary(), pa.int64()))], ["v", "w", "overlap"])
 
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     batch = spark.conf.get(name)
     spark.conf.set(name, "256")
     try:
-        return common.materialise(sized.mapInArrow(run, "v long, w long, overlap long"), "links")
+        out = common.materialise(sized.mapInArrow(run, "v binary, w binary, overlap long"), "links")
     finally:
         spark.conf.set(name, batch)
+    common.discard(prefixes, pairs, sets)
+    return out
 
 
 def link_counts(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -490,20 +591,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     Fewer than five words: the whole sequence is the one shingle. Null, empty and blank texts have no
     shingles and are linked with nothing: their component is their own id. Rows with equal sets are in one
     component whatever their ids; null ids name a component only if it has no other. An empty table gives
-    an empty result. Other columns are not read. Shingles and sets are known by 64-bit hashes.
+    an empty result. Other columns are not read. Shingles are known by 64-bit hashes, sets by 128-bit ones.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t"))
-    members = _members(texts, kind)
-    texts = texts.where("length(t) > 0")
-    total = members.agg(F.sum("n")).first()[0] or 0
-    order = spark.sparkContext.broadcast(_order(texts, total))  # of fixed size
+    rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).cast("binary").alias("t"))
+    texts = rows.where("length(t) > 0")
+    order = spark.sparkContext.broadcast(_order(texts, _words(texts)))  # of fixed size
     common.release(spark)
 
-    prefixes = common.materialise(_prefixes(texts, order, percent), "prefixes")
+    members = _described(rows, kind, order, percent)
+    prefixes = _prefixes(members)
+    common.release(spark)
     labels = connect(_postings(prefixes), lambda wanted: _sets(texts, wanted), percent, prefixes)
-    named = members.join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    common.discard(prefixes)
+    order.destroy()
+    named = members.select("k", "n", "v").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
     least = named.where("c is not null").groupBy("c").agg(F.min("k").alias("least"))
     out = named.join(least, "c", "left")
     return out.select(F.col("k").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "k").alias("component_id"))
