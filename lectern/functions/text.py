@@ -226,16 +226,6 @@ def escape_quoted(c: Column) -> Column:
     return replace_all(c, [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")])
 
 
-def spoken(c: Column) -> Column:
-    """Text for reading aloud: no addresses, links, figure references, bracketed notes or author-year parentheses."""
-    c = F.regexp_replace(c, r"[\w.+-]+@[\w-]+\.[\w.]+", "")
-    c = F.regexp_replace(c, URL, "")
-    c = F.regexp_replace(c, r"(?i)\((?:see )?fig(?:ure|\.)?\s*\d+[^)]*\)", "")
-    c = F.regexp_replace(c, r"\([^()]*\b(?:1[89]|20)\d\d[a-z]?[^()]*\)", "")
-    c = F.regexp_replace(c, r"\[[^\]]*\]", "")
-    return collapse(F.regexp_replace(c, r"\s+([,.;:!?])", "$1"))
-
-
 def aliases(name: Column) -> Column:
     """Names by which a speaker may be labelled: as it is, with initials, initials and surname joined."""
     parts = F.regexp_extract_all(name, F.lit(r"\p{L}+"), F.lit(0))

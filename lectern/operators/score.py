@@ -44,3 +44,11 @@ def pace(words: Column, seconds: Column, low: float, high: float) -> tuple[Colum
 
 def clamp(c: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), c))
+
+
+def fidelity(bad: Column, ratio: Column, cropped: list[Column], least: float = 0.985) -> Column:
+    """A text is faithful if it holds no bad pattern, is alike enough, and both sides begin at the anchor."""
+    out = (F.size(bad) == 0) & (ratio >= least)
+    for c in cropped:
+        out = out & c
+    return out

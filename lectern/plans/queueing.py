@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import rewrite as R
 from ..functions import text as X
+from ..operators import arrays as A
 from ..operators import coverage as C
+from ..operators import score as S
 from ..sources import readers
 from .common import table
 
@@ -208,7 +210,29 @@ def t16_crop(spark, d):
     return table(spark, d, "part").select("p_partkey", found.alias("c")).select("p_partkey", "c.text", "c.cropped")
 
 
-QUERIES = {f.__name__: f for f in (j03_name_fallback, j04_voice_status, j05_changed_profiles, j24_apply_latest, j25_verified, f13_in_list, f14_work_queue, f15_status_prefix, f18_under_root, o02_queue_limit, o05_largest_file, g22_total_size, c14_scaffold, p01_composite_key, p02_unit_of_path, p06_public_manifest, p07_coalesce_chain, p09_paths, m01_rounding, m03_formats, m05_arrays, m06_nested_default, m07_json, m08_map_merge, s04_environments, s05_quote_slots, s11_json_lines, s12_catalog, s16_transcript_sections, s22_comment_block, t11_pronounced, t16_crop)}
+def g20_array_statistics(spark, d):
+    e = F.col("embedding")
+    return table(spark, d, "embeddings").select("vec_id", F.round(A.mean(e), 4).alias("mean"), F.round(A.share_over(e, 0.05), 6).alias("over"), F.array_min(e).cast("double").alias("least"), F.array_max(e).cast("double").alias("most"))
+
+
+def f19_solid(spark, d):
+    e = F.when(F.col("vec_id") % 3 == 0, F.transform("embedding", lambda x: F.lit(1).cast("float"))).otherwise(F.col("embedding"))
+    return table(spark, d, "embeddings").where(A.solid(e, 0.01)).select("vec_id")
+
+
+def j20_paired_samples(spark, d):
+    t = table(spark, d, "embeddings")
+    moved = t.where("vec_id % 5 > 0").select((F.col("vec_id") - 1).alias("vec_id"), "embedding")
+    return A.paired(t, moved, ["vec_id"], "embedding").select("vec_id", F.round("mean_difference", 4).alias("mean"), F.round(F.col("most_difference").cast("double"), 4).alias("most"))
+
+
+def c08_fidelity(spark, d):
+    ratio = F.lit(1.0) - (F.col("doc_id") % 50) / 1000
+    ok = S.fidelity(X.found_patterns(F.col("text"), ["***", "&&&", "$$$"]), ratio, [F.col("doc_id") % 7 > 0, F.length("text") > 0])
+    return table(spark, d, "documents").select("doc_id", ok.alias("ok"))
+
+
+QUERIES = {f.__name__: f for f in (j03_name_fallback, j04_voice_status, j05_changed_profiles, j24_apply_latest, j25_verified, f13_in_list, f14_work_queue, f15_status_prefix, f18_under_root, o02_queue_limit, o05_largest_file, g22_total_size, c14_scaffold, p01_composite_key, p02_unit_of_path, p06_public_manifest, p07_coalesce_chain, p09_paths, m01_rounding, m03_formats, m05_arrays, m06_nested_default, m07_json, m08_map_merge, s04_environments, s05_quote_slots, s11_json_lines, s12_catalog, s16_transcript_sections, s22_comment_block, t11_pronounced, t16_crop, g20_array_statistics, f19_solid, j20_paired_samples, c08_fidelity)}
 
 _PROFILES = "(SELECT 'v' || n_nationkey AS slug, CASE WHEN n_nationkey % 2 = 0 THEN 'working' ELSE 'candidate' END AS profile_status, concat_ws(',', CASE WHEN n_nationkey % 5 = 3 THEN 'no_audio' END, CASE WHEN n_nationkey % 3 = 0 THEN 'too_long' END) AS flags, CASE WHEN n_nationkey <> 4 THEN 'a' || n_nationkey END AS audio, CAST(n_nationkey * 3 AS VARCHAR) AS sha FROM nation WHERE n_nationkey < 9)"
 _STATUS = f"""WITH v AS (SELECT DISTINCT ON (plan, slug) plan, ord, slug FROM (SELECT s_suppkey AS plan, 0 AS ord, 'v' || (s_suppkey % 7) AS slug FROM supplier UNION ALL SELECT s_suppkey, 1, 'v' || (s_suppkey % 11) FROM supplier) ORDER BY plan, slug, ord),
@@ -251,4 +275,8 @@ SQL = {
     "s22_comment_block": "WITH l AS (SELECT 'f' || (o_custkey % 9) AS file, o_orderkey AS line_no, CASE WHEN o_orderkey % 40 = 3 THEN 'start' WHEN o_orderkey % 40 = 11 OR o_orderkey % 30 = 9 THEN 'stop' ELSE 'in' END AS kind, o_orderpriority FROM orders), s AS (SELECT file, min(line_no) AS s FROM l WHERE kind = 'start' GROUP BY 1), e AS (SELECT l.file, s, min(line_no) AS e FROM l JOIN s ON l.file = s.file AND line_no > s AND kind = 'stop' GROUP BY 1, 2) SELECT l.file, line_no, o_orderpriority AS text FROM l JOIN s ON l.file = s.file LEFT JOIN e ON l.file = e.file WHERE line_no > s.s AND (e IS NULL OR line_no < e) AND kind = 'in'",
     "t11_pronounced": "SELECT c_custkey, 'The the A I of ' || c_name || ' met MAI and A I, ' || replace(c_mktsegment, 'BUILDING', 'Building') || ' (2001)' AS spoken FROM customer",
     "t16_crop": "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'Front matter ' || p_brand || ' ' || p_name || '? And the rest' ELSE p_name || '? And the rest' END AS text, p_partkey % 5 <> 0 AS cropped FROM part",
+    "g20_array_statistics": "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 4) + 0.0 AS mean, round(len(list_filter(embedding, lambda x: x > 0.05)) / CAST(len(embedding) AS DOUBLE), 6) AS over, CAST(list_min(embedding) AS DOUBLE) AS least, CAST(list_max(embedding) AS DOUBLE) AS most FROM embeddings",
+    "f19_solid": "SELECT vec_id FROM embeddings WHERE vec_id % 3 = 0 OR list_max(embedding) - list_min(embedding) <= 0.01",
+    "j20_paired_samples": "WITH b AS (SELECT vec_id - 1 AS vec_id, embedding AS e FROM embeddings WHERE vec_id % 5 > 0), z AS (SELECT vec_id, list_transform(list_zip(embedding, e), lambda p: abs(p[1] - p[2])) AS d FROM embeddings JOIN b USING (vec_id)) SELECT vec_id, round(list_avg(CAST(d AS DOUBLE[])), 4) + 0.0 AS mean, round(CAST(list_max(d) AS DOUBLE), 4) AS most FROM z",
+    "c08_fidelity": "SELECT doc_id, NOT contains(text, '***') AND NOT contains(text, '&&&') AND NOT contains(text, '$$$') AND 1.0::DOUBLE - (doc_id % 50) / 1000.0::DOUBLE >= 0.985 AND doc_id % 7 > 0 AND length(text) > 0 AS ok FROM documents",
 }

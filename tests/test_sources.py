@@ -94,7 +94,6 @@ def test_text(spark):
     assert one(spark, X.citation_patterns(F.array(c("Doe"), c("Roe")), c("1999"))) == ["Doe and Roe, 1999", "Doe and Roe (1999)", "Doe & Roe, 1999", "Doe & Roe (1999)"]
     assert one(spark, X.join_tokens(F.array(c("a"), c(","), c("(b"), c(")")))) == "a, (b)"
     assert one(spark, X.join_lines(F.array(c("ab-"), c("cd"), c("E")))) == "ab cd E"
-    assert one(spark, X.spoken(c("Hi (Doe, 1999) [1] a@b.org ."))) == "Hi."
     assert one(spark, X.section(c("A: x B: y"), "A:", "B:")) == "x"
     assert one(spark, X.author_families(c("Doe, Jane and Max Roe"))) == ["Doe", "Roe"]
     assert one(spark, X.replace_all(c("ab"), [("a", "b"), ("bb", "c")])) == "c"
