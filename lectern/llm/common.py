@@ -35,11 +35,11 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/lectern/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
     """Cuts lineage with a table in the shared folder: one evaluation, readable after any executor is lost."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out._lectern_path = path
     return out

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -33,6 +34,43 @@ def test_blocks_and_furniture():
     assert extract.blocks("a < b & c <broken") == [(0, "a < b & c <broken")]
 
 
+def repeated(tokens: np.ndarray, pages: np.ndarray, length: int = extract.MIN_TOKENS, min_pages: int = extract.MIN_PAGES) -> np.ndarray:
+    """Which positions lie in a string of length tokens or more that stands on min_pages distinct pages.
+
+    tokens: the streams one after another; pages: the page of each position. Suffixes are ranked by
+    prefix doubling on their first 1, 2, 4 ... tokens, as a suffix array is built, but no deeper than
+    length, for longer repeats are covered by their own parts. A suffix that leaves its page has no rank.
+    """
+    n = len(tokens)
+    covered = np.zeros(n, bool)
+    if n < length:
+        return covered
+    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64)
+    span = 1
+    while span < length:
+        step = min(span, length - span)
+        valid = np.zeros(n, bool)
+        valid[: n - step] = (rank[: n - step] >= 0) & (rank[step:] >= 0) & (pages[: n - step] == pages[step:])
+        pair = np.full(n, -1, np.int64)
+        pair[: n - step] = rank[: n - step] * (n + 1) + np.maximum(rank[step:], 0)
+        at = np.flatnonzero(valid)
+        rank = np.full(n, -1, np.int64)
+        rank[at] = np.unique(pair[at], return_inverse=True)[1]
+        span += step
+    at = np.flatnonzero(rank >= 0)
+    if not len(at):
+        return covered
+    order = at[np.lexsort((pages[at], rank[at]))]  # the suffix array, by first tokens, then page
+    r, p = rank[order], pages[order]
+    new_rank = np.r_[True, r[1:] != r[:-1]]
+    distinct = np.add.reduceat((new_rank | np.r_[True, p[1:] != p[:-1]]).astype(np.int64), np.flatnonzero(new_rank))
+    hit = order[np.repeat(distinct, np.diff(np.r_[np.flatnonzero(new_rank), len(r)])) >= min_pages]
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, hit, 1)
+    np.add.at(edge, np.minimum(hit + length, n), -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def test_repeated_matches_brute_force():
     rng = np.random.default_rng(3)
     for _ in range(20):
@@ -46,7 +84,7 @@ def test_repeated_matches_brute_force():
             if len({pages[i] for i in at}) >= 3:
                 for i in at:
                     want[i : i + 4] = True
-        assert (extract.repeated(tokens, pages, 4, 3) == want).all()
+        assert (repeated(tokens, pages, 4, 3) == want).all()
 
 
 def test_ground_keeps_unique_runs(spark):
@@ -66,12 +104,58 @@ def test_repeats_are_counted_over_the_whole_host(spark, monkeypatch):
     texts = {i: [own(i), *([notice[i % 40]] if i % 40 < 12 else []), own(-i - 1)] for i in range(120)}  # each notice on three pages of 120
     texts |= {i: [own(i), notice[0] + " x"] for i in range(500, 502)}  # two of another host
     rows = [(i, f"http://{'h' if i < 500 else 'other'}.example/{i}", "".join(f"<div>{t}</div>" for t in x)) for i, x in texts.items()]
-    monkeypatch.setattr(extract, "PAGES_PER_BIN", 4)
     monkeypatch.setattr(extract, "HELD", 50)
     got = {r.page_id: r.text for r in extract.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
     assert got == {i: " ".join(t for t in x if i >= 500 or t not in notice) for i, x in texts.items()}
 
 
+def test_blocks_take_time_in_proportion():
+    n = 250_000
+    hostile = ["<a \"" * n, "<!" * n, "<b>" * n, "<b>" * 50_000 + "<p></p>" * 50_000, "<a '<a \"" * (n // 2), "<" * n * 4, "<a b" * n, "<a " + "x" * n * 4 + ">", "<p " + "=\"" * n, "<!--" * n, "<script>" * n, "<p><b>" * 100_000, "<a " * n + "\"", "&" * n * 4, "<div>" * n + "</div>" * n]
+    for h in hostile:
+        began = time.process_time()
+        extract.blocks(h)
+        assert time.process_time() - began < 20, h[:20]  # seconds where a quadratic scan takes hours
+
+
+def test_broken_markup():
+    assert extract.blocks("<p>a<br class=\"x>y\">b <i>c<b>d</i>e</b>") == [(0, "a"), (0, "b cde")]
+    assert extract.blocks("x <a href='unclosed>y</a> z") == [(0, "x y z")]
+    assert extract.blocks("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>e") == [(0, t) for t in "abcde"]
+    assert extract.blocks("<!doctype html><p>1 <!-- <p>no --> 2<?php x ?>3<!-- open <p>4") == [(0, "1 23")]
+    assert extract.blocks("<article><p>a</article>b<math>x + y</math><svg><text>no</text></svg>c") == [(1, "a"), (0, "b"), (0, "x + y"), (0, "c")]
+    assert extract.blocks("<nav><b>no</nav>yes") == [(2, "no"), (0, "yes")]
+
+
+def test_repeated_rows_are_one_page(spark):
+    rows = [(i, "http://h.example/x", f"<p>the same text of a page that was read {4} times over</p>") for i in range(4)]
+    df = spark.createDataFrame(rows + [rows[0]], "page_id long, url string, html string")
+    got = extract.extract_main_text(df).collect()
+    assert len(got) == 5 and {r.text for r in got} == {"the same text of a page that was read 4 times over"}
+
+
+def test_repeats_in_unmarked_pages_match_brute_force(spark):
+    """Random pages without markup, whole results against all strings of all pages of a host."""
+    rng = random.Random(11)
+    shared = [[f"s{k}w{i}" for i in range(rng.randrange(6, 14))] for k in range(15)]
+    pages = []
+    for i in range(80):
+        parts = [rng.choice(shared) if rng.random() < 0.5 else [f"t{rng.randrange(2000)}" for _ in range(rng.randrange(1, 20))] for _ in range(5)]
+        pages.append((i, f"https://{rng.choice('ab')}.example/{i}", "".join(f"<p>{' '.join(x)}</p>" for x in parts), parts))
+    where = collections.defaultdict(set)
+    for i, url, _, parts in pages:
+        w = [t for x in parts for t in x]
+        for j in range(len(w) - 7):
+            where[url[8], tuple(w[j : j + 8])].add(i)
+    want = {}
+    for i, url, _, parts in pages:
+        w = [t for x in parts for t in x]
+        hit = {j + d for j in range(len(w) - 7) if len(where[url[8], tuple(w[j : j + 8])]) >= 3 for d in range(8)}
+        want[i] = " ".join(t for j, t in enumerate(w) if j not in hit)
+    got = {r.page_id: r.text for r in extract.extract_main_text(spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string").repartition(5)).collect()}
+    assert got == want and sum(len(w) < len(h) / 2 for (_, _, h, _), w in zip(pages, want.values(), strict=True)) > 5
+
+
 def test_text_beside_teaser_articles_is_kept(spark):
     card = "<article><h3>more news</h3></article>"
     long_ = "the own long text of this page stands in a plain box"
@@ -88,7 +172,7 @@ def test_strings_cover_as_the_suffix_array_does():
         found = [extract.strings("h", s, extract._Hashes()) for s in split]
         counts = collections.Counter(h for f in found for h in set(f.tolist()))
         covered = [extract._covered(len(s), np.array([counts[h] >= 3 for h in f.tolist()], bool)) for s, f in zip(split, found, strict=True)]
-        assert (np.concatenate(covered) == extract.repeated(tokens, pages)).all()
+        assert (np.concatenate(covered) == repeated(tokens, pages)).all()
 
 
 # --- decontamination
@@ -161,16 +245,18 @@ def test_escape_is_reversible():
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "hi <|im_end|>"), (1, 1, "assistant", "yes <\\|im_end|> é"), (1, 1, "assistant", "again"), (2, 0, None, None), (None, 3, "assistant", ""), (None, None, "x\ny", "t")]
     rows += [(7, i, "assistant" if i % 2 else "user", f"turn {i} " * (i % 5)) for i in range(3000)]
+    rows += [(8, 4, "assistant", t) for t in ("b", "a", "B", "é", "a b", "", "漢", "a")] + [(8, 4, "user", "z"), (9, 0, "user", "long text " * 20_000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("ids", F.lit(1))
     path = chat.tokenizer_path()
     got = {r.conv_id: r for r in chat.read_back(chat.format_chat(df, path), path).collect()}
-    for c in (1, 2, None, 7):
-        own = sorted([(-1 if t is None else t, r or "", x or "") for k, t, r, x in rows if k == c])
-        h = hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
-        if c != 1:
-            assert got[c].turns_sha256 == h
-        loss = "".join(x for _, r, x in own if r == "assistant")
-        assert got[c].n_turns == len(own) and got[c].loss_chars == len(loss)
+    for c in {k for k, *_ in rows}:
+        own = sorted([(-1 if t is None else t, (r or "").encode(), (x or "").encode()) for k, t, r, x in rows if k == c])
+        own = [(r.decode(), x.decode()) for _, r, x in own]
+        loss = "".join(x for r, x in own if r == "assistant")
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        chars = sum(len(chat.START) + len(chat.escape_role(r)) + 1 + len(chat.escape(x)) + len(chat.END) + 1 for r, x in own)
+        assert (got[c].n_turns, got[c].turns_sha256) == (len(own), sha("".join(f"{r}\n{x}\n" for r, x in own)))
+        assert (got[c].loss_chars, got[c].loss_sha256, got[c].formatted_chars) == (len(loss), sha(loss), chars)
     assert chat.read_back(chat.format_chat(df.limit(0), path), path).collect() == []
     ranges = chat.format_chat(df, path).where("conv_id = 7").orderBy("n").collect()
     assert all(a.last == b.first and a.last - a.first == len(a.ids) for a, b in zip(ranges, ranges[1:], strict=False))
@@ -187,6 +273,30 @@ def test_classifier_on_held_out_rows(spark):
     assert sum(r.predicted for r in clean) == len(clean)
 
 
+def test_training_matches_a_plain_loop(spark):
+    rng = random.Random(4)
+    docs = [(i, " ".join(rng.choice(["good", "fine"] if i % 2 else ["bad", "poor"]) + str(rng.randrange(5)) for _ in range(rng.randrange(0, 30)))) for i in range(60)]
+    labels = [(i, i % 2) for i in range(60)]
+    weights, bias = classify.train(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int"), bits=8)
+    order = [r.k for r in spark.range(60).select(F.col("id").alias("k")).orderBy(F.xxhash64("k"), "k").collect()]
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.5
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - np.sign(z[i]) * l1) / ((beta + n[i] ** 0.5) / alpha + l2)
+
+    for _ in range(3):
+        for k in order:
+            slots = classify.features(dict(docs)[k].encode(), 8, classify._Hashes()).tolist()
+            x = {i: classify.SCALE * c / len(slots) for i, c in collections.Counter(slots).items()} | {"bias": 1.0}
+            p = 1 / (1 + np.exp(-sum(weight(i) * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - dict(labels)[k]) * v
+                z[i], n[i] = z[i] + g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / alpha * weight(i), n[i] + g * g
+    assert np.allclose(weights, [weight(i) for i in range(256)], atol=1e-5) and abs(bias - weight("bias")) < 1e-5
+    assert weights.any()
+
+
 def test_classifier_edges(spark):
     labels = spark.createDataFrame([(5, 1), (5, 0), (None, 1), (1, None)], "doc_id long, quality int")
     model = classify.train(frame(spark, NULLS), labels, bits=10)
@@ -292,6 +402,71 @@ def test_rates_reach_targets(spark):
     assert min(r[0] for r in df.select(rate.cast("double")).collect()) >= 1
 
 
+def test_copies_add_up_to_rates(spark, monkeypatch):
+    monkeypatch.setattr(mix, "ROWS_PER_BUCKET", 400)
+    rng = np.random.default_rng(2)
+    n = 2000
+    p, t = rng.dirichlet([0.4, 0.2], n), rng.integers(0, 900, n)
+    df = spark.createDataFrame([(i % 1900, int(x), *map(float, y)) for i, (x, y) in enumerate(zip(t, p, strict=True))], "k long, tokens long, p0 double, p1 double")
+    rate = 0.3 + 2.2 * F.col("p1")
+    got = mix.rounded(common.materialise(df, "rows"), rate, 2, 7).toPandas()
+    assert len(got) == n and (got.copies - got.rate).abs().max() < 1 + 1e-9
+    want, reached = (got.rate * got.tokens), (got.copies * got.tokens)
+    assert abs(reached.sum() - want.sum()) < 0.005 * want.sum()
+    for d in ("p0", "p1"):
+        assert abs((reached * got[d]).sum() - (want * got[d]).sum()) < 0.01 * want.sum()
+
+
+def test_posteriors_match_brute_force(spark):
+    """Evidence weights, features and Newton steps against the same in numpy."""
+    rng = random.Random(5)
+    kinds = [rng.choice("abc") for _ in range(300)]
+    docs = [(i, " ".join(rng.choice([f"all{rng.randrange(40)}", f"{k}{rng.randrange(12)}"]) for _ in range(rng.randrange(5, 60)))) for i, k in enumerate(kinds)] + [(900, None), (901, ""), (902, "a1 " * 3000)]
+    labelled = [(i, k) for i, k in enumerate(kinds) if i % 3]
+    got = {r.k: r for r in mix.posteriors(frame(spark, docs).withColumn("tokens", F.lit("clash")), spark.createDataFrame(labelled, "doc_id long, domain string"), ["a", "b", "c"]).collect()}
+    ids = spark.createDataFrame([(i,) for i, _ in labelled], "k long").select("k", mix._first_half().alias("half"))
+    half = {r.k: r.half for r in ids.collect()}
+    words = spark.createDataFrame([(w,) for w in {w for _, t in docs for w in (t or "").split()}], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(mix.SLOTS)).cast("int").alias("s"))
+    slot = {r.w: r.s for r in words.collect()}
+    slots = {k: {slot[w] for w in (t or "").split()} for k, t in docs}
+    tokens = {k: len((t or "").split()) for k, t in docs}
+    count = collections.defaultdict(lambda: np.zeros(3))
+    for k, d in labelled:
+        if half[k]:
+            for s in slots[k]:
+                count[s]["abc".index(d)] += 1
+    mass = sum(count.values())
+    total = mass.sum()
+    weight = {}
+    for s, c in count.items():
+        expect = mass * c.sum() / total
+        z = np.abs(c - expect) / np.sqrt(np.maximum(expect * (1 - mass / total), 0.25))
+        if z.max() >= mix.MIN_Z:
+            w = np.log((c + 0.5) / (mass + 1))
+            weight[s] = w - w.mean()
+
+    def features(k):
+        e = sum((weight[s] for s in slots[k] if s in weight), np.zeros(3))
+        n, root = len(slots[k]), np.sqrt(max(len(slots[k]), 1))
+        against = e[1:] - e[0]
+        return np.r_[1, np.clip(against, -20, 20) / 4, np.clip(against / root, -10, 10), np.log1p(tokens[k]) / 4, n / tokens[k] if tokens[k] else 1.0]
+
+    logistic = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
+    x = np.array([features(k) for k, _ in labelled if not half[k]])
+    y = np.array([d for k, d in labelled if not half[k]])
+    w = np.zeros((3, x.shape[1]))
+    for _ in range(8):
+        for c in range(3):
+            q = logistic(x @ w[c])
+            h = (x * (q * (1 - q))[:, None]).T @ x + np.eye(x.shape[1])
+            step = np.linalg.solve(h, x.T @ ((y == "abc"[c]) - q) - w[c])
+            w[c] += step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-9))
+    for k, _ in docs:
+        q = logistic(w @ features(k))
+        assert np.allclose([got[k].p0, got[k].p1, got[k].p2], q / q.sum(), atol=1e-6), k
+    assert sum("abc"[int(np.argmax([got[i].p0, got[i].p1, got[i].p2]))] == k for i, k in enumerate(kinds)) > 270
+
+
 def test_mix_edges(spark):
     labelled = spark.createDataFrame([(4, "a"), (5, "b"), (None, "a"), (6, "zzz"), (7, None)], "doc_id long, domain string")
     rows, _ = mix.mix(frame(spark, NULLS).withColumn("tokens", F.lit("clash")), labelled, {"a": 0.5, "b": 0.5})
