@@ -1,7 +1,7 @@
 """N-gram Jaccard join with adaptive multi-match prefixes, and the components of its links.
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. Documents with equal sets are one
-vertex, named by the 128-bit digest of the set. Shingles have a global order, rare before frequent. If two sets overlap enough, their prefixes of
+vertex, named by the 128-bit digest of the set; vertices that may have others like them are numbered. Shingles have a global order, rare before frequent. If two sets overlap enough, their prefixes of
 n - ceil(t n) + l shingles share at least l; each document takes the l with the least estimated candidate
 cost, and a pair needs min(l) shared shingles in the prefixes of that l before its sets are compared.
 
@@ -32,10 +32,14 @@ CACHE = 300_000
 SHARED_BITS, FREQUENT, LEAST_FREQUENT = 1 << 27, 1 << 20, 8
 MAX_MATCHES = 6
 TOKENS_PER_BUCKET = 1 << 21
+#: Shingles that a task sorts at once.
+HELD = 2_000_000
 #: Bytes of a word and the space after it, for the number of buckets.
 BYTES_PER_WORD = 6
 #: Lists of HOT rows or more are split, MOST_HOT of them at most (the longest), with MOST_CENTERS centers in all.
 HOT, MOST_HOT, MOST_CENTERS = 1000, 10_000, 100_000
+#: Up to so many edges are joined in one task, in about 200 bytes each.
+FEW_EDGES = 300_000
 #: Up to so many vertices are looked up in a table by broadcasting their names.
 BROADCAST_IDS = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -160,7 +164,7 @@ def _order(docs: DataFrame, tokens: int) -> Order:
                 s = shingles(t.as_py(), hashes)
                 parts.append(s)
                 held += len(s)
-                if held >= 4_000_000:
+                if held >= HELD:
                     yield blocks(parts)
                     parts, held = [], 0
         if held:
@@ -207,7 +211,7 @@ def _order(docs: DataFrame, tokens: int) -> Order:
 
 
 def _described(docs: DataFrame, kind: str, order, percent: int) -> DataFrame:
-    """Of every row (k, t): k, n, v; and, once for a set and task, ell, base (the length of the prefix for l = 1), and
+    """Of every row (k, t): k, n, name; and, once for a set and task, ell, base (the length of the prefix for l = 1), and
     the tokens of the prefix that others may have, with their positions in it."""
     kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
 
@@ -232,22 +236,23 @@ def _described(docs: DataFrame, kind: str, order, percent: int) -> DataFrame:
                 at = np.flatnonzero(f[: base + ell - 1] > 1)
                 out.append((n, v, ell, base, s[at].view(np.int64), at.astype(np.int32)) if len(at) else (n, v, None, None, None, None))
             if out:
-                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["k", "n", "v", "ell", "base", "tokens", "at"])
+                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]], ["k", "n", "name", "ell", "base", "tokens", "at"])
 
-    return common.materialise(docs.mapInArrow(run, f"k {kind}, n long, v binary, ell int, base int, tokens array<long>, at array<int>"), "described")
+    return common.materialise(docs.mapInArrow(run, f"k {kind}, n long, name binary, ell int, base int, tokens array<long>, at array<int>"), "described")
 
 
 def _prefixes(described: DataFrame) -> DataFrame:
-    """One row for each distinct set that may have others like it."""
-    rows = described.where("tokens is not null").select("v", F.col("n").cast("int").alias("n"), "ell", "base", "tokens", "at")
-    return common.materialise(rows.dropDuplicates(["v"]), "prefixes")
+    """One row for each distinct set that may have others like it, with a number v of its own: written, so that it stays."""
+    rows = described.where("tokens is not null").select("name", F.col("n").cast("int").alias("n"), "ell", "base", "tokens", "at")
+    return common.materialise(rows.dropDuplicates(["name"]).withColumn("v", F.monotonically_increasing_id()), "prefixes")
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
     """A row for each token: level is the least l whose prefix holds it, pos its position, before the number of
-    tokens before it that others may have."""
-    rows = prefixes.select("v", "n", "ell", "base", F.posexplode(F.arrays_zip("tokens", "at")).alias("before", "x"))
-    return rows.select(F.col("x.tokens").alias("token"), "v", "n", F.greatest(F.lit(1), F.col("x.at") - F.col("base") + 2).alias("level"), "ell", "before", F.col("x.at").alias("pos"))
+    tokens before it that others may have, own the number of tokens of the prefix that no other has."""
+    own = F.col("base") + F.col("ell") - 1 - F.size("tokens")
+    rows = prefixes.select("v", "n", "ell", "base", own.alias("own"), F.posexplode(F.arrays_zip("tokens", "at")).alias("before", "x"))
+    return rows.select(F.col("x.tokens").alias("token"), "v", "n", F.greatest(F.lit(1), F.col("x.at") - F.col("base") + 2).alias("level"), "ell", "before", F.col("x.at").alias("pos"), "own")
 
 
 def _enough_matches(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -261,8 +266,7 @@ def _enough_matches(pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
     return pairs.where(F.size(F.array_intersect(cut("v"), cut("w"))) >= ell).select("v", "c", "w", "d")
 
 
-_LIST = ["token", "v", "n", "level", "ell", "before", "pos", "c"]
-SWEPT = "token long, v binary, n int, level int, ell int, before int, pos int, c binary, w binary, d binary"
+_LIST = ["token", "v", "n", "level", "ell", "before", "pos", "own", "c"]
 
 
 #: A list of so many documents or fewer is compared in full at once.
@@ -270,29 +274,38 @@ SHORT = 8
 
 
 def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Streams the lists, documents with few tokens of their own first; rows of one token and v may repeat. All pairs of a
-    short list are paired. Of a longer one the first width documents are centers, and all are paired with
+    """Streams the lists, documents with few tokens of their own first, in the same order in every list, so that lists of
+    the same documents have the same centers; rows of one token and v may repeat. All pairs of a
+    short list are paired, and a longer one of one component is done. Of others the first width documents are centers, and all are paired with
     those before them. Pairs are of different components, of sizes and positions that allow a link:
     the overlap is at most what others may have of both before the token, the token, and what follows in
     both. Gives pairs (token null, v and c, w and d), and the rows after the centers of longer lists."""
     names = [*_LIST, "w", "d"]
-    kinds = [pa.int64(), pa.binary(), *[pa.int32()] * 5, pa.binary(), pa.binary(), pa.binary()]
+    kind = rows.schema["v"].dataType.simpleString()
+    name = pa.binary() if kind == "binary" else pa.int64()
+    kinds = [pa.int64(), name, *[pa.int32()] * 6, name, name, name]
 
     def pair(out, others, row):
-        _, v, n, level, ell, before, pos, c = row
-        for _, ov, on, olevel, oell, obefore, opos, oc in others:
+        _, v, n, level, ell, before, pos, _, c = row
+        for _, ov, on, olevel, oell, obefore, opos, _, oc in others:
             if oc != c and max(olevel, level) <= min(oell, ell) and 100 * min(on, n) >= percent * max(on, n):
                 most = min(before, obefore) + 1 + min(n - pos, on - opos) - 1
                 if (100 + percent) * most >= percent * (n + on):
-                    out.append((None, ov, None, None, None, None, None, oc, v, c))
+                    out.append((None, ov, None, None, None, None, None, None, oc, v, c))
 
     def run(batches):
         token, last, held, long_ = None, None, [], False
 
         def close(out):
-            if not long_:
+            if long_:
+                return
+            if len(held) <= max(SHORT, width):
                 for i in range(1, len(held)):
                     pair(out, held[:i], held[i])
+            elif len({row[-1] for row in held}) > 1:  # else the list is done
+                for i in range(1, len(held)):
+                    pair(out, held[: min(i, width)], held[i])
+                out.extend((*row, None, None) for row in held[width:])
 
         def batch(out):
             return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -308,18 +321,17 @@ def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
                 if row[1] == last:
                     continue
                 last = row[1]
-                if not long_:
-                    held.append(row)
-                    if len(held) > max(SHORT, width):
-                        long_ = True
-                        for i in range(1, len(held)):
-                            pair(out, held[: min(i, width)], held[i])
-                            if i >= width:
-                                out.append((*held[i], None, None))
-                        held = held[:width]
-                else:
+                if long_:
                     pair(out, held, row)
                     out.append((*row, None, None))
+                    continue
+                held.append(row)
+                if len(held) > max(HOT, width):  # of these there are few, or more than MOST_HOT
+                    long_ = True
+                    for i in range(1, len(held)):
+                        pair(out, held[: min(i, width)], held[i])
+                    out.extend((*row, None, None) for row in held[width:])
+                    held = held[:width]
             if out:
                 yield batch(out)
         out = []
@@ -327,35 +339,38 @@ def _sweep(rows: DataFrame, width: int, percent: int) -> DataFrame:
         if out:
             yield batch(out)
 
-    dealt = rows.select(*_LIST).repartition("token").sortWithinPartitions("token", F.col("pos") - F.col("before"), "v")
-    return dealt.mapInArrow(run, SWEPT)
+    dealt = rows.select(*_LIST).repartition("token").sortWithinPartitions("token", "own", "v")
+    return dealt.mapInArrow(run, f"token long, v {kind}, n int, level int, ell int, before int, pos int, own int, c {kind}, w {kind}, d {kind}")
 
 
 def _hot_pairs(rows: DataFrame, width: int, hot: int, percent: int) -> DataFrame:
     """_sweep() of so many long lists without dealing them out: a center is the first row of a chunk of its list, found with
     partial minima, and the rows meet the broadcast centers where they lie."""
     chunks = max(1, min(width, MOST_CENTERS // hot))
-    first = F.min(F.struct((F.col("pos") - F.col("before")).alias("o"), *_LIST[1:])).alias("x")
+    first = F.min(F.struct("own", *[c for c in _LIST[1:] if c != "own"])).alias("x")
+    kind = rows.schema["v"].dataType
     centers = common.materialise(rows.groupBy("token", F.pmod(F.xxhash64("v"), F.lit(chunks)).alias("chunk")).agg(first).select("token", "x"), "centers")
     x = lambda c: F.col(f"x.{c}")
     most = F.least("before", x("before")) + F.least(F.col("n") - F.col("pos"), x("n") - x("pos"))
     may = (F.col("c") != x("c")) & (F.greatest("level", x("level")) <= F.least("ell", x("ell"))) & (100 * F.least("n", x("n")) >= percent * F.greatest("n", x("n"))) & ((100 + percent) * most >= percent * (F.col("n") + x("n")))
     none = lambda *names: [F.lit(None).cast("int").alias(c) for c in names]
     pairs = rows.join(F.broadcast(centers), "token").where(may)
-    pairs = pairs.select(F.lit(None).cast("long").alias("token"), x("v").alias("v"), *none("n", "level", "ell", "before", "pos"), x("c").alias("c"), F.col("v").alias("w"), F.col("c").alias("d"))
-    blank = F.lit(None).cast("binary")
+    pairs = pairs.select(F.lit(None).cast("long").alias("token"), x("v").alias("v"), *none("n", "level", "ell", "before", "pos", "own"), x("c").alias("c"), F.col("v").alias("w"), F.col("c").alias("d"))
+    blank = F.lit(None).cast(kind)
     rest = rows.join(F.broadcast(centers.select("token", x("v").alias("v"))), ["token", "v"], "left_anti").select(*_LIST, blank.alias("w"), blank.alias("d"))
     return pairs.unionByName(rest)
 
 
-def _round(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """The table of _sweep() for all lists, the longest ones split."""
-    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= HOT).orderBy(F.desc("size"), "token").limit(MOST_HOT)
-    long_ = common.materialise(sizes.select("token"), "hot")
-    hot = long_.count()
-    found = _sweep(rows.join(F.broadcast(long_), "token", "left_anti") if hot else rows, width, percent)
-    if hot:
-        found = found.unionByName(_hot_pairs(rows.join(F.broadcast(long_), "token", "left_semi"), width, hot, percent))
+def _round(rows: DataFrame, width: int, percent: int, count: int | None = None) -> DataFrame:
+    """The table of _sweep() for all lists, the longest ones split. count: of rows, if it is known."""
+    if count is not None and count < HOT:
+        return common.materialise(_sweep(rows, width, percent), "sweep")
+    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), (F.min("c") != F.max("c")).alias("mixed")).where(F.col("size") >= HOT)
+    long_ = common.materialise(sizes.orderBy(F.desc("size"), "token").limit(MOST_HOT).select("token", "mixed"), "hot")
+    hot, mixed = long_.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("mixed").cast("int")), F.lit(0))).first()
+    found = _sweep(rows.join(F.broadcast(long_.select("token")), "token", "left_anti") if hot else rows, width, percent)
+    if mixed:  # those of one component are done
+        found = found.unionByName(_hot_pairs(rows.join(F.broadcast(long_.where("mixed").select("token")), "token", "left_semi"), width, mixed, percent))
     return common.materialise(found, "sweep")
 
 
@@ -395,11 +410,14 @@ def _wanted(vertices: DataFrame) -> np.ndarray:
     return out
 
 
-def _sets(docs: DataFrame, wanted) -> DataFrame:
-    """v and z (its shingles, 8 bytes each) of the vertices that the sketch names."""
+def _sets(docs: DataFrame, prefixes: DataFrame, vertices: DataFrame) -> DataFrame:
+    """v and z (its shingles, 8 bytes each) of these vertices: a sketch of their names, of fixed size, says which texts' sets are
+    sent, and joining them by name with prefixes says whose they are."""
+    names = prefixes.select("name", "v")
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(names.join(vertices.select("v"), "v", "left_semi").select(F.col("name").alias("v"))))
 
     def batch(out):
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], ["v", "z"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out, strict=True)], ["name", "z"])
 
     def run(batches):
         hashes, bits, seen = _Hashes(), wanted.value, set()
@@ -422,7 +440,7 @@ def _sets(docs: DataFrame, wanted) -> DataFrame:
             if out:
                 yield batch(out)
 
-    return docs.select("t").mapInArrow(run, "v binary, z binary")
+    return docs.select("t").mapInArrow(run, "name binary, z binary").dropDuplicates(["name"]).join(names, "name").select("v", "z")
 
 
 def linked(xs: list[bytes], ys: list[bytes], percent: int) -> list[bool]:
@@ -442,32 +460,84 @@ def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int, same_enough) -> DataFrame:
-    """The links among pairs (v, c, w, d), as edges (a, b) between components, by their whole sets."""
-    both = _both(pairs, sets).select("c", "d", "x", "y")
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, same_enough, count: int) -> DataFrame:
+    """The links among so many pairs (v, c, w, d), as edges (a, b) between components, by their whole sets. Few pairs go to
+    the sets, so that only sets that are compared are dealt; else all sets are."""
+    kind = pairs.schema["c"].dataType.simpleString()
 
     def run(batches):
         for b in batches:
             same = pa.array(same_enough(b.column(2).to_pylist(), b.column(3).to_pylist(), percent), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0).filter(same), b.column(1).filter(same)], ["a", "b"])
 
-    return both.mapInArrow(run, "a binary, b binary").distinct()
+    def meet(batches):  # the two sides of a pair follow one another
+        left = None
+        for t in batches:
+            ends, xs, ys = [], [], []
+            for p, c, d, z in zip(*(x.to_pylist() for x in t.columns), strict=True):
+                if left is not None and left[0] == p:
+                    ends.append((c, d))
+                    xs.append(left[1])
+                    ys.append(z)
+                    left = None
+                else:
+                    left = (p, z)
+            if ends and any(same := same_enough(xs, ys, percent)):
+                ends = [e for e, s in zip(ends, same, strict=True) if s]
+                yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], t.schema.field(i + 1).type) for i in (0, 1)], ["a", "b"])
+
+    if 2 * count > BROADCAST_IDS:
+        return _both(pairs, sets).select("c", "d", "x", "y").mapInArrow(run, f"a {kind}, b {kind}")
+    sides = F.explode(F.array(F.struct("v", F.lit(0).alias("s")), F.struct(F.col("w").alias("v"), F.lit(1).alias("s"))))
+    own = pairs.withColumn("p", F.monotonically_increasing_id()).select("p", "c", "d", sides.alias("e")).select("p", "c", "d", F.col("e.v").alias("v"), F.col("e.s").alias("s"))
+    rows = sets.join(F.broadcast(own), "v").repartition("p").sortWithinPartitions("p", "s")
+    return rows.select("p", "c", "d", "z").mapInArrow(meet, f"a {kind}, b {kind}")
 
 
 def _only(table: DataFrame, pairs: DataFrame, count: int) -> DataFrame:
     """The rows of table whose v stands in one of count pairs; found in place if these are few, else all rows."""
     if 2 * count > BROADCAST_IDS:
         return table
-    ids = pairs.select("v").unionAll(pairs.select(F.col("w").alias("v"))).distinct()
+    ids = pairs.select("v").unionAll(pairs.select(F.col("w").alias("v")))
     return table.join(F.broadcast(ids), "v", "left_semi")
 
 
+def _joined(edges: DataFrame) -> DataFrame:
+    """components() of at most FEW_EDGES edges, in one task: union-find, least names as roots."""
+    kind = edges.schema["a"].dataType.simpleString()
+
+    def run(batches):
+        above: dict = {}
+
+        def root(v):
+            while (up := above.setdefault(v, v)) != v:
+                above[v] = v = above[up]
+            return v
+
+        column = None
+        for t in batches:
+            column = t.schema.field(0).type
+            for a, b in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True):
+                a, b = root(a), root(b)
+                if a != b:
+                    above[max(a, b)] = min(a, b)
+        if above:
+            yield pa.RecordBatch.from_arrays([pa.array(list(above), column), pa.array([root(v) for v in list(above)], column)], ["v", "c"])
+
+    return common.materialise(edges.coalesce(1).mapInArrow(run, f"v {kind}, c {kind}"), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """v, c: every vertex of edges (a, b) with the name of its component. Each round joins all vertices to
-    their least neighbour and goes on with the contracted graph, which is much smaller; names are hashes, so
-    that rounds are few. All steps are joins and aggregates with partial sums over tables."""
+    """v, c: every vertex of edges (a, b) with the name of its component. Up to FEW_EDGES edges one task joins them. Of more, each
+    round joins all vertices to their least neighbour and goes on with the contracted graph, which is much smaller; names
+    are hashes, so that rounds are few. All steps are joins and aggregates with partial sums over tables."""
     edges = common.materialise(edges.select("a", "b").where("a <> b"), "edges")
     labels = None
+    if edges.count() <= FEW_EDGES:
+        labels = _joined(edges)
+        common.discard(edges)
+        return labels
+    edges = edges.distinct()
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = common.materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p")), "least")
@@ -487,49 +557,49 @@ def components(edges: DataFrame) -> DataFrame:
 def connect(postings: DataFrame, sets_of, percent: int, prefixes: DataFrame | None = None, same_enough=linked) -> DataFrame:
     """v, c: the components of the links among documents that share a list, for every document that has one.
 
-    postings: token, v and n, and level, ell, before and pos where they differ. prefixes: see _enough_matches(). Pairs
-    that pass are compared by same_enough() of lists of their z; sets_of(broadcast sketch of the vertices wanted) gives
-    (v, z), and may give more, and rows more than once.
+    postings: token, v and n, and level, ell, before, pos and own where they differ. prefixes: see _enough_matches(). Pairs
+    that pass are compared by same_enough() of lists of their z; sets_of(v of the vertices wanted) gives (v, z), a row for
+    each of them at most, and may give others.
     """
     spark = postings.sparkSession
     width, sets, labels = 1, None, None
-    more = {"level": F.lit(1), "ell": F.lit(1), "before": F.lit(0), "pos": F.lit(0), "c": F.col("v")}
+    more = {"level": F.lit(1), "ell": F.lit(1), "before": F.lit(0), "pos": F.lit(0), "own": F.lit(0), "c": F.col("v")}
     rows = postings.withColumns({c: x for c, x in more.items() if c not in postings.columns}).select(*_LIST)
     found = _round(rows, width, percent)
     common.release(spark)
     while True:
-        pairs = found.where("token is null").select("v", "c", "w", "d")
-        if prefixes is None:
-            pairs = pairs.distinct()
-        else:
-            pairs = _enough_matches(pairs.distinct(), _only(prefixes, pairs, pairs.count()))
-        pairs = common.materialise(pairs, "pairs")
+        pairs = common.materialise(found.where("token is null").select("v", "c", "w", "d").distinct(), "pairs")
+        if prefixes is not None:
+            every, pairs = pairs, common.materialise(_enough_matches(pairs, _only(prefixes, pairs, pairs.count())), "pairs")
+            common.discard(every)
         lists = found.where("token is not null").select(*_LIST)
         if sets is None:  # all that a later round may compare is in a longer list now
             wanted = pairs.select("v").unionAll(pairs.select("w")).unionAll(lists.select("v")).distinct()
-            sketch = spark.sparkContext.broadcast(_wanted(wanted))  # of fixed size
-            sets = common.materialise(sets_of(sketch).dropDuplicates(["v"]), "sets")
+            sets = common.materialise(sets_of(wanted), "sets")
             common.release(spark)
         count = pairs.count()
         if labels is None or count:
             batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
             try:
-                joined = components(_verify(pairs, _only(sets, pairs, count), percent, same_enough))
+                joined = components(_verify(pairs, sets, percent, same_enough, count))
             finally:
                 spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
             common.release(spark)
-            moved = joined.select(F.col("v").alias("c"), F.col("c").alias("m"))
+            small = joined.count() <= BROADCAST_IDS
+            sent = F.broadcast if small else lambda df: df
+            moved = sent(joined.select(F.col("v").alias("c"), F.col("c").alias("m")))
             lists = common.materialise(lists.join(moved, "c", "left").withColumn("c", F.coalesce("m", "c")).select(*_LIST), "lists")
             if labels is None:
                 labels = joined
             else:
                 kept = labels.join(moved, "c", "left").select("v", F.coalesce("m", "c").alias("c"))
-                last, labels = labels, common.materialise(kept.unionByName(joined.join(labels, "v", "left_anti")), "labels")
+                known = labels.join(sent(joined.select("v")), "v", "left_semi")  # no more than joined
+                fresh = joined.join(F.broadcast(known.select("v")) if small else known, "v", "left_anti")
+                last, labels = labels, common.materialise(kept.unionByName(fresh), "labels")
                 common.discard(last, joined)
-        mixed = lists.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
         width = min(4 * width, 1024)
-        last, found = found, _round(lists.join(mixed, "token", "left_semi"), width, percent)
+        last, found = found, _round(lists, width, percent, lists.count())
         common.discard(lists, pairs, last)
         if found.isEmpty():
             common.discard(sets, found)
@@ -552,8 +622,7 @@ def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFra
     most = F.least("before_v", "before_w") + F.least(F.col("n_v") - F.col("pos_v"), F.col("n_w") - F.col("pos_w"))
     pairs = both.where((100 + percent) * most >= percent * (F.col("n_v") + F.col("n_w"))).select(F.col("v_v").alias("v"), F.col("v_w").alias("w")).distinct()
     pairs = common.materialise(_enough_matches(pairs.withColumns({"c": F.col("v"), "d": F.col("w")}), prefixes).select("v", "w"), "pairs")
-    wanted = spark.sparkContext.broadcast(_wanted(pairs.select("v").union(pairs.select("w")).distinct()))  # of fixed size
-    sets = common.materialise(_sets(texts, wanted).dropDuplicates(["v"]), "sets")
+    sets = common.materialise(_sets(texts, prefixes, pairs.select("v").union(pairs.select("w")).distinct()), "sets")
     sized = _both(pairs, sets).select("v", "w", "x", "y")
 
     def run(batches):
@@ -563,13 +632,17 @@ def links(docs: DataFrame, percent: int = 75, text_col: str = "text") -> DataFra
                 overlap = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
                 if 100 * overlap >= percent * ((len(x) + len(y)) // 8 - overlap):
                     rows.append((v, w, overlap))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.binary(), pa.binary(), pa.int64()))], ["v", "w", "overlap"])
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.int64()))], ["v", "w", "overlap"])
 
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     batch = spark.conf.get(name)
     spark.conf.set(name, "256")
     try:
-        out = common.materialise(sized.mapInArrow(run, "v binary, w binary, overlap long"), "links")
+        out = sized.mapInArrow(run, "v long, w long, overlap long")
+        for side in ("v", "w"):
+            out = out.join(prefixes.select(F.col("v").alias(side), F.col("name").alias(f"name_{side}")), side)
+        both = F.least("name_v", "name_w"), F.greatest("name_v", "name_w")
+        out = common.materialise(out.select(both[0].alias("v"), both[1].alias("w"), "overlap"), "links")
     finally:
         spark.conf.set(name, batch)
     common.discard(prefixes, pairs, sets)
@@ -603,10 +676,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     members = _described(rows, kind, order, percent)
     prefixes = _prefixes(members)
     common.release(spark)
-    labels = connect(_postings(prefixes), lambda wanted: _sets(texts, wanted), percent, prefixes)
-    common.discard(prefixes)
+    labels = connect(_postings(prefixes), lambda wanted: _sets(texts, prefixes, wanted), percent, prefixes)
     order.destroy()
-    named = members.select("k", "n", "v").join(labels, "v", "left").withColumn("c", F.coalesce("c", "v"))
+    found = common.materialise(prefixes.select("name", "v").join(labels, "v", "left").select("name", F.coalesce("c", "v").alias("c")), "groups")
+    common.discard(prefixes, labels)
+    named = members.select("k", "n", "name").join(found, "name", "left")  # those without c are like no other
     least = named.where("c is not null").groupBy("c").agg(F.min("k").alias("least"))
     out = named.join(least, "c", "left")
     return out.select(F.col("k").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "k").alias("component_id"))
