@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, decontaminate, extract, lines, materialise, mix, neardup, quality, shard
+from . import chat, classify, codes, decontaminate, extract, lines, materialise, mix, neardup, quality, shard, spelling
 from .common import new_path, table
 
 
@@ -87,6 +87,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = codes.encode(table(spark, sf_dir, "embeddings"))
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), typo_every=31))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_html_extraction": op2_html_extraction,
@@ -98,8 +107,18 @@ QUERIES = {
     "op8_fuzzy_line_dedup": op8_fuzzy_line_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
+#: One round over the parts p and the codebooks b{0}: assignments a{0} and the next codebooks.
+_NEAREST = """
+a{0} AS MATERIALIZED (SELECT r, part, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS m FROM p JOIN b{0} USING (part) GROUP BY r, part)"""
+_MEANS = """,
+s{0} AS (SELECT part, m.e AS e, i, sum(x[i]) AS s, count(*) AS n FROM p JOIN a{0} USING (r, part), range(1, 9) t(i) GROUP BY ALL),
+c{0} AS (SELECT part, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM s{0} GROUP BY part, e),
+b{1} AS MATERIALIZED (SELECT part, e, coalesce(c{0}.c, b{0}.c) AS c FROM b{0} LEFT JOIN c{0} USING (part, e)),"""
+
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
@@ -144,4 +163,16 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(12 + length(r) + 1 + length(x) + 10 + 1) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id""",
+    # Vectors of these tables have 64 components.
+    "op11_vector_codes": """
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v[8 * part + 1 : 8 * part + 8] AS x FROM k, range(8) t(part)),
+b0 AS MATERIALIZED (SELECT part, r AS e, x AS c FROM p WHERE r < 16),"""
+    + "".join(_NEAREST.format(i) + _MEANS.format(i, i + 1) for i in range(6))
+    + _NEAREST.format(6)
+    + """,
+f AS (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a6 GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS h FROM b6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM k JOIN f USING (r), h""",
 }
