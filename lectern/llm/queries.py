@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, classify, codes, decontaminate, extract, lines, materialise, mix, neardup, quality, shard, spelling
+from . import chat, classify, codes, decontaminate, extract, lines, materialise, mix, neardup, quality, shard, spelling, weak
 from .common import new_path, table
 
 
@@ -92,6 +92,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
 
 
+def op12_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = weak.train(docs, table(spark, sf_dir, "labels").where(~held_out()), docs.where(~held_out()))
+    return weak.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents"), typo_every=31))
 
@@ -108,6 +114,7 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_vector_codes": op11_vector_codes,
+    "op12_weak_supervision": op12_weak_supervision,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
