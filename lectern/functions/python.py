@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _CHUNKS = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("op", "before", "after")]))
-_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType()), T.StructField("pattern", T.StringType())]))
+_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType()), T.StructField("pattern", T.StringType()), T.StructField("value", T.StringType())]))
 
 
 def _fold(s: str) -> str:
@@ -76,56 +76,6 @@ def unhyphenated(c: pd.Series) -> pd.Series:
     return c.map(lambda s: re.sub(r"(?<=\w)-\s*\n\s*(?=[a-z\u00df-\u00ff])", "", unicodedata.normalize("NFC", s).replace("\u00ad", "")), na_action="ignore")
 
 
-def replace_two_arguments(name: str, form: str):
-    """\\name{a}{b}, braces balanced, as form with its {0} and {1}; innermost last."""
-    head = re.compile(r"\\" + re.escape(name) + r"\s*\{")
-
-    def argument(s: str, i: int) -> int:
-        depth = 1
-        while i < len(s) and depth:
-            depth += (s[i] == "{") - (s[i] == "}")
-            i += 1
-        return i
-
-    def one(s: str) -> str:
-        at = 0
-        while m := head.search(s, at):
-            a = argument(s, m.end())
-            if s[a : a + 1] != "{":
-                at = m.end()
-                continue
-            b = argument(s, a + 1)
-            s = s[: m.start()] + form.format(s[m.end() : a - 1], s[a + 1 : b - 1]) + s[b:]
-            at = m.start()
-        return s
-
-    @F.pandas_udf(T.StringType())
-    def run(c: pd.Series) -> pd.Series:
-        return c.map(one, na_action="ignore")
-
-    return run
-
-
-def strip_command(name: str, keep: bool = False):
-    """Removes \\name{...} with balanced braces; keep leaves the argument."""
-    head = re.compile(r"\\" + re.escape(name) + r"\s*\{")
-
-    def one(s: str) -> str:
-        while m := head.search(s):
-            depth, i = 1, m.end()
-            while i < len(s) and depth:
-                depth += (s[i] == "{") - (s[i] == "}")
-                i += 1
-            s = s[: m.start()] + (s[m.end() : i - 1] if keep else "") + s[i:]
-        return s
-
-    @F.pandas_udf(T.StringType())
-    def run(c: pd.Series) -> pd.Series:
-        return c.map(one, na_action="ignore")
-
-    return run
-
-
 @F.pandas_udf(T.StringType())
 def repair_mojibake(c: pd.Series) -> pd.Series:
     """UTF-8 that was read as Windows-1252, where reading it back works and leaves fewer odd characters."""
@@ -140,60 +90,6 @@ def repair_mojibake(c: pd.Series) -> pd.Series:
     return c.map(one, na_action="ignore")
 
 
-_OPENS = "([{/<\u2013\u2014-~"
-_QUOTE = re.compile(r"\\[A-Za-z]+|['\"]")
-#: Marks that a split of the text has left the wrong way round.
-_TIDY = ((re.compile(r"(?<=[A-Za-z0-9\])\u2019\u201d.])\u201c(?=[,.)\s])"), "\u201d"), (re.compile(r"(?<=~)\u201c(?=[,.)\s])"), "\u201d"), (re.compile(r"(^|~)\u2019(?=[A-Za-z][^{}]*\u2019)"), "\\1\u2018"))
-
-
-def smarten(s: str, double: bool = False, single: bool = False) -> tuple[str, bool, bool]:
-    """Curly quotes. The state, which goes on in the next text, says for each kind whether the last mark closed, so that
-    the next one opens. Names of TeX commands are left alone."""
-    out, at = [], 0
-    for m in _QUOTE.finditer(s):
-        out.append(s[at : m.start()])
-        at = m.end()
-        if m[0][0] == "\\":
-            out.append(m[0])
-            continue
-        before, after = s[m.start() - 1 : m.start()], s[at : at + 1]
-        opens = not before or before.isspace() or before in _OPENS
-        if m[0] == '"':
-            opening = double or opens and bool(after) and (after.isalnum() or after in "([{\u2018\u201c")
-            double = not opening
-            out.append("\u201c" if opening else "\u201d")
-            continue
-        starts = bool(after) and (after.isalnum() or after in "([{")
-        inside = bool(before) and (before.isalnum() or before in ")]") and bool(after) and (after.isalnum() or after == "\u2019")
-        if not inside and starts and (single or opens):
-            single = False if single else single
-            out.append("\u2018")
-        else:
-            single = single or not inside
-            out.append("\u2019")
-    text = "".join([*out, s[at:]])
-    for pattern, mark in _TIDY:
-        text = pattern.sub(mark, text)
-    return text, double, single
-
-
-_LINKS = re.compile(r"https?://|doi\.org|@")
-
-
-def smart_quotes(df, keys: list[str], order: str, text: str):
-    """Curly quotes over the rows of a key in order, the open quote carried from row to row."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, state, out = pdf.sort_values(order, kind="stable"), (False, False), []
-        for s in pdf[text]:
-            if s is not None and s.strip() and not _LINKS.search(s):  # links and addresses are left alone
-                s, *state = smarten(s, *state)
-            out.append(s)
-        return pdf.assign(**{text: out})
-
-    return df.groupBy(*keys).applyInPandas(run, df.schema)
-
-
 def greedy(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Non-overlapping spans, the longest first; ties by name, then by start."""
     kept: list[tuple[int, int, str]] = []  # in order of position, so that neighbours decide
@@ -205,12 +101,13 @@ def greedy(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
 
 
 @F.pandas_udf(_SPANS)
-def greedy_matches(texts: pd.Series, patterns: pd.Series) -> pd.Series:
-    """Occurrences of a row's patterns in its text, chosen by greedy()."""
+def greedy_spans(found: pd.Series) -> pd.Series:
+    """Of a row's occurrences (first, last, pattern, value) those that greedy() keeps, in order of position."""
     out = []
-    for t, ps in zip(texts, patterns, strict=True):
-        spans = [(m.start(), m.end(), p) for p in (ps if ps is not None else []) if p for m in re.finditer(re.escape(p), t or "")]
-        out.append([{"first": a, "last": z, "pattern": p} for a, z, p in greedy(spans)])
+    for row in found:
+        value = {s["pattern"]: s["value"] for s in row} if row is not None else {}
+        kept = greedy([(s["first"], s["last"], s["pattern"]) for s in row]) if row is not None else []
+        out.append([{"first": a, "last": z, "pattern": p, "value": value[p]} for a, z, p in kept])
     return pd.Series(out)
 
 

@@ -26,7 +26,7 @@ def f05_reference_spans(spark, d):
 
 def f06_entry_starts(spark, d):
     rows = C.reference_spans(spans(spark, d))
-    return rows.where(F.col("plain").rlike(C.ENTRY)).select("file", "line_no")
+    return rows.where(C.starts_entry(F.col("plain"))).select("file", "line_no")
 
 
 def f07_linkable(spark, d):
@@ -139,14 +139,16 @@ QUERIES = {f.__name__: f for f in (f05_reference_spans, f06_entry_starts, f07_li
 
 _HEAD = ", h AS (SELECT file, min(line_no) AS h FROM s WHERE lower(trim(text)) = 'references' GROUP BY file), hh AS (SELECT s.file, line_no AS h_line, page AS h_page, y AS h_y FROM s JOIN h ON s.file = h.file AND line_no = h)"
 _REFS = _HEAD + ", r AS (SELECT s.*, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS plain FROM s JOIN hh USING (file) WHERE line_no > h_line AND NOT (page = h_page AND y <= h_y + 5) AND y BETWEEN 45 AND 755 AND color <> 'C767171' AND size >= 10 AND (contains(font, 'Cormorant') OR contains(font, 'Times')) AND trim(text) <> '')"
-_ENTRY = "regexp_matches(plain, '^[A-Za-zÀ-ÖØ-öø-ÿ''’.\\- ]{2,90},\\s+')"
+_ENTRY = "length(split_part(plain, ',', 1)) BETWEEN 2 AND 90 AND NOT regexp_matches(split_part(plain, ',', 1), '[^\\p{L}''’. -]') AND plain[length(split_part(plain, ',', 1)) + 1:length(split_part(plain, ',', 1)) + 2] = ', '"
 # the years and names of these spans, by their two shapes and what follows them in a group
 _ENTRIES = _REFS + f""", m AS (SELECT *, x <= min(x) OVER (PARTITION BY file) + 8.5 AND {_ENTRY} AS starts FROM r),
 n AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY file ORDER BY line_no) AS g FROM m),
 t AS (SELECT file, min(line_no) AS first_line, string_agg(plain, ' ' ORDER BY line_no) AS t FROM n WHERE g > 0 GROUP BY file, g),
 u AS (SELECT file, first_line, t, coalesce(nullif(regexp_extract(t, '\\((\\d{{4}}[a-z]?)', 1), ''), nullif(regexp_extract(t, '\\b((?:18|19|20)\\d{{2}}[a-z]?)\\b', 1), '')) AS year FROM t),
 v AS (SELECT *, CASE WHEN contains(t, '(' || year) THEN t[1:strpos(t, '(' || year) - 1] ELSE t[1:strpos(t, year) - 1] END AS a FROM u WHERE year IS NOT NULL),
-w AS (SELECT *, list_transform(regexp_extract_all(a, '(?:^|,\\s+(?:&\\s+)?)\\s*([^,]+?),\\s+[A-ZÀ-ÖØ-Þ]\\.', 1), lambda z: trim(regexp_replace(z, '^(and|&)\\s+', ''))) AS i, regexp_extract_all(a, '(?:,|\\band\\b)\\s+(?:[A-ZÀ-ÖØ-Þ]\\.\\s*)+([A-ZÀ-ÖØ-Þ][A-Za-zÀ-ÖØ-öø-ÿ''’.\\-]+)', 1) AS k FROM v),
+w0 AS (SELECT *, list_filter(list_transform(string_split_regex(a, '\\s*,\\s*(?:&|and\\s)?\\s*|\\s*&\\s*|\\s+and\\s+'), lambda z: trim(z)), lambda z: z <> '') AS z FROM v),
+w AS (SELECT *, list_filter(z, lambda p, j: NOT regexp_matches(p, '^\\p{{Lu}}\\.') AND coalesce(regexp_matches(z[j + 1], '^\\p{{Lu}}\\.'), false)) AS i,
+  list_filter(list_transform(z, lambda p: regexp_extract(p, '^(?:\\p{{Lu}}\\.\\s*)+(\\p{{Lu}}[\\p{{L}}''’-]+)', 1)), lambda p: p <> '') AS k FROM w0),
 e0 AS (SELECT file, first_line, year, a, list_concat(i, k) AS l FROM w),
 e1 AS (SELECT file, first_line, year, CASE WHEN len(l) > 0 THEN list_filter(l, lambda z, j: list_position(l, z) = j) WHEN contains(a, ',') THEN [trim(split_part(a, ',', 1))] ELSE [] END AS names FROM e0),
 e2 AS (SELECT *, 'ref-' || file || '-' || array_to_string(list_transform(names[1:2], lambda z: trim(regexp_replace(lower(z), '[^a-z0-9]+', '-', 'g'), '-')), '-') || '-' || year AS base FROM e1 WHERE len(names) > 0),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import python as P
 from ..functions import text as X
+from ..operators import matching
 from ..operators import score as C
 from .common import events, table
 
@@ -153,10 +154,24 @@ def t15_diff_chunks(spark, d):
     return _pairs(spark, d).select("left_id", "right_id", P.diff_chunks()("x", "y").alias("chunks"))
 
 
-def o06_greedy_intervals(spark, d):
-    t = table(spark, d, "benchmark").select("item_id", "text", F.split("text", " ").alias("w"))
+def _phrases(spark, d):
+    """Of each benchmark item its first word, its first two and its fourth, as patterns of one key."""
+    t = table(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("w"))
     ps = F.array(F.get("w", F.lit(0)), F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))), F.get("w", F.lit(3)))
-    return t.select("item_id", F.to_json(P.greedy_matches("text", ps)).alias("links"))
+    return t.select(F.lit("all").alias("key"), F.explode(F.array_compact(ps)).alias("pattern"), F.col("item_id").cast("string").alias("value"))
+
+
+def _phrases_found(spark, d):
+    return matching.occurrences(_docs(spark, d).select("doc_id", F.lit("all").alias("key"), "text"), _phrases(spark, d), "key", "doc_id")
+
+
+def j08_phrases_in_texts(spark, d):
+    """Whole documents and all phrases as one automaton: how many phrases each holds, and where the first stands."""
+    return _phrases_found(spark, d).select("doc_id", F.size(F.array_distinct(F.transform("found", lambda f: f["pattern"]))).cast("long").alias("n_patterns"), F.get("found", F.lit(0))["first"].cast("long").alias("first"))
+
+
+def o06_greedy_intervals(spark, d):
+    return _phrases_found(spark, d).select("doc_id", F.to_json(P.greedy_spans("found")).alias("links"))
 
 
 def o09_line_breaks(spark, d):
@@ -174,7 +189,7 @@ def w21_flow_layout(spark, d):
     return P.flow_layout(t.withColumn("y", F.col("l_linenumber") * 10.0), ["l_orderkey"], "l_linenumber", "y", "lead", 0.0, 120.0)
 
 
-QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout)}
+QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, j08_phrases_in_texts, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout)}
 
 _LABELLED = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
@@ -206,5 +221,9 @@ SELECT doc_id, array_to_string(f, ';') AS flags, CASE WHEN list_has_any(f, ['tox
     "c06_pace": r"""WITH t AS (SELECT conv_id, CAST(sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS BIGINT) AS words, count(*) * 30.0::DOUBLE AS secs FROM conversations GROUP BY 1)
 SELECT conv_id, words, round(words * 60.0::DOUBLE / secs, 3) AS wpm, CASE WHEN words * 60.0::DOUBLE / secs < 125 THEN 'slow' WHEN words * 60.0::DOUBLE / secs > 165 THEN 'fast' ELSE 'ok' END AS status FROM t""",
     "c13_clip_start": "SELECT event_id, round(greatest(5.0::DOUBLE, least(90.0::DOUBLE, value * CASE WHEN event_type = 'view' THEN 0.25::DOUBLE ELSE 0.18::DOUBLE END)), 4) AS start FROM events",
+    "j08_phrases_in_texts": """WITH b AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+p AS (SELECT DISTINCT p FROM (SELECT unnest([w[1], w[1] || ' ' || w[2], w[4]]) AS p FROM b) WHERE p <> ''),
+f AS (SELECT doc_id, strpos(text, p) - 1 AS at FROM documents JOIN p ON contains(text, p))
+SELECT doc_id, count(*) AS n_patterns, min(at) AS first FROM f GROUP BY doc_id""",
     "t03_accent_fold": r"SELECT doc_id, md5(strip_accents(text)) AS digest FROM documents",
 }
