@@ -223,7 +223,7 @@ SELECT conv_id, words, round(words * 60.0::DOUBLE / secs, 3) AS wpm, CASE WHEN w
     "c13_clip_start": "SELECT event_id, round(greatest(5.0::DOUBLE, least(90.0::DOUBLE, value * CASE WHEN event_type = 'view' THEN 0.25::DOUBLE ELSE 0.18::DOUBLE END)), 4) AS start FROM events",
     "j08_phrases_in_texts": """WITH b AS (SELECT string_split(text, ' ') AS w FROM benchmark),
 p AS (SELECT DISTINCT p FROM (SELECT unnest([w[1], w[1] || ' ' || w[2], w[4]]) AS p FROM b) WHERE p <> ''),
-f AS (SELECT doc_id, strpos(text, p) - 1 AS at FROM documents JOIN p ON contains(text, p))
-SELECT doc_id, count(*) AS n_patterns, min(at) AS first FROM f GROUP BY doc_id""",
+f AS (SELECT doc_id, strpos(text, p) - 1 AS k FROM documents JOIN p ON contains(text, p))
+SELECT doc_id, count(*) AS n_patterns, min(k) AS first FROM f GROUP BY doc_id""",
     "t03_accent_fold": r"SELECT doc_id, md5(strip_accents(text)) AS digest FROM documents",
 }
