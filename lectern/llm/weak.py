@@ -34,13 +34,13 @@ _WORD = re.compile(r"[^\W\d_]+").findall
 #: Beginnings of words that are cues of their own, in letters; the word goes on behind them.
 STEMS = range(4, 9)
 #: Words whose cues a worker remembers, and cues counted in a task before they are handed on.
-CACHE, HELD = 200_000, 300_000
+CACHE, HELD = 500_000, 300_000
 #: Posteriors are added as multiples of 1 / UNIT.
 UNIT = 1 << 20
 #: How often a given label is taken to be right.
 LABEL_ACCURACY = 0.99
-_MASK = re.compile(r"[^\W\d_][*@#$%]{1,3}[^\W\d_]").search
-_DIGITS = re.compile(r"[^\W\d_]\d[^\W\d_]").search
+_MASK = re.compile(r"[*@#$%](?<=[^\W\d_].)[*@#$%]{0,2}[^\W\d_]").search
+_DIGITS = re.compile(r"\d(?<=[^\W\d_]\d)[^\W\d_]").search
 #: Patterns of form, by name; each fires on a text and its words.
 PATTERNS = {
     "no cue": None,
@@ -60,10 +60,10 @@ def cues(word: str) -> list[str]:
 
 
 class _Memory(dict):
-    """What of a word's cues counts: word to a tuple of numbers, by a function of one cue."""
+    """What of a word's cues counts: word to a tuple of numbers, by a function of one cue. heads: if given, no cue of a word counts that begins otherwise."""
 
-    def __init__(self, number):
-        self.number = number
+    def __init__(self, number, heads: set[str] | None = None):
+        self.number, self.heads = number, heads
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHE:
@@ -73,9 +73,16 @@ class _Memory(dict):
 
     def of(self, words) -> list[int]:
         """The numbers of all cues of the words, each once, rising."""
+        if self.heads is not None:
+            words = [w for w in words if w[: STEMS[0]] in self.heads]
         return sorted({n for w in words for n in self[w]})
 
 
+def lexicon_memory(lexicon: list[str]) -> _Memory:
+    """By place in the lexicon; words that begin as none of its cues aren't looked up."""
+    return _Memory({c: i for i, c in enumerate(lexicon)}.get, {c.rstrip("-")[: STEMS[0]] for c in lexicon})
+
+
 def vote(text: str | None, lexicon: _Memory, first: int) -> list[int]:
     """The voters that fire: pattern i as i, cues from first on."""
     text = text or ""
@@ -271,10 +278,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: DataFrame | None = None, b
     lexicon = find_lexicon(rows.join(F.broadcast(known), "k"), max_cues)
     first = len(PATTERNS)
     n_voters = first + len(lexicon)
-    number = {c: i for i, c in enumerate(lexicon)}
 
     def votes(batches):
-        memory, held = _Memory(number.get), Counter()
+        memory, held = lexicon_memory(lexicon), Counter()
         for b in batches:
             for t, y in zip(b.column(0), b.column(1), strict=True):
                 held[tuple(vote(t.as_py(), memory, first)), y.as_py()] += 1
@@ -296,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: DataFrame | None = None, b
     drawn = drawn.join(F.broadcast(known), "k", "left").select("h", "t", F.coalesce("y", F.lit(-1)).alias("label"))
 
     def teach(batches):
-        memory, slots = _Memory(number.get), _Memory(_slot(bits))
+        memory, slots = lexicon_memory(lexicon), _Memory(_slot(bits))
         for b in batches:
             texts = [t.as_py() for t in b.column(1)]
             fired = _dense([vote(t, memory, first) for t in texts], n_voters)
