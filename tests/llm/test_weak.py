@@ -18,7 +18,7 @@ def test_votes():
     assert names(None) == names("") == ["no cue", "few words"]
     assert names("What IDIOTS! trash and " + " ".join(map(chr, range(0x3B1, 0x3C9)))) == [1, 2]
     assert names("LOOK AT THIS!! NOW!!") == ["no cue", "shouting", "marks", "few words"]
-    assert names("an id**ot") == ["no cue", "mask", "few words"] and names("*a a* a1 1a ****") == ["no cue", "few words"]
+    assert names("an id**ot") == ["no cue", "mask", "few words"] and names("*a b* c1 1d ****") == ["no cue", "few words"]
     assert names("an id*ot c0der no no no") == ["no cue", "mask", "digit in word", "thrice", "few words"]
     assert weak.cues("wandering") == ["wandering", "wand-", "wande-", "wander-", "wanderi-", "wanderin-"] and weak.cues("at") == ["at"]
 
