@@ -170,30 +170,6 @@ def one_to_one(df, keys: list[str], order: str, kind: str, at: str, reach: float
     return df.groupBy(*keys).applyInPandas(run, schema)
 
 
-def flow(rows: list[tuple[float, float]], top: float, bottom: float) -> list[tuple[int, float]]:
-    """Rows (y, lead) set one below the other: each at its y or below the last one's lead, on a new page if full."""
-    page, cursor, out = 0, top, []
-    for y, lead in rows:
-        at = max(y, cursor)
-        if at + lead > bottom:
-            page, at = page + 1, top
-        out.append((page, at))
-        cursor = at + lead
-    return out
-
-
-def flow_layout(df, keys: list[str], order: str, y: str, lead: str, top: float, bottom: float):
-    """flow() over the rows of a key: a recurrence with page overflow."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        got = flow(list(zip(pdf[y], pdf[lead], strict=True)), top, bottom)
-        return pdf.assign(new_page=[p for p, _ in got], new_y=[v for _, v in got])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, new_page long, new_y double")
-
-
 def tempo_steps(x: float) -> list[float]:
     """A tempo as factors in [0.5, 2]; a factor within 0.001 of one is left out."""
     if x <= 0:

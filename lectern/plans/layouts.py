@@ -190,8 +190,7 @@ def o08_fixpoint(spark, d):
     rows = spans(spark, d, lines=True).groupBy("file", "page", "y").agg(F.min("line_no").alias("line_no"), F.max("size").alias("size"))
     rows = rows.select("file", "line_no", (F.col("size") * 2).cast("long").alias("v"))
     step = lambda df: df.select("file", "line_no", F.when(F.col("v") > 20, F.col("v") - 5).otherwise(F.col("v")).alias("v"), (F.col("v") > 20).alias("moved"))
-    cut = lambda df: df.checkpoint() if spark.sparkContext.getCheckpointDir() else df.cache()
-    done, n = L.fixpoint(rows, step, F.col("moved"), 50, cut)
+    done, n = L.fixpoint(rows, step, F.col("moved"), 50)
     return done.groupBy("v").agg(F.count(F.lit(1)).alias("n")).withColumn("steps", F.lit(n).cast("long"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import scans
 from ..operators import sequence as S
 from .common import EVENTS, events, table
 
@@ -38,6 +39,13 @@ def w05_anchored_gap_groups(spark, d):
     return g.groupBy("user_id", "grp").agg(F.count(F.lit(1)).alias("n"), F.min("sec").alias("first_sec"))
 
 
+def w05_one_key_groups(spark, d):
+    """All events as one key."""
+    e = events(spark, d).select(F.lit(0).alias("all"), "sec", (F.col("sec") * (1 << 31) + F.col("event_id")).alias("o"))
+    g = scans.anchored_groups(e, ["all"], "o", "sec", 6 * 3600, "grp")
+    return g.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("sec").alias("first_sec"))
+
+
 def w06_role_blocks(spark, d):
     b = S.run_blocks(table(spark, d, "conversations"), ["conv_id"], "turn", "role", "text")
     return b.select("conv_id", "block", "role", "first_row", "last_row", "n_rows", F.length("text").cast("long").alias("n_chars"))
@@ -91,7 +99,7 @@ def w20_start_predicate_groups(spark, d):
     return g.groupBy("user_id", "grp").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("least_event"))
 
 
-QUERIES = {f.__name__: f for f in (s03_qa_units, w01_carry_forward, w02_stop_flag, w03_start_flag, w04_chained_gap_groups, w05_anchored_gap_groups, w06_role_blocks, w07_page_ranges, w08_gap_timeline, w09_proportional_timeline, w10_rescale_timeline, w11_sliding_windows, w16_round_robin, w17_row_spacing, w18_toggle, w20_start_predicate_groups)}
+QUERIES = {f.__name__: f for f in (s03_qa_units, w01_carry_forward, w02_stop_flag, w03_start_flag, w04_chained_gap_groups, w05_anchored_gap_groups, w05_one_key_groups, w06_role_blocks, w07_page_ranges, w08_gap_timeline, w09_proportional_timeline, w10_rescale_timeline, w11_sliding_windows, w16_round_robin, w17_row_spacing, w18_toggle, w20_start_predicate_groups)}
 
 _RUN = "OVER (PARTITION BY user_id ORDER BY sec, event_id ROWS UNBOUNDED PRECEDING)"
 _TL = """t AS (SELECT doc_id, source, len(regexp_extract_all(text, '[a-z]+')) AS words FROM documents),
@@ -115,6 +123,8 @@ g AS (SELECT *, CAST(sum(x) {_RUN} AS BIGINT) AS grp FROM l) SELECT user_id, grp
 r AS (SELECT user_id, rn, sec AS anchor, CAST(1 AS BIGINT) AS grp, sec FROM o WHERE rn = 1
 UNION ALL SELECT o.user_id, o.rn, CASE WHEN o.sec - r.anchor > 21600 THEN o.sec ELSE r.anchor END, CASE WHEN o.sec - r.anchor > 21600 THEN r.grp + 1 ELSE r.grp END, o.sec FROM r JOIN o ON o.user_id = r.user_id AND o.rn = r.rn + 1)
 SELECT user_id, grp, count(*) AS n, min(sec) AS first_sec FROM r GROUP BY 1, 2""",
+    "w05_one_key_groups": f"""WITH RECURSIVE e AS {EVENTS}, r AS (SELECT min(sec) AS a, CAST(1 AS BIGINT) AS g FROM e UNION ALL SELECT min(e.sec), r.g + 1 FROM r JOIN e ON e.sec > r.a + 21600 GROUP BY r.g)
+SELECT g AS grp, count(*) AS n, min(sec) AS first_sec FROM (SELECT sec, g FROM e ASOF JOIN r ON e.sec >= r.a) GROUP BY g""",
     "w06_role_blocks": f"WITH {_BLOCKS.format('conversations')} SELECT conv_id, block, role, first_row, last_row, n_rows, CAST(length(text) AS BIGINT) AS n_chars FROM b",
     "w07_page_ranges": """WITH p AS (SELECT o_custkey, o_orderkey, o_orderkey % 7 + 1 AS pages FROM orders),
 b AS (SELECT *, coalesce(sum(pages) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM p)

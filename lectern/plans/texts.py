@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import python as P
+from ..functions import speech, tex
 from ..functions import text as X
-from ..operators import matching
+from ..operators import matching, scans
 from ..operators import score as C
 from .common import events, table
 
@@ -186,10 +187,47 @@ def j10_one_to_one(spark, d):
 
 def w21_flow_layout(spark, d):
     t = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("lead"))
-    return P.flow_layout(t.withColumn("y", F.col("l_linenumber") * 10.0), ["l_orderkey"], "l_linenumber", "y", "lead", 0.0, 120.0)
+    return scans.flow_layout(t.withColumn("y", F.col("l_linenumber") * 10.0), ["l_orderkey"], "l_linenumber", "y", "lead", 0.0, 120.0).select("l_orderkey", "l_linenumber", "new_page", "new_y")
 
 
-QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, j08_phrases_in_texts, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout)}
+def w21_one_flow(spark, d):
+    """All lines of all orders as one text, one below the other."""
+    t = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 90 + 10).cast("double").alias("lead"), ((F.col("o_orderkey") % 37) * 20.0).alias("y"), F.lit(0).alias("all"))
+    r = scans.flow_layout(t, ["all"], "o_orderkey", "y", "lead", 60.0, 760.0)
+    return r.groupBy("new_page").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_order"), F.max("new_y").alias("lowest"))
+
+
+def t28_smart_quotes(spark, d):
+    """Every source's documents as one text: a quote that one opens is closed in a later one."""
+    text = F.replace(F.replace("text", F.lit(" a"), F.lit(" 'a")), F.lit("n "), F.lit('n" '))
+    r = scans.smart_quotes(_docs(spark, d).select("source", "doc_id", text.alias("text")), ["source"], "doc_id", "text")
+    return r.select("doc_id", F.md5("text").alias("digest"))
+
+
+def _tex(text):
+    return F.concat(F.lit(r"\textit{a \emph{b} \href{http://u/}{"), text, F.lit(r"}} \& \mbox{\textbf{c}}~\x{d}\RefAnchor{k}"))
+
+
+def t06_tex_text(spark, d):
+    """The texts of documents inside commands, in each variant."""
+    t = F.translate("text", "\\{}~[]", "//////")
+    text = _tex(t)
+    cols = {"body": tex.BODY, "inline": tex.INLINE, "width": tex.LENGTH, "running": tex.RUNNING, "citing": tex.CITING, "record": tex.RECORD}
+    return _docs(spark, d).where("text is not null").select("doc_id", *[F.md5(tex.tex_text(text, v)).alias(n) for n, v in cols.items()])
+
+
+def t07_nested_commands(spark, d):
+    """Texts as deep in commands as their number says."""
+    n = (F.col("doc_id") % 200 + 1).cast("int")
+    nested = F.concat(F.repeat(F.lit(r"\x{"), n), F.translate("text", "\\{}", "///"), F.repeat(F.lit("}"), n), F.lit(r"\y{1}{2}\x{"))
+    return _docs(spark, d).where("text is not null").select("doc_id", F.md5(tex.without_command(nested, "x", True)).alias("kept"), tex.without_command(nested, "x").alias("dropped"), F.length(tex.rewritten(nested, {"x": (1, (0,)), "y": (2, (1, "-", 0))})).cast("long").alias("n"))
+
+
+def t08_spoken(spark, d):
+    return _docs(spark, d).select("doc_id", F.md5(speech.spoken(F.concat("text", F.lit(" (see fig. 2) [so]")))).alias("digest"))
+
+
+QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, j08_phrases_in_texts, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout, w21_one_flow, t28_smart_quotes, t06_tex_text, t07_nested_commands, t08_spoken)}
 
 _LABELLED = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
@@ -221,6 +259,16 @@ SELECT doc_id, array_to_string(f, ';') AS flags, CASE WHEN list_has_any(f, ['tox
     "c06_pace": r"""WITH t AS (SELECT conv_id, CAST(sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)) AS BIGINT) AS words, count(*) * 30.0::DOUBLE AS secs FROM conversations GROUP BY 1)
 SELECT conv_id, words, round(words * 60.0::DOUBLE / secs, 3) AS wpm, CASE WHEN words * 60.0::DOUBLE / secs < 125 THEN 'slow' WHEN words * 60.0::DOUBLE / secs > 165 THEN 'fast' ELSE 'ok' END AS status FROM t""",
     "c13_clip_start": "SELECT event_id, round(greatest(5.0::DOUBLE, least(90.0::DOUBLE, value * CASE WHEN event_type = 'view' THEN 0.25::DOUBLE ELSE 0.18::DOUBLE END)), 4) AS start FROM events",
+    "w21_flow_layout": """WITH RECURSIVE o AS (SELECT l_orderkey, l_linenumber, max(l_quantity) AS lead, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS rn FROM lineitem GROUP BY 1, 2),
+r AS (SELECT l_orderkey, l_linenumber, rn, CASE WHEN y + lead > 120 THEN 1 ELSE 0 END AS page, CASE WHEN y + lead > 120 THEN 0.0::DOUBLE ELSE y END AS z, lead FROM (SELECT *, l_linenumber * 10.0::DOUBLE AS y FROM o WHERE rn = 1)
+UNION ALL SELECT o.l_orderkey, o.l_linenumber, o.rn, CASE WHEN greatest(o.l_linenumber * 10.0::DOUBLE, r.z + r.lead) + o.lead > 120 THEN r.page + 1 ELSE r.page END, CASE WHEN greatest(o.l_linenumber * 10.0::DOUBLE, r.z + r.lead) + o.lead > 120 THEN 0.0::DOUBLE ELSE greatest(o.l_linenumber * 10.0::DOUBLE, r.z + r.lead) END, o.lead
+FROM r JOIN o ON o.l_orderkey = r.l_orderkey AND o.rn = r.rn + 1)
+SELECT l_orderkey, l_linenumber, CAST(page AS BIGINT) AS new_page, z AS new_y FROM r""",
+    "t06_tex_text": r"""WITH t AS (SELECT doc_id, translate(text, '\{}~[]', '//////') AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, md5('a b ' || t || ' & c dk') AS body, md5('a b ' || t || ' & c dk') AS inline, md5(' \& ~') AS width,
+md5(trim(regexp_replace('a b ' || t || ' & c d k', '\s+', ' ', 'g'))) AS running, md5(trim(regexp_replace('a b http://u/' || t || ' & c~d', '\s+', ' ', 'g'))) AS citing, md5('a b http://u/{' || t || '} & c~dk') AS record FROM t""",
+    "t07_nested_commands": r"""WITH t AS (SELECT doc_id, translate(text, '\{}', '///') AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, md5(t || '\y{1}{2}\x{') AS kept, '\y{1}{2}\x{' AS dropped, CAST(length(t) + 6 AS BIGINT) AS n FROM t""",
     "j08_phrases_in_texts": """WITH b AS (SELECT string_split(text, ' ') AS w FROM benchmark),
 p AS (SELECT DISTINCT p FROM (SELECT unnest([w[1], w[1] || ' ' || w[2], w[4]]) AS p FROM b) WHERE p <> ''),
 f AS (SELECT doc_id, strpos(text, p) - 1 AS k FROM documents JOIN p ON contains(text, p))

@@ -103,16 +103,11 @@ def test_python_functions(spark):
     c = F.lit
     assert one(spark, P.accent_fold(c("Œuvre né"))) == "Œuvre ne"
     assert one(spark, P.similarity()(c("abcd"), c("bcde"))) == 0.75
-    assert one(spark, P.strip_command("foot")(c(r"a\foot{b{c}}d"))) == "ad"
     assert one(spark, P.repair_mojibake(c("nÃ©"))) == "né"
     assert one(spark, P.diff_chunks()(c("abc"), c("abd")))[0].op == "replace"
-    assert P.smarten('"a" it\'s')[0] == "“a” it’s"
     assert P.greedy([(0, 5, "b"), (3, 9, "a"), (9, 10, "c")]) == [(3, 9, "a"), (9, 10, "c")]
     assert P.best_lines("aa bb cc dd".split(), 2) == ["aa bb", "cc dd"]
-    assert P.flow([(0, 10), (5, 10), (5, 10)], 0, 25) == [(0, 0), (0, 10), (1, 0)]
     assert P.tempo_steps(5.0) == [2.0, 2.0, 1.25] and P.tempo_steps(1.0) == [] == P.tempo_steps(1.0005)
-    q = spark.createDataFrame([("f", 0, 'say "a'), ("f", 1, 'b" end')], "file string, n int, text string")
-    assert [r.text for r in P.smart_quotes(q, ["file"], "n", "text").orderBy("n").collect()] == ["say “a", "b” end"]
 
 
 def test_scores_and_joins(spark):
