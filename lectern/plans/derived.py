@@ -50,3 +50,24 @@ def with_spans(body: str, lines: bool = False) -> str:
     """SQL with the spans as s."""
     y = "row_y AS y" if lines else "y"
     return f"WITH s AS (SELECT file, line_no, page, x, {y}, w, size, color, font, text FROM {SPANS})" + body
+
+
+# --- pages with pull quotes: an order's lines are a block, and each order gives a line of other text
+
+_LINES = "(SELECT l_orderkey AS k, l_linenumber AS n, max(l_quantity) AS q, max(l_partkey) AS p, 60 + (l_orderkey % 40) * 17 + 17 * l_linenumber AS y0, min(l_linenumber) OVER (PARTITION BY l_orderkey) AS a, max(l_linenumber) OVER (PARTITION BY l_orderkey) AS z FROM lineitem GROUP BY l_orderkey, l_linenumber)"
+_QUOTES = f"""SELECT concat('q', CAST(floor(k / 400) AS BIGINT)) AS file, CAST(k * 8 + n AS BIGINT) AS line_no,
+ CAST(1 + floor((k % 400) / 40) + CASE WHEN y0 > 770 THEN 1 ELSE 0 END AS BIGINT) AS page,
+ CAST(CASE WHEN n = a THEN 90 WHEN n = z THEN 420 ELSE 100 + p % 120 END AS DOUBLE) AS x,
+ CAST(y0 - CASE WHEN y0 > 770 THEN 700 ELSE 0 END AS DOUBLE) + CAST(q AS BIGINT) % 3 * CAST(0.5 AS DOUBLE) AS y, CAST(40 + p % 200 AS DOUBLE) AS w,
+ CAST(13.5 AS DOUBLE) + p % 9 * CAST(0.5 AS DOUBLE) AS size, CASE WHEN p % 4 = 1 THEN 'C595959' WHEN p % 4 = 2 THEN 'C7F7F7F' ELSE 'C000000' END AS color,
+ CASE WHEN p % 11 = 0 THEN 'FontCormorantRegular' ELSE 'FontLatoLight' END AS font,
+ CASE WHEN n = a THEN 'PullQuoteOpen' WHEN n = z AND k % 5 > 0 THEN 'PullQuoteClose' ELSE concat('words ', p % 100) END AS text FROM {_LINES}"""
+_OTHERS = """SELECT concat('q', CAST(floor(o_orderkey / 400) AS BIGINT)) AS file, CAST(o_orderkey * 8 AS BIGINT) AS line_no, CAST(1 + floor((o_orderkey % 400) / 40) AS BIGINT) AS page,
+ CAST(70 AS DOUBLE) AS x, CAST(62 + o_orderkey * 37 % 690 AS DOUBLE) AS y, CAST(300 AS DOUBLE) AS w, CAST(12 AS DOUBLE) AS size, CASE WHEN o_orderkey % 9 = 0 THEN 'C767171' ELSE 'C000000' END AS color, 'FontCormorantRegular' AS font, 'Then it went on.' AS text FROM orders"""
+QUOTED = f"(SELECT * FROM ({_QUOTES}) UNION ALL SELECT * FROM ({_OTHERS}))"
+
+
+def quoted(spark: SparkSession, d: str) -> DataFrame:
+    """The same in Spark."""
+    lines, orders = table(spark, d, "lineitem"), table(spark, d, "orders")
+    return spark.sql(QUOTED.replace("FROM lineitem", "FROM {lineitem}").replace("FROM orders", "FROM {orders}").removeprefix("(").removesuffix(")"), lineitem=lines, orders=orders)

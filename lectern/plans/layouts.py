@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import rewrite as R
 from ..operators import audit, coverage
+from ..operators import boxes as B
 from ..operators import layout as L
+from ..operators import pullquotes as Q
 from ..sources import readers
-from .derived import spans, with_spans
+from .derived import QUOTED, quoted, spans, with_spans
 
 QUOTE_COLORS = ("C000000", "C595959", "C7F7F7F")
 FAMILIES = [(("lato", "light"), "LatoLight"), (("lato", "italic"), "LatoItalic"), (("lato",), "LatoRegular"), (("cormorant", "italic"), "CormorantItalic"), (("cormorant",), "CormorantRegular"), (("symbol",), "SymbolFallback")]
@@ -111,6 +113,57 @@ def c10_opener_targets(spark, d):
     return L.opener_targets(spans(spark, d), F.col("text") == "PullQuoteOpen", QUOTE_COLORS)
 
 
+def c09_pullquote_drift(spark, d):
+    s = spans(spark, d, lines=True)
+    wanted = F.col("color").isin(*QUOTE_COLORS) & F.col("size").between(14.5, 18.0) & ~L.footer_or_head() & (F.trim("text") != "References")
+    return L.line_style_drift(s, wanted, "Lato", "pullquote", 0.45)
+
+
+def c10_quote_frame(spark, d):
+    return Q.frame_findings(quoted(spark, d)).select("file", "line_no", "issue", F.round("value", 4).alias("value"))
+
+
+def c10_overlaps(spark, d):
+    s = quoted(spark, d).withColumn("h", F.col("size"))
+    return B.overlaps(s, ["file", "page"], "line_no").select("file", "page", "a", "b", F.round("width", 3).alias("width"), F.round("height", 3).alias("height"))
+
+
+def c10_in_panel(spark, d):
+    """Text that stands on a file's citation panel."""
+    s = spans(spark, d).where("page = 1")
+    box = L.panel(spans(spark, d), L.citation_start(), L.own_doi()).select("file", "x", "y", F.col("width").alias("w"), F.col("height").alias("h"))
+    return B.inside(s, box, ["file"]).select("file", "line_no", F.round(F.col("x") - F.col("box.x"), 3).alias("dx"), F.round(F.col("y") - F.col("box.y"), 3).alias("dy"))
+
+
+def c11_dead_space(spark, d):
+    """Quotes after which the rest of the page stays empty, for the next text stands on a later one."""
+    s = quoted(spark, d)
+    q = L.after_quotes(s.where("text = 'PullQuoteOpen'"), s.where(L.movable(top=60.0) & ~Q.quote_text()))
+    return q.where(L.dead_space() > 95.0).select("file", "line_no", F.round(L.dead_space(), 3).alias("dead_space"))
+
+
+def c11_quotes_off_centre(spark, d):
+    s = quoted(spark, d).where("text = 'PullQuoteOpen'")
+    return s.where(F.abs(F.col("x") - L.centred_x(F.col("w"))) > 0.1).select("file", "line_no", (F.col("x") - L.centred_x(F.col("w"))).alias("off"))
+
+
+def c16_planned_quotes(spark, d):
+    moves, _ = Q.planned(quoted(spark, d))
+    return moves.select("file", "page", "line_no", "open", F.round("new_x", 3).alias("new_x"), F.round("new_y", 3).alias("new_y"), "moved")
+
+
+def c16_tight_quotes(spark, d):
+    """Blocks that can't have a gap above and below."""
+    _, report = Q.planned(quoted(spark, d))
+    tight = [F.round(c, 3).alias(c) for c in ("shift", "tight_above", "tight_below")]
+    return report.where("tight_above is not null or tight_below is not null").select("file", "page", "open", "rows", *tight)
+
+
+def c16_brought_back(spark, d):
+    lines, _ = Q.brought_back(quoted(spark, d))
+    return lines.select("file", "line_no", "open", "new_page", F.round("new_x", 3).alias("new_x"), F.round("new_y", 3).alias("new_y"), F.round("sort_key", 6).alias("sort_key"))
+
+
 def c10_off_centre(spark, d):
     s = spans(spark, d, lines=True).withColumn("right", F.col("x") + F.col("w"))
     return audit.off_centre(s, ["file", "page", "y"], 60.0).select("file", "page", "y", F.round("max_deviation", 4).alias("deviation"))
@@ -211,7 +264,7 @@ def t35_regions(spark, d):
     return rows.select("file", F.md5(R.ensured(kept, "References", "References\n")).alias("digest"))
 
 
-QUERIES = {f.__name__: f for f in (s01_span_scan, s02_first_page_scan, s08_visible_text, p03_boxes, p04_style_key, p05_findings, p10_colour_names, f01_footer_or_head, f02_movable, f03_question_spans, f08_contact_text, f09_marks, f11_spacing_pairs, c01_roles, c09_title_drift, c09_question_drift, c09_answer_drift, c10_opener_targets, c10_off_centre, c11_unasked_quotes, c12_font_family, c15_citation_panel, c17_quote_geometry, c18_line_skip, w22_shift_flow, g04_sorted_lists, g09_mean_and_max, g13_margins, g14_first_seen, g19_page_count, j14_adjacent_pairs, j18_issue_ranges, j19_first_card, o04_reading_order, o08_fixpoint, t31_coordinate_rewrite, t34_line_breaks, t35_regions)}
+QUERIES = {f.__name__: f for f in (s01_span_scan, s02_first_page_scan, s08_visible_text, p03_boxes, p04_style_key, p05_findings, p10_colour_names, f01_footer_or_head, f02_movable, f03_question_spans, f08_contact_text, f09_marks, f11_spacing_pairs, c01_roles, c09_title_drift, c09_question_drift, c09_answer_drift, c09_pullquote_drift, c10_opener_targets, c10_quote_frame, c10_overlaps, c10_in_panel, c10_off_centre, c11_unasked_quotes, c11_dead_space, c11_quotes_off_centre, c16_planned_quotes, c16_tight_quotes, c16_brought_back, c12_font_family, c15_citation_panel, c17_quote_geometry, c18_line_skip, w22_shift_flow, g04_sorted_lists, g09_mean_and_max, g13_margins, g14_first_seen, g19_page_count, j14_adjacent_pairs, j18_issue_ranges, j19_first_card, o04_reading_order, o08_fixpoint, t31_coordinate_rewrite, t34_line_breaks, t35_regions)}
 
 _FOOT = "(color = 'C767171' OR y > 760 OR y < 45)"
 _CONTACT = r"regexp_matches(text, '(?i)https?://|www\.|doi\.org|@|[A-Za-z0-9-]+\.[A-Za-z]{2,}')"
@@ -281,4 +334,26 @@ SELECT file, cx AS x, cy AS y, width, boundary, greatest(46.0, least(92.0, bound
     "t31_coordinate_rewrite": with_spans(" SELECT file, line_no, " + _TEXLINE.replace("{y}", "X").replace("printf('%.2f', X)", "printf('%.3f', CAST(line_no % 700 AS DOUBLE) / 8)") + " AS line FROM s"),
     "t34_line_breaks": with_spans(" SELECT line_no, trim(text) || '|' || font AS parts, trim(regexp_replace(text || ' \\\\ \\\\' || font, '\\s*\\\\\\\\\\s*', ' ', 'g')) AS whole FROM s"),
     "t35_regions": with_spans(", m AS (SELECT *, last_value(CASE WHEN text IN ('PullQuoteOpen', 'Then it went on.') THEN text END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no) AS last, last_value(CASE WHEN text IN ('PullQuoteOpen', 'Then it went on.') THEN text END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM s), k AS (SELECT file, string_agg(text, chr(10) ORDER BY line_no) FILTER (WHERE last IS DISTINCT FROM 'PullQuoteOpen' AND NOT (text = 'Then it went on.' AND before IS NOT DISTINCT FROM 'PullQuoteOpen')) AS t FROM m GROUP BY file) SELECT file, md5(CASE WHEN contains(coalesce(t, ''), 'References') THEN t ELSE 'References' || chr(10) || coalesce(t, '') END) AS digest FROM k"),
+    "c09_pullquote_drift": _drift(f"color IN ('C000000', 'C595959', 'C7F7F7F') AND size BETWEEN 14.5 AND 18 AND NOT {_FOOT} AND trim(text) <> 'References'", "Lato", "pullquote", 0.45, "true"),
+    "c10_overlaps": f"""WITH s AS (SELECT *, x + w AS r, y + size AS b FROM {QUOTED})
+SELECT p.file, p.page, p.line_no AS a, q.line_no AS b, round(least(p.r, q.r) - greatest(p.x, q.x), 3) AS width, round(least(p.b, q.b) - greatest(p.y, q.y), 3) AS height
+FROM s p JOIN s q ON p.file = q.file AND p.page = q.page AND p.line_no < q.line_no AND p.x < q.r AND q.x < p.r AND p.y < q.b AND q.y < p.b""",
+    "c11_dead_space": f"""WITH s AS (SELECT *, text = 'PullQuoteOpen' AS q, color <> 'C767171' AND y BETWEEN 60 AND 760 AND trim(text) NOT IN ('', 'PullQuoteOpen', 'PullQuoteClose') AND NOT contains(font, 'Lato') AS m FROM {QUOTED}),
+n AS (SELECT *, first_value(CASE WHEN m THEN page END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS p FROM s)
+SELECT file, line_no, round(760 - (y + 26), 3) AS dead_space FROM n WHERE q AND p > page AND 760 - (y + 26) > 95""",
+    "c11_quotes_off_centre": f"SELECT file, line_no, x - (297.5 - w / 2) AS off FROM {QUOTED} WHERE text = 'PullQuoteOpen' AND abs(x - (297.5 - w / 2)) > 0.1",
+    "c10_quote_frame": f"""WITH s AS (SELECT * FROM {QUOTED}),
+t AS (SELECT * FROM s WHERE contains(font, 'Lato') AND size BETWEEN 13 AND 18.5 AND color IN ('C000000', 'C595959', 'C7F7F7F') AND text NOT IN ('', 'References', 'PullQuoteOpen', 'PullQuoteClose')),
+o AS (SELECT file, page, line_no, x, y, lead(line_no, 1, 9000000000000000) OVER (PARTITION BY file, page ORDER BY line_no) AS nx FROM s WHERE text = 'PullQuoteOpen'),
+c AS (SELECT o.file, o.line_no, arg_max(s.x, s.line_no) AS cx, arg_max(s.y, s.line_no) AS cy FROM o JOIN s ON s.file = o.file AND s.page = o.page AND s.text = 'PullQuoteClose' AND s.line_no > o.line_no AND s.line_no < nx AND s.y - o.y BETWEEN -10 AND 220 GROUP BY 1, 2),
+b AS (SELECT o.file, o.line_no, t.x, t.y, t.w FROM o JOIN t ON t.file = o.file AND t.page = o.page AND t.line_no > o.line_no AND t.line_no < nx AND t.y - o.y BETWEEN -1 AND 165 AND t.x >= o.x + 5),
+g AS (SELECT o.file, o.line_no, any_value(o.y) AS oy, any_value(cx) AS cx, any_value(cy) AS cy, min(b.y) AS f, max(b.y) FILTER (WHERE b.y <= cy + 1.6) AS l, max(b.x + b.w) FILTER (WHERE b.y <= cy + 1.6) AS r, avg(b.x + b.w / 2) FILTER (WHERE b.y <= cy + 1.6) AS m, max(b.x + b.w / 2) FILTER (WHERE b.y <= cy + 1.6) AS hi, min(b.x + b.w / 2) FILTER (WHERE b.y <= cy + 1.6) AS lo
+  FROM o LEFT JOIN c ON c.file = o.file AND c.line_no = o.line_no LEFT JOIN b ON b.file = o.file AND b.line_no = o.line_no GROUP BY 1, 2),
+u AS (SELECT file, line_no, 'no-text' AS issue, CAST(NULL AS DOUBLE) AS v FROM g WHERE f IS NULL UNION ALL SELECT file, line_no, 'opener-off', f - oy FROM g WHERE abs(f - oy) > 1.1
+  UNION ALL SELECT file, line_no, 'no-closer', NULL FROM g WHERE f IS NOT NULL AND cy IS NULL UNION ALL SELECT file, line_no, 'not-enclosed', NULL FROM g WHERE f IS NOT NULL AND cy IS NOT NULL AND l IS NULL
+  UNION ALL SELECT file, line_no, 'closer-off', cy - l FROM g WHERE cy < l - 1.1 OR abs(cy - l) > 1.6 UNION ALL SELECT file, line_no, 'closer-overlaps', cx - r FROM g WHERE cx < r + 1
+  UNION ALL SELECT file, line_no, 'centres-drift', greatest(hi - m, m - lo) FROM g WHERE greatest(hi - m, m - lo) > 2 UNION ALL SELECT file, line_no, 'off-centre', m - 297.5 FROM g WHERE abs(m - 297.5) > 2)
+SELECT file, line_no, issue, round(v, 4) AS value FROM u""",
 }
+SQL["c10_in_panel"] = f"""WITH pan AS ({SQL["c15_citation_panel"]}), sp AS ({with_spans(" SELECT * FROM s")})
+SELECT sp.file, line_no, round(sp.x - pan.x, 3) AS dx, round(sp.y - pan.y, 3) AS dy FROM sp JOIN pan ON sp.file = pan.file WHERE sp.page = 1 AND sp.x BETWEEN pan.x AND pan.x + pan.width AND sp.y BETWEEN pan.y AND pan.y + pan.height"""
