@@ -35,6 +35,7 @@ _STEP = {}
 for _m, _b, _a, _s in product("'\"", "bwsohcrlx", "ewsohcrlx", range(STATES)):
     _row = next(r for r in TABLE if r[0] == _m and (not r[1] or _b in r[1]) and (not r[2] or _a in r[2]) and _s & r[3] == r[3])
     _STEP[_m, _b, _a, _s] = (_row[4], (_s | _row[5]) & ~_row[6])
+_ALL = {k[:3]: [_STEP[(*k[:3], s)][1] for s in range(STATES)] for k in _STEP}
 _MARK = re.compile(r"\\[^\W\d_]+|['\"]")
 _SKIPPED = re.compile(r"https?://|doi\.org|@")
 
@@ -80,11 +81,22 @@ def skipped(text: str | None) -> bool:
     return text is None or not text.strip() or _SKIPPED.search(text) is not None
 
 
+def step(text: str | None) -> list[int]:
+    """For each state before a text the state behind it, by one pass for all states."""
+    f = list(range(STATES))
+    if skipped(text):
+        return f
+    for m in _MARK.finditer(text):
+        if m[0][0] != "\\":
+            i = m.start()
+            g = _ALL[m[0], kind(text[i - 1 : i], "b"), kind(text[i + 1 : i + 2], "e")]
+            f = [g[s] for s in f]
+    return f
+
+
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def steps(c: pd.Series) -> pd.Series:
-    """For each state before a text the state behind it."""
-    same = list(range(STATES))
-    return c.map(lambda s: same if skipped(s) or not _MARK.search(s) else [curled(s, k)[1] for k in same])
+    return c.map(step)
 
 
 @F.pandas_udf(T.StringType())

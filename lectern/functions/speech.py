@@ -35,7 +35,7 @@ PICTURES = ("fig", "figure", "table")
 PAUSES, STOPS = "—–…", ",.;:!?"
 
 
-@dataclass
+@dataclass(slots=True)
 class Token:
     kind: str
     text: str

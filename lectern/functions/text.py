@@ -7,8 +7,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DOI = r"(?i)\b10\.\d{4,9}/[^\s\"<>{}]+"
-URL = r"https?://[^\s\"'<>{}]+"
 
 
 def collapse(c: Column) -> Column:
@@ -57,22 +55,6 @@ def split_list(c: Column, separator: str = ";") -> Column:
     return F.filter(F.split(c, separator), lambda x: x != "")
 
 
-def clean_doi(c: Column) -> Column:
-    return F.lower(F.regexp_replace(c, r"[.,;:)\]}]+$", ""))
-
-
-def dois(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(DOI), F.lit(0)), clean_doi))
-
-
-def incomplete_doi(c: Column) -> Column:
-    return c.endswith("/") | c.endswith("-") | ~c.contains("/")
-
-
-def urls(c: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(URL), F.lit(0)), lambda x: F.regexp_replace(x, r"[.,;:)\]]+$", "")))
-
-
 def first_match(c: Column, patterns: list[str]) -> Column:
     """Group 1 of the first pattern that matches; null if none does."""
     found = [F.regexp_extract(c, p, 1) for p in patterns]
@@ -88,26 +70,6 @@ def year(c: Column) -> Column:
     return first_match(c, [r"\((1[89]\d\d|20\d\d)[a-z]?\)", r"\b(1[89]\d\d|20\d\d)[a-z]?\b"])
 
 
-def surnames(c: Column) -> Column:
-    """Surnames before initials, then after them, each once."""
-    name = r"[A-Z][\p{L}'-]+"
-    before = F.regexp_extract_all(c, F.lit(rf"({name}),\s*(?:[A-Z]\.\s*)+"), F.lit(1))
-    after = F.regexp_extract_all(c, F.lit(rf"(?:[A-Z]\.\s*)+({name})"), F.lit(1))
-    return F.array_union(before, after)
-
-
-def citation_patterns(names: Column, y: Column) -> Column:
-    """How a text cites a work of one, two, or more authors."""
-    first, second = F.get(names, F.lit(0)), F.get(names, F.lit(1))
-    head = F.when(F.size(names) == 1, F.array(first)).when(F.size(names) == 2, F.array(F.concat(first, F.lit(" and "), second), F.concat(first, F.lit(" & "), second))).when(F.size(names) > 2, F.array(F.concat(first, F.lit(" et al."))))
-    return F.array_distinct(F.flatten(F.transform(F.coalesce(head, F.array().cast("array<string>")), lambda h: F.array(F.concat(h, F.lit(", "), y), F.concat(h, F.lit(" ("), y, F.lit(")"))))))
-
-
-def author_families(c: Column) -> Column:
-    """Family names of a list joined by " and ", given first or last."""
-    return F.transform(F.filter(F.split(c, r"\s+and\s+"), lambda a: F.trim(a) != ""), lambda a: F.when(a.contains(","), F.trim(F.substring_index(a, ",", 1))).otherwise(F.regexp_extract(F.trim(a), r"(\S+)$", 1)))
-
-
 def seconds(c: Column) -> Column:
     """HH:MM:SS.mmm or MM:SS.mmm in seconds; null if it is neither."""
     h = F.coalesce(F.expr("try_cast(null as double)"), F.when(F.regexp_extract(c, r"^(\d+):\d+:", 1) != "", F.regexp_extract(c, r"^(\d+):\d+:", 1).cast("double")), F.lit(0.0))
@@ -196,14 +158,6 @@ def join_lines(lines: Column) -> Column:
     return F.aggregate(lines, F.lit(""), step)
 
 
-def tex_to_text(c: Column, rounds: int = 4) -> Column:
-    """Unwraps commands of one argument from the inside out, drops bare commands and braces, restores escapes."""
-    for _ in range(rounds):
-        c = F.regexp_replace(c, r"\\[A-Za-z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", "$1")
-    c = F.regexp_replace(c, r"\\([%&_#$])", "$1")
-    return collapse(F.regexp_replace(F.regexp_replace(F.replace(c, F.lit("~"), F.lit(" ")), r"\\[A-Za-z]+\*?", " "), r"[{}]", ""))
-
-
 def escape_tex(c: Column) -> Column:
     return F.regexp_replace(F.replace(c, F.lit("\\"), F.lit("\\textbackslash ")), r"([%&_#${}])", r"\\$1")
 
@@ -237,5 +191,5 @@ def aliases(name: Column) -> Column:
 def speaker_segments(c: Column) -> Column:
     """"A.B. Surname: text" parts as (speaker, text); text before the first label has a null speaker."""
     label = r"((?:[A-Z]\.\s*)+[A-Z][\p{L}'-]+):\s*"
-    parts = F.split(c, r"(?=(?:(?<=\s)|^)(?:[A-Z]\.\s?)+[A-Z][\p{L}'-]+:)")
+    parts = F.split(c, r"(?=(?:(?<=\s)|^)(?<![A-Z]\.\s)(?:[A-Z]\.\s?)+[A-Z][\p{L}'-]+:)")  # not inside initials
     return F.transform(F.filter(parts, lambda p: F.trim(p) != ""), lambda p: F.struct(F.when(F.regexp_extract(p, "^" + label, 1) != "", F.regexp_extract(p, "^" + label, 1)).alias("speaker"), F.trim(F.regexp_replace(p, "^" + label, "")).alias("text")))

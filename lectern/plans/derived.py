@@ -63,7 +63,7 @@ _QUOTES = f"""SELECT concat('q', CAST(floor(k / 400) AS BIGINT)) AS file, CAST(k
  CASE WHEN p % 11 = 0 THEN 'FontCormorantRegular' ELSE 'FontLatoLight' END AS font,
  CASE WHEN n = a THEN 'PullQuoteOpen' WHEN n = z AND k % 5 > 0 THEN 'PullQuoteClose' ELSE concat('words ', p % 100) END AS text FROM {_LINES}"""
 _OTHERS = """SELECT concat('q', CAST(floor(o_orderkey / 400) AS BIGINT)) AS file, CAST(o_orderkey * 8 AS BIGINT) AS line_no, CAST(1 + floor((o_orderkey % 400) / 40) AS BIGINT) AS page,
- CAST(70 AS DOUBLE) AS x, CAST(62 + o_orderkey * 37 % 690 AS DOUBLE) AS y, CAST(300 AS DOUBLE) AS w, CAST(12 AS DOUBLE) AS size, CASE WHEN o_orderkey % 9 = 0 THEN 'C767171' ELSE 'C000000' END AS color, 'FontCormorantRegular' AS font, 'Then it went on.' AS text FROM orders"""
+ CAST(70 AS DOUBLE) AS x, CAST(62 + o_orderkey * 37 % 690 AS DOUBLE) AS y, CAST(300 AS DOUBLE) AS w, CAST(12 AS DOUBLE) AS size, CASE WHEN o_orderkey % 9 = 0 THEN 'C767171' ELSE 'C000000' END AS color, CASE WHEN o_orderkey % 40 = 0 THEN 'FontCormorantRegular' ELSE 'FontCormorantItalic' END AS font, 'Then it went on.' AS text FROM orders"""
 QUOTED = f"(SELECT * FROM ({_QUOTES}) UNION ALL SELECT * FROM ({_OTHERS}))"
 
 

@@ -136,9 +136,9 @@ def c10_in_panel(spark, d):
 
 
 def c11_dead_space(spark, d):
-    """Quotes after which the rest of the page stays empty, for the next text stands on a later one."""
+    """Quotes after which the rest of the page stays empty, for the next upright text stands on a later one."""
     s = quoted(spark, d)
-    q = L.after_quotes(s.where("text = 'PullQuoteOpen'"), s.where(L.movable(top=60.0) & ~Q.quote_text()))
+    q = L.after_quotes(s.where("text = 'PullQuoteOpen'"), s.where(L.movable(top=60.0) & (F.col("font") == "FontCormorantRegular")))
     return q.where(L.dead_space() > 95.0).select("file", "line_no", F.round(L.dead_space(), 3).alias("dead_space"))
 
 
@@ -338,7 +338,7 @@ SELECT file, cx AS x, cy AS y, width, boundary, greatest(46.0, least(92.0, bound
     "c10_overlaps": f"""WITH s AS (SELECT *, x + w AS r, y + size AS b FROM {QUOTED})
 SELECT p.file, p.page, p.line_no AS a, q.line_no AS b, round(least(p.r, q.r) - greatest(p.x, q.x), 3) AS width, round(least(p.b, q.b) - greatest(p.y, q.y), 3) AS height
 FROM s p JOIN s q ON p.file = q.file AND p.page = q.page AND p.line_no < q.line_no AND p.x < q.r AND q.x < p.r AND p.y < q.b AND q.y < p.b""",
-    "c11_dead_space": f"""WITH s AS (SELECT *, text = 'PullQuoteOpen' AS q, color <> 'C767171' AND y BETWEEN 60 AND 760 AND trim(text) NOT IN ('', 'PullQuoteOpen', 'PullQuoteClose') AND NOT contains(font, 'Lato') AS m FROM {QUOTED}),
+    "c11_dead_space": f"""WITH s AS (SELECT *, text = 'PullQuoteOpen' AS q, color <> 'C767171' AND y BETWEEN 60 AND 760 AND trim(text) NOT IN ('', 'PullQuoteOpen', 'PullQuoteClose') AND font = 'FontCormorantRegular' AS m FROM {QUOTED}),
 n AS (SELECT *, first_value(CASE WHEN m THEN page END IGNORE NULLS) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS p FROM s)
 SELECT file, line_no, round(760 - (y + 26), 3) AS dead_space FROM n WHERE q AND p > page AND 760 - (y + 26) > 95""",
     "c11_quotes_off_centre": f"SELECT file, line_no, x - (297.5 - w / 2) AS off FROM {QUOTED} WHERE text = 'PullQuoteOpen' AND abs(x - (297.5 - w / 2)) > 0.1",

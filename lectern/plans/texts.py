@@ -53,6 +53,28 @@ def t18_id_from_url(spark, d):
     return table(spark, d, "pages").select("page_id", F.coalesce(X.first_match(u, [r"[?&]page=(\d+)", r"/(\d+)\.html", r"/(\d+)"]), F.lit("")).alias("id"))
 
 
+def t18_video_id(spark, d):
+    k = F.format_string("vid_%06d", F.col("page_id"))
+    kind = F.col("page_id") % 4
+    url = F.when(kind == 0, F.concat(F.lit("https://v.org/watch?list=x&v="), k, F.lit("&t=3"))).when(kind == 1, F.concat(F.lit("https://youtu.be/"), k, F.lit("?si=a"))).when(kind == 2, F.concat(F.lit("https://v.org/shorts/"), k)).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", F.coalesce(X.video_id(url), F.lit("")).alias("id"))
+
+
+def t27_escapes(spark, d):
+    """Documents escaped for each format that isn't HTML."""
+    forms = {"tex": X.escape_tex, "meta": X.escape_ffmetadata, "listed": X.escape_concat, "quoted": X.escape_quoted}
+    return _docs(spark, d).select("doc_id", *[F.md5(f(F.col("text"))).alias(n) for n, f in forms.items()])
+
+
+def t29_speaker_segments(spark, d):
+    t = table(spark, d, "part").select("p_partkey", F.concat(F.col("p_name"), F.lit(". A.B. Olsen: "), F.col("p_brand"), F.lit(", said A. C. Meyer-Li: "), F.col("p_type")).alias("text"))
+    return t.select("p_partkey", F.posexplode(X.speaker_segments(F.col("text")))).select("p_partkey", F.col("pos").cast("long").alias("pos"), "col.speaker", "col.text")
+
+
+def t30_aliases(spark, d):
+    return table(spark, d, "customer").select("c_custkey", F.array_join(X.aliases(F.concat(F.lit("Ana Bo "), F.col("c_mktsegment"))), "|").alias("names"))
+
+
 def t20_year(spark, d):
     t = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Key "), F.col("o_orderkey") % 3000, F.when(F.col("o_orderkey") % 2 == 0, " (1998b)").otherwise("")).alias("text"))
     return t.select("o_orderkey", X.year(F.col("text")).alias("year"))
@@ -156,10 +178,11 @@ def t15_diff_chunks(spark, d):
 
 
 def _phrases(spark, d):
-    """Of each benchmark item its first word, its first two and its fourth, as patterns of one key."""
+    """Of each benchmark item its first two and three words, and its fourth and fifth, as patterns of one key."""
     t = table(spark, d, "benchmark").select("item_id", F.split("text", " ").alias("w"))
-    ps = F.array(F.get("w", F.lit(0)), F.concat_ws(" ", F.get("w", F.lit(0)), F.get("w", F.lit(1))), F.get("w", F.lit(3)))
-    return t.select(F.lit("all").alias("key"), F.explode(F.array_compact(ps)).alias("pattern"), F.col("item_id").cast("string").alias("value"))
+    some = lambda a, n: F.array_join(F.slice("w", a, n), " ")
+    ps = F.filter(F.array(some(1, 2), some(1, 3), some(4, 2)), lambda p: p != "")
+    return t.select(F.lit("all").alias("key"), F.explode(ps).alias("pattern"), F.col("item_id").cast("string").alias("value"))
 
 
 def _phrases_found(spark, d):
@@ -227,7 +250,7 @@ def t08_spoken(spark, d):
     return _docs(spark, d).select("doc_id", F.md5(speech.spoken(F.concat("text", F.lit(" (see fig. 2) [so]")))).alias("digest"))
 
 
-QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, j08_phrases_in_texts, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout, w21_one_flow, t28_smart_quotes, t06_tex_text, t07_nested_commands, t08_spoken)}
+QUERIES = {f.__name__: f for f in (t01_collapse, t02_normalize, t05_slug, t09_replace_chain, t12_sentence_chunks, t13_word_chunks, t17_url_tokens, t18_id_from_url, t18_video_id, t27_escapes, t29_speaker_segments, t30_aliases, t20_year, t24_word_count, t25_truncate, t26_ascii_fold, t27_escape_html, t36_split_list, f16_codepoint_filter, f17_bad_patterns, m02_timecodes, m04_safe_number, c02_candidate_score, c03_window_score, c04_gate, c05_first_failure, c06_pace, c13_clip_start, t03_accent_fold, t14_similarity, t15_diff_chunks, j08_phrases_in_texts, o06_greedy_intervals, o09_line_breaks, j10_one_to_one, w21_flow_layout, w21_one_flow, t28_smart_quotes, t06_tex_text, t07_nested_commands, t08_spoken)}
 
 _LABELLED = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
 
@@ -238,6 +261,11 @@ SQL = {
     "t09_replace_chain": "SELECT doc_id, md5(replace(replace(replace(replace(text, 'the', 'THE'), 'THE ', '<the> '), '&', ' and '), chr(10), ' / ')) AS digest FROM documents",
     "t17_url_tokens": """WITH h AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="([^"]+)"', 1))) AS href FROM pages) SELECT href, count(*) AS pages, min(page_id) AS first_page FROM h GROUP BY 1""",
     "t18_id_from_url": r"SELECT page_id, coalesce(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), ''), nullif(regexp_extract(url, '/(\d+)\.html', 1), ''), regexp_extract(url, '/(\d+)', 1)) AS id FROM pages",
+    "t18_video_id": "SELECT page_id, CASE WHEN page_id % 4 < 3 THEN 'vid_' || lpad(CAST(page_id AS VARCHAR), 6, '0') ELSE '' END AS id FROM pages",
+    "t27_escapes": r"""SELECT doc_id, md5(regexp_replace(replace(text, '\', '\textbackslash '), '([%&_#${}])', '\\\1', 'g')) AS tex, md5(regexp_replace(text, '([=;#\\\n])', '\\\1', 'g')) AS meta, md5(replace(text, chr(39), chr(39) || '\' || chr(39) || chr(39))) AS listed,
+md5(replace(replace(replace(replace(replace(text, '\', '\\'), '"', '\"'), chr(10), '\n'), chr(13), '\r'), chr(9), '\t')) AS quoted FROM documents""",
+    "t29_speaker_segments": """SELECT p_partkey, CAST(pos AS BIGINT) AS pos, CASE pos WHEN 1 THEN 'A.B. Olsen' WHEN 2 THEN 'A. C. Meyer-Li' END AS speaker, CASE pos WHEN 0 THEN p_name || '.' WHEN 1 THEN p_brand || ', said' ELSE p_type END AS text FROM part, range(3) t(pos)""",
+    "t30_aliases": "SELECT c_custkey, 'Ana Bo ' || c_mktsegment || '|A.B. ' || c_mktsegment || '|A.B.' || c_mktsegment || '|' || c_mktsegment AS names FROM customer",
     "t20_year": r"SELECT o_orderkey, coalesce(nullif(regexp_extract(t, '\((1[89]\d\d|20\d\d)[a-z]?\)', 1), ''), nullif(regexp_extract(t, '\b(1[89]\d\d|20\d\d)[a-z]?\b', 1), '')) AS year FROM (SELECT o_orderkey, 'Key ' || (o_orderkey % 3000) || CASE WHEN o_orderkey % 2 = 0 THEN ' (1998b)' ELSE '' END AS t FROM orders)",
     "t24_word_count": "SELECT source, CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS BIGINT) AS words FROM documents GROUP BY 1",
     "t25_truncate": r"SELECT doc_id, CASE WHEN length(t) <= 60 THEN t ELSE regexp_replace(t[1:57], '\s+\S*$', '') || '...' END AS short FROM (SELECT doc_id, replace(text, chr(10), ' ') AS t FROM documents)",
@@ -270,7 +298,7 @@ md5(trim(regexp_replace('a b ' || t || ' & c d k', '\s+', ' ', 'g'))) AS running
     "t07_nested_commands": r"""WITH t AS (SELECT doc_id, translate(text, '\{}', '///') AS t FROM documents WHERE text IS NOT NULL)
 SELECT doc_id, md5(t || '\y{1}{2}\x{') AS kept, '\y{1}{2}\x{' AS dropped, CAST(length(t) + 6 AS BIGINT) AS n FROM t""",
     "j08_phrases_in_texts": """WITH b AS (SELECT string_split(text, ' ') AS w FROM benchmark),
-p AS (SELECT DISTINCT p FROM (SELECT unnest([w[1], w[1] || ' ' || w[2], w[4]]) AS p FROM b) WHERE p <> ''),
+p AS (SELECT DISTINCT p FROM (SELECT unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[4:5], ' ')]) AS p FROM b) WHERE p <> ''),
 f AS (SELECT doc_id, strpos(text, p) - 1 AS k FROM documents JOIN p ON contains(text, p))
 SELECT doc_id, count(*) AS n_patterns, min(k) AS first FROM f GROUP BY doc_id""",
     "t03_accent_fold": r"SELECT doc_id, md5(strip_accents(text)) AS digest FROM documents",

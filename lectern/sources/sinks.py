@@ -49,11 +49,12 @@ def update(rows: DataFrame, fresh: DataFrame, key: str, columns: list[str], path
     sync(rows, fresh, key, columns).drop("changed").write.mode("errorifexists").json(path)
 
 
-def markdown_report(df: DataFrame, path: str, title: str, counts: dict, columns: list[str], order: list[str], most: int = 100) -> None:
-    """A heading, one line for each count, and a table of the first rows in order."""
+def markdown_report(df: DataFrame, path: str, title: str, counts: dict, columns: list[str], order: list[str], most: int | None = None) -> None:
+    """A heading, one line for each count, and a table of the rows in order, or of the first of them."""
     total = df.agg(*[c.cast("string").alias(n) for n, c in counts.items()]).first().asDict()  # one row
     cell = lambda c: F.regexp_replace(F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit("|"), F.lit("\\|")), r"\s+", " ")
-    rows = df.orderBy(*order).limit(most).select(F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in columns]), F.lit(" |")).alias("value"), F.row_number().over(Window.orderBy(*order)).alias("o"))
+    first = df if most is None else df.orderBy(*order).limit(most)
+    rows = first.select(F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in columns]), F.lit(" |")).alias("value"), F.row_number().over(Window.orderBy(*order)).alias("o"))
     head = [f"# {title}", "", *[f"- {n}: {v}" for n, v in total.items()], "", f"| {' | '.join(columns)} |", "|" + "---|" * len(columns)]
     top = df.sparkSession.createDataFrame([(line, i - len(head)) for i, line in enumerate(head)], "value string, o int")
     top.unionByName(rows).coalesce(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(path)

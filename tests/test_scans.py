@@ -69,6 +69,7 @@ def test_curled():
             got, after = quotes.curled(text, state)
             assert got == quotes.turned(want), text
             assert after == quotes.DOUBLE * double + quotes.SINGLE * single, text
+        assert quotes.step(text) == [quotes.curled(text, s)[1] for s in range(4)]
 
 
 def test_turned():

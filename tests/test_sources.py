@@ -84,18 +84,17 @@ def test_sinks(spark, tmp_path):
 def test_text(spark):
     c = F.lit
     assert one(spark, X.collapse(c(" a \n b "))) == "a b"
-    assert one(spark, X.dois(c("see 10.1000/ABC). and https://doi.org/10.1000/abc,"))) == ["10.1000/abc"]
     assert one(spark, X.id_ranges(c("1,3-5"))) == [1, 3, 4, 5]
     assert one(spark, X.seconds(c("01:02:03.500"))) == 3723.5 and one(spark, X.seconds(c("02:03,5"))) == 123.5
     assert one(spark, X.sentence_chunks(c("Aa bb. Cc dd. " + "x" * 25), 14)) == ["Aa bb. Cc dd.", "x" * 14, "x" * 11]
     assert one(spark, X.word_chunks(c("aa bb cc dd ee. f."), 8)) == ["aa bb cc", "dd ee.", "f."]
-    assert one(spark, X.tex_to_text(c(r"\textbf{a \emph{b}} 5\% {c}"))) == "a b 5% c"
-    assert one(spark, X.surnames(c("Doe, J., A. Roe"))) == ["Doe", "Roe"]
-    assert one(spark, X.citation_patterns(F.array(c("Doe"), c("Roe")), c("1999"))) == ["Doe and Roe, 1999", "Doe and Roe (1999)", "Doe & Roe, 1999", "Doe & Roe (1999)"]
     assert one(spark, X.join_tokens(F.array(c("a"), c(","), c("(b"), c(")")))) == "a, (b)"
     assert one(spark, X.join_lines(F.array(c("ab-"), c("cd"), c("E")))) == "ab cd E"
     assert one(spark, X.section(c("A: x B: y"), "A:", "B:")) == "x"
-    assert one(spark, X.author_families(c("Doe, Jane and Max Roe"))) == ["Doe", "Roe"]
+    assert one(spark, X.video_id(c("https://x.org/watch?a=1&v=abc_DEF-1"))) == "abc_DEF-1" and one(spark, X.video_id(c("https://x.org/watch?v=abc"))) is None
+    assert one(spark, X.aliases(c("Ana Bo Olsen"))) == ["Ana Bo Olsen", "A.B. Olsen", "A.B.Olsen", "Olsen"]
+    assert [tuple(x) for x in one(spark, X.speaker_segments(c("Hm. A.B. Olsen: yes, A. said. C. Meyer: no")))] == [(None, "Hm."), ("A.B. Olsen", "yes, A. said."), ("C. Meyer", "no")]
+    assert one(spark, X.escape_tex(c("50% {a}_b \\"))) == "50\\% \\{a\\}\\_b \\textbackslash "
     assert one(spark, X.replace_all(c("ab"), [("a", "b"), ("bb", "c")])) == "c"
 
 
