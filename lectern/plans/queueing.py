@@ -227,7 +227,8 @@ def j20_paired_samples(spark, d):
 
 
 def c08_fidelity(spark, d):
-    ratio = F.lit(1.0) - (F.col("doc_id") % 50) / 1000
+    clean = F.regexp_replace("text", "[*&$%#]{3}", "")  # what is left of a text is a part of it, so all of it matches
+    ratio = 2.0 * F.length(clean) / (F.length("text") + F.length(clean))
     ok = S.fidelity(X.found_patterns(F.col("text"), ["***", "&&&", "$$$"]), ratio, [F.col("doc_id") % 7 > 0, F.length("text") > 0])
     return table(spark, d, "documents").select("doc_id", ok.alias("ok"))
 
@@ -278,5 +279,5 @@ SQL = {
     "g20_array_statistics": "SELECT vec_id, round(list_avg(CAST(embedding AS DOUBLE[])), 4) + 0.0 AS mean, round(len(list_filter(embedding, lambda x: x > 0.05)) / CAST(len(embedding) AS DOUBLE), 6) AS over, CAST(list_min(embedding) AS DOUBLE) AS least, CAST(list_max(embedding) AS DOUBLE) AS most FROM embeddings",
     "f19_solid": "SELECT vec_id FROM embeddings WHERE vec_id % 3 = 0 OR list_max(embedding) - list_min(embedding) <= 0.01",
     "j20_paired_samples": "WITH b AS (SELECT vec_id - 1 AS vec_id, embedding AS e FROM embeddings WHERE vec_id % 5 > 0), z AS (SELECT vec_id, list_transform(list_zip(embedding, e), lambda p: abs(p[1] - p[2])) AS d FROM embeddings JOIN b USING (vec_id)) SELECT vec_id, round(list_avg(CAST(d AS DOUBLE[])), 4) + 0.0 AS mean, round(CAST(list_max(d) AS DOUBLE), 4) AS most FROM z",
-    "c08_fidelity": "SELECT doc_id, NOT contains(text, '***') AND NOT contains(text, '&&&') AND NOT contains(text, '$$$') AND 1.0::DOUBLE - (doc_id % 50) / 1000.0::DOUBLE >= 0.985 AND doc_id % 7 > 0 AND length(text) > 0 AS ok FROM documents",
+    "c08_fidelity": "SELECT doc_id, NOT contains(text, '***') AND NOT contains(text, '&&&') AND NOT contains(text, '$$$') AND 2.0::DOUBLE * length(regexp_replace(text, '[*&$%#]{3}', '', 'g')) / (length(text) + length(regexp_replace(text, '[*&$%#]{3}', '', 'g'))) >= 0.985 AND doc_id % 7 > 0 AND length(text) > 0 AS ok FROM documents",
 }
