@@ -116,13 +116,14 @@ def automata(patterns: DataFrame, key: str) -> DataFrame:
     return grouped.mapInArrow(build, f"{key} {kind}, automaton binary, names array<string>, values array<string>")
 
 
-def occurrences(texts: DataFrame, patterns: DataFrame, key: str, order: str, text: str = "text") -> DataFrame:
+def occurrences(texts: DataFrame, patterns: DataFrame, key: str, order: str, text: str = "text", extent: DataFrame | None = None) -> DataFrame:
     """The rows of texts that hold a pattern of their key, with found: every occurrence (first, last, pattern, value), by
-    first and then by last. order: a whole number that numbers a key's rows, more or less evenly."""
+    first and then by last. order: a whole number that numbers a key's rows, more or less evenly. extent: a table with at least the keys and
+    orders of texts, if there is one that is cheaper to read."""
     machines = automata(patterns, key)
     block = F.floor(F.col(order) / BLOCK).cast("long")
     own = texts.where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    blocks = own.select(key, F.coalesce(block, F.lit(0).cast("long")).alias("_block")).distinct()
+    blocks = (own if extent is None else extent.where(F.col(key).isNotNull())).select(key, F.coalesce(block, F.lit(0).cast("long")).alias("_block")).distinct()
     columns = texts.columns
     row = F.struct(*columns)
     held = own.select(F.col(key).alias("_key"), F.coalesce(block, F.lit(0).cast("long")).alias("_block"), F.lit(1).alias("_kind"), row.alias("_row"), F.col(text).alias("_text"), *[F.lit(None).cast(t).alias(c) for c, t in (("automaton", "binary"), ("names", "array<string>"), ("values", "array<string>"))])
