@@ -96,8 +96,8 @@ def _score(rows: DataFrame, model: DataFrame, k: int) -> DataFrame:
     """k, tokens, n and the sums of evidence s0.. of every row (k, t)."""
     words = rows.select(F.monotonically_increasing_id().alias("r"), "k", F.regexp_count("t", F.lit(common.WORD)).cast("long").alias("tokens"), _slots(F.col("t")).alias("slots"))
     words = words.select("r", "k", "tokens", F.size("slots").alias("n"), F.explode_outer("slots").alias("slot")).join(F.broadcast(model), "slot", "left")
-    scored = words.groupBy("r").agg(F.first("k").alias("k"), F.first("tokens").alias("tokens"), F.first("n").alias("n"), *[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)])
-    return scored.drop("r")
+    # all that a row has is a key, for sums alone are hashed: the first of a string would be sorted, with every slot of every text
+    return words.groupBy("r", "k", "tokens", "n").agg(*[F.coalesce(F.sum(f"w{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)]).drop("r")
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id", text_col: str = "text", domain_col: str = "domain", teach: DataFrame | None = None, label_id_col: str | None = None) -> DataFrame:

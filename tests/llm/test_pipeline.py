@@ -4,9 +4,10 @@ import collections
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from lectern.llm import chat, common, materialise, queries
+from lectern.llm import chat, common, materialise, mix, queries
 
 from .test_neardup import brute
 from .test_operators import base, brute_hits
@@ -91,3 +92,12 @@ def test_whole_run_and_empty_tables(spark, sf, tmp_path):
         common.table(spark, d, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert C.run(spark, str(tmp_path)).collect() == []
     assert queries.token_rows(spark, common.table(spark, str(tmp_path), "documents")).count() == 0
+
+
+def test_scores_of_string_keys_are_hashed(spark):
+    """A text's slots are summed as they come: sorted, every slot of every text of a task would be held."""
+    rows = spark.createDataFrame([("a", "red red blue"), ("a", "red red blue"), (None, "")], "k string, t string")
+    model = spark.range(mix.SLOTS).select(F.col("id").cast("int").alias("slot"), F.lit(0.5).alias("w0"), F.lit(-1.0).alias("w1"))
+    scored = mix._score(rows, model, 2)
+    assert "SortAggregate" not in scored._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, scored.collect()), key=str) == [("a", 3, 2, 1.0, -2.0), ("a", 3, 2, 1.0, -2.0), (None, 0, 0, 0.0, 0.0)]
