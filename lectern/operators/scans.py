@@ -16,6 +16,8 @@ The order is a whole number, distinct within a key; null keys are a key of their
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_, or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -31,26 +33,33 @@ ROWS_PER_BUCKET = 1_000_000
 
 
 def dealt(df: DataFrame, keys: list[str], order: str) -> tuple[DataFrame, int]:
-    """df with _b, the bucket of its order from 0 on, and the number of buckets."""
+    """df with _b, the bucket of its order from 0 on, and the number of buckets. Only keys of more rows than a bucket should hold are
+    cut: in a table of many short keys every row would be a bucket of its own."""
     low, high, n = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
     buckets = max(1, -(-n // ROWS_PER_BUCKET))
+    one = F.lit(0).cast("long")
     if buckets == 1 or low == high:
-        return df.withColumn("_b", F.lit(0).cast("long")), 1
-    b = F.width_bucket(F.col(order).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(buckets)) - 1
-    return df.withColumn("_b", F.coalesce(b, F.lit(0)).cast("long")), buckets + 1
+        return df.withColumn("_b", one), 1
+    long_ = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > ROWS_PER_BUCKET).drop("_n").collect()  # fewer than buckets
+    if not long_:
+        return df.withColumn("_b", one), 1
+    b = F.coalesce(F.width_bucket(F.col(order).cast("double"), F.lit(float(low)), F.lit(float(high)), F.lit(buckets)) - 1, one)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cut = reduce(or_, (reduce(and_, (F.col(k).eqNullSafe(F.lit(r[k]).cast(kinds[k])) for k in keys)) for r in long_))
+    return df.withColumn("_b", F.when(cut, b).otherwise(one).cast("long")), buckets + 1
 
 
 def _streamed(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.repartition(*keys, "_b").sortWithinPartitions(*keys, "_b", order)
 
 
-def _segments(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
-    """Runs of a batch with equal names, and what they are."""
+def _segments(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[tuple, int, int]]:
+    """Runs of a batch with equal names: what they are, the first row and the one behind the last."""
     rows = list(zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True))
     lo = 0
     for i in range(1, len(rows) + 1):
         if i == len(rows) or rows[i] != rows[lo]:
-            yield rows[lo], batch.slice(lo, i - lo)
+            yield rows[lo], lo, i
             lo = i
 
 
@@ -65,19 +74,23 @@ def carried_states(df: DataFrame, keys: list[str], order: str, step: Column, n_s
         def compose(batches):
             held, f = None, list(range(n_states))
             for b in batches:
-                for k, part in _segments(b, order_of):
+                steps, ended = b.column("_f").to_pylist(), []
+                for k, lo, hi in _segments(b, order_of):
                     if k != held:
                         if held is not None:
-                            yield _row(b, order_of, held, f)
+                            ended.append((*held, f))
                         held, f = k, list(range(n_states))
-                    for g in part.column("_f").to_pylist():
+                    for g in steps[lo:hi]:
                         f = [g[s] for s in f]
                 last = b
+                if ended:
+                    yield _rows(b, order_of, ended)
             if held is not None:
-                yield _row(last, order_of, held, f)
+                yield _rows(last, order_of, [(*held, f)])
 
-        def _row(b, names, key, f):
-            return pa.RecordBatch.from_arrays([pa.array([v], b.schema.field(n).type) for n, v in zip(names, key, strict=True)] + [pa.array([f], pa.list_(pa.int32()))], [*names, "_g"])
+        def _rows(b, names, rows):
+            kinds = [*(b.schema.field(n).type for n in names), pa.list_(pa.int32())]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [*names, "_g"])
 
         whole = _streamed(rows.select(*at, order, "_f") if order not in at else rows.select(*at, "_f"), keys, order).mapInArrow(compose, T.StructType([*key_fields, T.StructField("_g", T.ArrayType(T.IntegerType()))]))
         listed = whole.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_b", "_g"))).alias("_l"))
@@ -90,11 +103,11 @@ def carried_states(df: DataFrame, keys: list[str], order: str, step: Column, n_s
     def run(batches):
         held, s = None, first
         for b in batches:
-            out = []
-            for k, part in _segments(b, at):
+            steps, starts, out = b.column("_f").to_pylist(), b.column("_start").to_pylist(), []
+            for k, lo, hi in _segments(b, at):
                 if k != held:
-                    held, s = k, part.column("_start")[0].as_py()
-                for g in part.column("_f").to_pylist():
+                    held, s = k, starts[lo]
+                for g in steps[lo:hi]:
                     out.append(s)
                     s = g[s]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], [*b.schema.names, name])
@@ -126,30 +139,37 @@ def settled(df: DataFrame, keys: list[str], order: str, values: list[str], advan
     def matches(x: str, y: str) -> list[Column]:
         return [F.col(f"{x}.{k}").eqNullSafe(F.col(f"{y}.{k}")) for k in at]
 
-    def streamed(batches):  # per batch and segment: the rows, advanced
+    def streamed(batches):  # per batch: it, of each segment its key and what is remembered and counted behind it, and the rows, advanced
         held, memory, counted = None, None, 0
         for b in batches:
-            for k, part in _segments(b, at):
+            rows = list(zip(*(b.column(v).to_pylist() for v in values), strict=True))
+            memories, counts, behind, out = b.column("_m").to_pylist(), b.column("_n").to_pylist(), [], []
+            for k, lo, hi in _segments(b, at):
                 if k != held:
-                    held, memory, counted = k, part.column("_m")[0].as_py(), part.column("_n")[0].as_py()
-                memory, n, out = advance(memory, list(zip(*(part.column(v).to_pylist() for v in values), strict=True)))
-                out = [(counted + o[0], *o[1:]) for o in out]
+                    held, memory, counted = k, memories[lo], counts[lo]
+                memory, n, got = advance(memory, rows[lo:hi])
+                out += [(counted + o[0], *o[1:]) for o in got]
                 counted += n
-                yield k, part, memory, counted, out
+                behind.append((k, memory, counted))
+            yield b, behind, out
 
     def ends(batches):
-        last = None
-        for k, part, memory, counted, _ in streamed(batches):
-            if last is not None and last[0] != k:
-                yield end(last)
-            last = k, part, memory, counted
+        last, schema = None, None
+        for b, behind, _ in streamed(batches):
+            schema, ended = b.schema, []
+            for segment in behind:
+                if last is not None and last[0] != segment[0]:
+                    ended.append(last)
+                last = segment
+            if ended:
+                yield end(schema, ended)
         if last is not None:
-            yield end(last)
+            yield end(schema, [last])
 
-    def end(last):
-        k, part, memory, counted = last
-        arrays = [pa.array([v], part.schema.field(n).type) for n, v in zip(at, k, strict=True)]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array([memory], pa.float64()), pa.array([counted], pa.int64())], [*at, "_e", "_c"])
+    def end(schema, ended):
+        kinds = [*(schema.field(n).type for n in at), pa.float64(), pa.int64()]
+        columns = zip(*((*k, memory, counted) for k, memory, counted in ended), strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*at, "_e", "_c"])
 
     if buckets > 1:
         end_schema = T.StructType([*[fields[k] for k in at], T.StructField("_e", T.DoubleType()), T.StructField("_c", T.LongType())])
@@ -175,9 +195,10 @@ def settled(df: DataFrame, keys: list[str], order: str, values: list[str], advan
     schema = T.StructType([*ready.schema.fields, T.StructField(count, T.LongType()), *[T.StructField(c, T.DoubleType()) for c in more]])
 
     def run(batches):
-        for _, part, _, _, out in streamed(batches):
-            got = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got[0], pa.int64()), *[pa.array(c, pa.float64()) for c in got[1:]]], schema.names)
+        for b, _, out in streamed(batches):
+            if out:
+                got = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got[0], pa.int64()), *[pa.array(c, pa.float64()) for c in got[1:]]], schema.names)
 
     return _streamed(ready, keys, order).mapInArrow(run, schema).drop("_b", "_m", "_n")
 

@@ -162,3 +162,18 @@ def test_fixpoint_ends_or_fails(spark):
 
 def test_cut_needs_a_shared_folder(spark):
     assert cutting.cut(spark.range(3)).count() == 3 and cutting.shared_folder(spark)
+
+
+def test_short_keys_are_not_cut(spark, monkeypatch):
+    """Many keys of few rows each: every key is one bucket, however many rows there are, and a long key among them is cut."""
+    monkeypatch.setattr(scans, "ROWS_PER_BUCKET", 50)
+    rows = [(k, n, n * 10.0, 25.0) for k in [*range(40), None] for n in range(1, 5)]
+    short = spark.createDataFrame(rows, "k long, n long, y double, lead double")
+    assert scans.dealt(short, ["k"], "n")[1] == 1
+    long_ = [(99, n, n * 0.5, 25.0) for n in range(120)]
+    both = short.unionByName(spark.createDataFrame(long_, short.schema))
+    cut = {r.k: r.b for r in scans.dealt(both, ["k"], "n")[0].groupBy("k").agg(F.countDistinct("_b").alias("b")).collect()}
+    assert cut.pop(99) > 1 and set(cut.values()) == {1} and len(cut) == 41
+    got = {(r.k, r.n): (r.new_page, r.new_y) for r in scans.flow_layout(both, ["k"], "n", "y", "lead", 0.0, 120.0).collect()}
+    want = {(k, n): v for k in [*range(40), None, 99] for n, v in flowing([r[1:] for r in rows + long_ if r[0] == k], 0.0, 120.0).items()}
+    assert got == want
