@@ -88,7 +88,8 @@ def bib(whole: DataFrame) -> DataFrame:
     names = F.transform(F.regexp_extract_all("value", pattern, F.lit(1)), F.lower)
     values = F.transform(F.regexp_extract_all("value", pattern, F.lit(2)), X.collapse)
     pairs = F.arrays_zip(names.alias("n"), values.alias("v"))
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["n"] == x["n"]))
+    last = lambda p: F.filter(p, lambda x, i: ~F.exists(F.slice(p, i + 2, F.size(p)), lambda y: y["n"] == x["n"]))
+    last = F.flatten(F.transform(F.array(pairs), last))  # pairs bound once: in a lambda that names a column it would be found anew for each field
     rows = whole.withColumn("key", F.regexp_extract("value", r"@\w+\s*\{\s*([^,\s]+)\s*,", 1)).where("key <> ''")
     return rows.select("file", "key", F.map_from_entries(F.transform(last, lambda x: F.struct(x["n"].alias("key"), x["v"].alias("value")))).alias("fields"))
 

@@ -130,3 +130,9 @@ def test_stream_appends_once(spark, tmp_path):
         spark.createDataFrame([(2, "x"), (3, "y")], "id long, v string").write.mode("append").parquet(str(src))
     ingest.append(ingest.read(spark, str(src), "id long, v string"), out, str(tmp_path / "cp"), ["id"]).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_bib_fields_are_found_once(spark):
+    rows = readers.bib(spark.createDataFrame([("f", "@a{k, t = {x}, T = {y}, u = {z}}")], "file string, value string"))
+    assert rows.first().fields == {"t": "y", "u": "z"}
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2  # names and values, not anew for each field
