@@ -79,16 +79,16 @@ def blocks(spans: DataFrame, cut=cut_) -> DataFrame:
     text = spans.where(quote_text()).select("file", "page", "line_no", "x", "y", "w", "size")
     low = F.greatest(F.col("close_y"), F.col("open_y")) + 60.0
     rows = pairs.join(text, ["file", "page"]).where(F.col("y").between(F.col("open_y") - 2.0, low) & (F.col("x") >= F.col("open_x") + 4.0))
-    rows = sequence.chained_groups(rows, ["file", "open"], ["y", "x", "line_no"], "y", BREAK, "_g").where("_g = 1").drop("_g")
-    return sequence.anchored_groups(rows, ["file", "open"], ["y", "x", "line_no"], "y", 1.0, "row")
+    rows = sequence.chained_groups(rows, ["file", "page", "open"], ["y", "x", "line_no"], "y", BREAK, "_g").where("_g = 1").drop("_g")
+    return sequence.anchored_groups(rows, ["file", "page", "open"], ["y", "x", "line_no"], "y", 1.0, "row")
 
 
 def neighbours(spans: DataFrame, extents: DataFrame) -> DataFrame:
     """extents (file, page, open, top, bottom) with above and below: the heights of the nearest text over and under each."""
     text = spans.where(~F.col("text").isin("", OPEN, CLOSE) & (F.col("color") != PAGE["grey"]) & F.col("y").between(PAGE["top"], PAGE["bottom"])).select("file", "page", F.col("y").alias("_y"))
     far = extents.join(text, ["file", "page"], "left")
-    found = far.groupBy("file", "open").agg(F.max(F.when(F.col("_y") < F.col("top"), F.col("_y"))).alias("above"), F.min(F.when(F.col("_y") > F.col("bottom"), F.col("_y"))).alias("below"))
-    return extents.join(found, ["file", "open"])
+    found = far.groupBy("file", "page", "open").agg(F.max(F.when(F.col("_y") < F.col("top"), F.col("_y"))).alias("above"), F.min(F.when(F.col("_y") > F.col("bottom"), F.col("_y"))).alias("below"))
+    return extents.join(found, ["file", "page", "open"])
 
 
 def shift_within(least: Column, most: Column) -> Column:
@@ -103,21 +103,22 @@ def planned(spans: DataFrame, cut=cut_) -> tuple[DataFrame, DataFrame]:
     (file, page, open, rows, shift, tight_above, tight_below: the gaps that are too small, else null).
 
     Rows are centred, one lead below the other; the block moves up or down by the least that leaves a gap to its neighbours."""
+    spans = cut(spans.select("file", "page", "line_no", "x", "y", "w", "size", "color", "font", "text"))  # read four times
     lines = cut(blocks(spans, cut))
     first = F.min(F.struct("y", "x", "line_no", "size"))
     rows = lines.groupBy("file", "page", "open", "row").agg(F.min("x").alias("left"), F.max(F.col("x") + F.col("w")).alias("right"), first["y"].alias("row_y"), first["size"].alias("row_size"))
-    step = F.col("row_y") - F.lag("row_y").over(Window.partitionBy("file", "open").orderBy("row"))
+    step = F.col("row_y") - F.lag("row_y").over(Window.partitionBy("file", "page", "open").orderBy("row"))
     rows = cut(rows.withColumn("_step", F.when(step.between(*LINES), step)))
     whole = rows.groupBy("file", "page", "open").agg(F.count(F.lit(1)).alias("rows"), F.min("row_y").alias("top"), F.coalesce(F.min("_step"), F.min_by("row_size", "row") * 1.22).alias("_l"))
     whole = whole.withColumn("lead", F.greatest(F.lit(LEADS[0]), F.least(F.lit(LEADS[1]), "_l"))).drop("_l")
-    ends = lines.groupBy("file", "open").agg(F.max("y").alias("bottom"))
-    whole = neighbours(spans, whole.join(ends, ["file", "open"]))
+    ends = lines.groupBy("file", "page", "open").agg(F.max("y").alias("bottom"))
+    whole = neighbours(spans, whole.join(ends, ["file", "page", "open"]))
     foot = F.col("top") + F.col("lead") * F.col("rows")
     least, most = F.coalesce(F.col("above") + GAP - F.col("top"), F.lit(-999.0)), F.coalesce(F.col("below") - GAP - foot, F.lit(999.0))
     whole = cut(whole.withColumn("shift", shift_within(least, most)))
     over_, under = F.col("top") + F.col("shift") - F.col("above"), F.col("below") - foot - F.col("shift")
     report = whole.select("file", "page", "open", "rows", "shift", F.when(over_ < GAP, over_).alias("tight_above"), F.when(under < GAP, under).alias("tight_below"))
-    text = lines.join(rows.select("file", "open", "row", "left", "right"), ["file", "open", "row"]).join(whole.select("file", "open", "top", "lead", "shift", "rows"), ["file", "open"])
+    text = lines.join(rows.select("file", "page", "open", "row", "left", "right"), ["file", "page", "open", "row"]).join(whole.select("file", "page", "open", "top", "lead", "shift", "rows"), ["file", "page", "open"])
     text = text.withColumns({"new_x": F.col("x") + PAGE["centre"] - (F.col("left") + F.col("right")) / 2, "new_y": F.col("top") + F.col("shift") + F.col("lead") * (F.col("row") - 1)})
     frame = text.groupBy("file", "page", "open", "close", "open_x", "open_y", "close_x", "close_y").agg(F.min("new_x").alias("l"), F.max(F.col("new_x") + F.col("w")).alias("r"), F.min("new_y").alias("t"), F.max(F.col("top") + F.col("shift") + F.col("lead") * (F.col("rows") - 1)).alias("b"))
     mark = lambda n, x, y: F.struct(F.col(n).alias("line_no"), F.col(f"{n}_x").alias("x"), F.col(f"{n}_y").alias("y"), x.alias("new_x"), y.alias("new_y"))
