@@ -40,18 +40,18 @@ def lines(spans: DataFrame, text: Column | None = None, **how) -> DataFrame:
     spans' text as plain text (TeX commands rewritten, if not given)."""
     rows = spans.withColumn("text", tex.tex_text(F.col("text"), tex.RUNNING) if text is None else text)
     rows = rows.withColumn("role", role(F.col("text"), **how)).where("role is not null")
-    rows = sequence.until_stop(rows, ["file"], ["line_no"], F.col("role") == "stop")
     w = Window.partitionBy("file").orderBy("page", "y", "x", "line_no")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)  # in the order that lines need, so that rows are sorted once
+    rows = rows.withColumn("_stop", F.min(F.when(F.col("role") == "stop", F.col("line_no"))).over(whole)).where("_stop is null or line_no < _stop").drop("_stop")
     last = lambda c: F.lag(c).over(w)
     same = (F.col("page") == last("page")) & (F.col("role") == last("role")) & (F.abs(F.col("y") - last("y")) <= SAME_LINE)
     rows = rows.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("int")).withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    own = Window.partitionBy("file", "_g").orderBy("x", "line_no")
-    before = F.right(F.lag("text").over(own), F.lit(1))
-    first = F.left("text", F.lit(1))
-    tight = before.isin(" ", *TIGHT_BEFORE) | first.isin(" ", *TIGHT_BEHIND)
-    rows = rows.withColumn("_piece", F.concat(F.when(before.isNull() | tight, "").otherwise(" "), "text"))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("x", "line_no", "_piece"))), lambda p: p["_piece"])
-    out = rows.groupBy("file", "_g", "role").agg(F.max("page").alias("page"), F.max("y").alias("y"), F.trim(F.regexp_replace(F.array_join(parts, ""), r"\s+", " ")).alias("text")).where("text <> ''")
+    pieces = F.array_sort(F.collect_list(F.struct("x", "line_no", "text")))
+    rows = rows.groupBy("file", "_g", "role").agg(F.max("page").alias("page"), F.max("y").alias("y"), pieces.alias("_p"))
+    before = lambda i: F.right(F.get("_p", i - 1)["text"], F.lit(1))
+    tight = lambda p, i: before(i).isin(" ", *TIGHT_BEFORE) | F.left(p["text"], F.lit(1)).isin(" ", *TIGHT_BEHIND)
+    parts = F.transform("_p", lambda p, i: F.concat(F.when(before(i).isNull() | tight(p, i), "").otherwise(" "), p["text"]))
+    out = rows.withColumn("text", F.trim(F.regexp_replace(F.array_join(parts, ""), r"\s+", " "))).where("text <> ''")
     return out.withColumn("line", F.row_number().over(Window.partitionBy("file").orderBy("_g")).cast("long")).select("file", "line", "page", "y", "role", "text")
 
 

@@ -67,3 +67,18 @@ def test_render_status(spark):
     assert [got[i][1] for i in range(14)] == want and [got[i][0] for i in (0, 12)] == ["no", "yes"]
     assert run(one(b=["quiet", "short"]))[12] == ("no", "current_profile_failed:b:quiet,short")
     assert run(one(a=None))[12] == ("no", "current_profile_missing:a") and run(one(a=None))[7][1] == "manifest_duration_mismatch"
+
+
+def test_lines_are_sorted_once_and_stay_out_of_python(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lectern.functions import tex
+    from lectern.operators import interviews
+    from lectern.plans import interviewing
+
+    spark.createDataFrame([(1, "a b c d e"), (2, "f? ")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = interviews.lines(interviewing._pages(spark, str(tmp_path)), tex.without_tex(F.col("text"), tex.RUNNING)).drop("line")
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window ") == 3  # all in the order of lines; the pieces of a line are an array
+    for q in (interviewing.s03_visual_lines, interviewing.s03_visual_units):
+        assert "Python" not in q(spark, str(tmp_path))._jdf.queryExecution().sparkPlan().toString()
