@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import decontaminate, mix, neardup, quality, queries
-from lectern.llm.common import discard, materialise, table
+from lectern.llm.common import TEXTS, batches_of, discard, materialise, table
 
 #: Shares of tokens that the domains of the labelled table should have, and the tokens in all, as a multiple of
 #: what there is. Rates go from zero up: a domain that is over its share loses documents. What of the low
@@ -49,7 +49,9 @@ def _beside(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """docs but for the rows with these keys."""
-    return _beside(docs, materialise(keys.select("key").distinct(), "drop"), "left_anti").select("row.*")
+    with batches_of(docs.sparkSession, TEXTS):
+        drop = materialise(keys.select("key").distinct(), "drop")
+    return _beside(docs, drop, "left_anti").select("row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ HEADER = 16
 #: Words that a worker keeps the ids of. The first ones stay: frequent words come early, and rare ones aren't worth a place.
 CACHE = 300_000
 #: Characters of text that are encoded at once, that a bucket has about, and that a task has about.
-AT_ONCE, BUCKET_CHARS, TASK_CHARS = 4_000_000, 2_000_000, 16_000_000
+AT_ONCE, BUCKET_CHARS, TASK_CHARS = 1_000_000, 2_000_000, 8_000_000
 _M64 = (1 << 64) - 1
 
 
@@ -187,7 +187,8 @@ def tokenize(docs: DataFrame, tokenizer: str, seq_len: int, id_col: str = "doc_i
                 kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((part, place, doc, seq, n, z), kinds, strict=True)], names)
 
-    return common.materialise(dealt.mapInArrow(run, "part int, place long, doc long, seq int, n int, z binary"), "sequences")
+    with common.batches_of(docs.sparkSession, common.TEXTS):
+        return common.materialise(dealt.mapInArrow(run, "part int, place long, doc long, seq int, n int, z binary"), "sequences")
 
 
 def assign(sequences: DataFrame, key: int) -> tuple[DataFrame, int]:
@@ -252,7 +253,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, seq_len: int = 512,
         # ranges of shards by arithmetic: slots are even, so no sample of the rows is needed to cut them
         own = own.repartitionById(n, F.expr(f"cast((shard - {first}) * {n} div {last - first} as int)")).sortWithinPartitions("shard", "slot")
         out = own.select("shard", "doc", "seq", "n", "z").mapInArrow(record, "shard long, value binary")
-        out.select("shard", F.col("value").cast("string").alias("value")).write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").text(own_path)
+        with common.batches_of(spark, common.TEXTS):
+            out.select("shard", F.col("value").cast("string").alias("value")).write.mode("overwrite").partitionBy("shard").option("lineSep", "\n").text(own_path)
         del own, out
         common.release(spark)
     common.discard(sequences)

@@ -101,3 +101,19 @@ def test_scores_of_string_keys_are_hashed(spark):
     scored = mix._score(rows, model, 2)
     assert "SortAggregate" not in scored._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, scored.collect()), key=str) == [("a", 3, 2, 1.0, -2.0), ("a", 3, 2, 1.0, -2.0), (None, 0, 0, 0.0, 0.0)]
+
+
+def test_few_texts_go_to_python_at_once(spark, monkeypatch):
+    """A batch of texts is in memory several times; the token stage and what stages drop are written in small ones."""
+    name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, common.materialise
+
+    def watched(df, tag, *a):
+        seen[tag] = int(spark.conf.get(name))
+        return write(df, tag, *a)
+
+    monkeypatch.setattr(common, "materialise", watched)
+    monkeypatch.setattr(C, "materialise", watched)
+    docs, before = spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id long, text string"), spark.conf.get(name)
+    materialise.tokenize(docs, chat.tokenizer_path("byte_bpe_multi_50k.tiktoken"), 8)
+    assert C._without(docs, docs.where("doc_id = 1").select(C._key(docs).alias("key"))).count() == 1
+    assert max(seen["sequences"], seen["drop"]) <= 1000 and spark.conf.get(name) == before
