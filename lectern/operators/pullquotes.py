@@ -39,16 +39,17 @@ def matched_marks(spans: DataFrame, cut=cut_) -> DataFrame:
     height that no opener before it takes."""
     near = (F.col("close") > F.col("open")) & (F.col("close_y") - F.col("open_y")).between(-ABOVE, BELOW)
     pairs = cut(_marks(spans, OPEN, "open").join(_marks(spans, CLOSE, "close"), ["file", "page"]).where(near))
-    page = Window.partitionBy("file", "page")
-    counted = pairs.withColumn("_n", F.count(F.lit(1)).over(page))
-    full = cut(counted.where(F.col("_n") > FOLD_PAIRS).drop("_n"))
-    few = matched_by_fold(counted.where(F.col("_n") <= FOLD_PAIRS).drop("_n"))
-    return few if full.isEmpty() else few.unionByName(matched_in_rounds(full, cut))
+    full = cut(pairs.groupBy("file", "page").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FOLD_PAIRS).select("file", "page"))
+    if full.isEmpty():
+        return matched_by_fold(pairs)
+    few = matched_by_fold(pairs.join(full, ["file", "page"], "left_anti"))
+    return few.unionByName(matched_in_rounds(cut(pairs.join(full, ["file", "page"], "left_semi")), cut))
 
 
 def matched_by_fold(pairs: DataFrame) -> DataFrame:
     """A page's openers in order, each with its closers from the nearest on; the closers taken so far go along."""
     offer = F.array_sort(F.collect_list(F.struct(F.abs(F.col("close_y") - F.col("open_y")).alias("d"), "close", "close_x", "close_y")))
+    pairs = pairs.repartition("file", "page")  # for openers and pages alike
     opened = pairs.groupBy("file", "page", "open", "open_x", "open_y").agg(offer.alias("offers"))
     whole = opened.groupBy("file", "page").agg(F.array_sort(F.collect_list(F.struct("open", "open_x", "open_y", "offers"))).alias("l"))
     best = lambda a, o: F.get(F.filter(o["offers"], lambda c: ~F.exists(a, lambda t: t["c"]["close"] == c["close"])), F.lit(0))
@@ -80,7 +81,7 @@ def blocks(spans: DataFrame, cut=cut_) -> DataFrame:
     low = F.greatest(F.col("close_y"), F.col("open_y")) + 60.0
     rows = pairs.join(text, ["file", "page"]).where(F.col("y").between(F.col("open_y") - 2.0, low) & (F.col("x") >= F.col("open_x") + 4.0))
     rows = sequence.chained_groups(rows, ["file", "page", "open"], ["y", "x", "line_no"], "y", BREAK, "_g").where("_g = 1").drop("_g")
-    return sequence.anchored_groups(rows, ["file", "page", "open"], ["y", "x", "line_no"], "y", 1.0, "row")
+    return sequence.anchored_groups(rows, ["file", "page", "open"], ["y", "x", "line_no"], "y", 1.0, "row", placed=True)
 
 
 def neighbours(spans: DataFrame, extents: DataFrame) -> DataFrame:
@@ -106,19 +107,21 @@ def planned(spans: DataFrame, cut=cut_) -> tuple[DataFrame, DataFrame]:
     spans = cut(spans.select("file", "page", "line_no", "x", "y", "w", "size", "color", "font", "text"))  # read four times
     lines = cut(blocks(spans, cut))
     first = F.min(F.struct("y", "x", "line_no", "size"))
-    rows = lines.groupBy("file", "page", "open", "row").agg(F.min("x").alias("left"), F.max(F.col("x") + F.col("w")).alias("right"), first["y"].alias("row_y"), first["size"].alias("row_size"))
+    rows = lines.repartition("file", "page", "open")  # for the rows of a block and their steps alike
+    rows = rows.groupBy("file", "page", "open", "row").agg(F.max("y").alias("bottom"), first["y"].alias("row_y"), first["size"].alias("row_size"))
     step = F.col("row_y") - F.lag("row_y").over(Window.partitionBy("file", "page", "open").orderBy("row"))
-    rows = cut(rows.withColumn("_step", F.when(step.between(*LINES), step)))
-    whole = rows.groupBy("file", "page", "open").agg(F.count(F.lit(1)).alias("rows"), F.min("row_y").alias("top"), F.coalesce(F.min("_step"), F.min_by("row_size", "row") * 1.22).alias("_l"))
+    rows = rows.withColumn("_step", F.when(step.between(*LINES), step))
+    whole = rows.groupBy("file", "page", "open").agg(F.count(F.lit(1)).alias("rows"), F.max("bottom").alias("bottom"), F.min("row_y").alias("top"), F.coalesce(F.min("_step"), F.min_by("row_size", "row") * 1.22).alias("_l"))
     whole = whole.withColumn("lead", F.greatest(F.lit(LEADS[0]), F.least(F.lit(LEADS[1]), "_l"))).drop("_l")
-    ends = lines.groupBy("file", "page", "open").agg(F.max("y").alias("bottom"))
-    whole = neighbours(spans, whole.join(ends, ["file", "page", "open"]))
+    whole = neighbours(spans, cut(whole))
     foot = F.col("top") + F.col("lead") * F.col("rows")
     least, most = F.coalesce(F.col("above") + GAP - F.col("top"), F.lit(-999.0)), F.coalesce(F.col("below") - GAP - foot, F.lit(999.0))
     whole = cut(whole.withColumn("shift", shift_within(least, most)))
     over_, under = F.col("top") + F.col("shift") - F.col("above"), F.col("below") - foot - F.col("shift")
     report = whole.select("file", "page", "open", "rows", "shift", F.when(over_ < GAP, over_).alias("tight_above"), F.when(under < GAP, under).alias("tight_below"))
-    text = lines.join(rows.select("file", "page", "open", "row", "left", "right"), ["file", "page", "open", "row"]).join(whole.select("file", "page", "open", "top", "lead", "shift", "rows"), ["file", "page", "open"])
+    same = Window.partitionBy("file", "page", "open", "row")
+    text = lines.repartition("file", "page", "open").withColumns({"left": F.min("x").over(same), "right": F.max(F.col("x") + F.col("w")).over(same)})
+    text = text.join(whole.select("file", "page", "open", "top", "lead", "shift", "rows"), ["file", "page", "open"])
     text = text.withColumns({"new_x": F.col("x") + PAGE["centre"] - (F.col("left") + F.col("right")) / 2, "new_y": F.col("top") + F.col("shift") + F.col("lead") * (F.col("row") - 1)})
     frame = text.groupBy("file", "page", "open", "close", "open_x", "open_y", "close_x", "close_y").agg(F.min("new_x").alias("l"), F.max(F.col("new_x") + F.col("w")).alias("r"), F.min("new_y").alias("t"), F.max(F.col("top") + F.col("shift") + F.col("lead") * (F.col("rows") - 1)).alias("b"))
     mark = lambda n, x, y: F.struct(F.col(n).alias("line_no"), F.col(f"{n}_x").alias("x"), F.col(f"{n}_y").alias("y"), x.alias("new_x"), y.alias("new_y"))

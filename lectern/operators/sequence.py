@@ -64,9 +64,10 @@ def chained_groups(df: DataFrame, keys: list[str], order: list[str], value: str,
     return df.withColumn(name, F.sum("_n").over(running(keys, order)).cast("long")).drop("_n")
 
 
-def anchored_groups(df: DataFrame, keys: list[str], order: list[str], value: str, gap: float, name: str) -> DataFrame:
+def anchored_groups(df: DataFrame, keys: list[str], order: list[str], value: str, gap: float, name: str, placed: bool = False) -> DataFrame:
     """A new group where a value is over gap from the first of the current group: each group's extent depends on
-    where it began, so rows are numbered in one pass over them in order. Only the current anchor is held."""
+    where it began, so rows are numbered in one pass over them in order. Only the current anchor is held.
+    placed: df comes from a window over these keys, so that a key's rows are in one partition and aren't shuffled again."""
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
     at, own = df.columns.index(value), [df.columns.index(k) for k in keys]
 
@@ -82,7 +83,8 @@ def anchored_groups(df: DataFrame, keys: list[str], order: list[str], value: str
                 out.append(group)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], schema.names)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *[c for c in order if c not in keys]).mapInArrow(run, schema)
+    rows = df if placed else df.repartition(*keys)
+    return rows.sortWithinPartitions(*keys, *[c for c in order if c not in keys]).mapInArrow(run, schema)
 
 
 def run_blocks(df: DataFrame, keys: list[str], order: str, role: str, text: str, separator: str = " ") -> DataFrame:

@@ -1,11 +1,12 @@
 """Blocks of pull quotes, their plan and what is brought back from the next page, against plain loops over pages."""
 
 import random
+import re
 from collections import defaultdict
 
 import pytest
 
-from lectern.operators import boxes, pullquotes as Q
+from lectern.operators import boxes, pullquotes as Q, sequence
 from lectern.plans import layouts
 from lectern.plans.derived import quoted
 
@@ -178,3 +179,15 @@ def test_boxes(spark):
     held = {(p.i, r[1]) for p in points.collect() for r in rows if p.x is not None and None not in r[2:6] and r[0] == p.file and r[2] <= p.x <= r[2] + r[4] and r[3] <= p.y <= r[3] + r[5]}
     assert {(r.i, r.box.n) for r in boxes.inside(points, df, ["file"]).collect()} == held and held
     assert boxes.overlaps(df.limit(0), ["file"], "n").count() == 0
+
+
+def test_a_plan_moves_its_spans_once_for_each_step(spark):
+    """Neighbouring steps over blocks share a shuffle: marks by page, lines by block."""
+    pairs = spark.createDataFrame([("f", 1, 1, 0.0, 0.0, 2, 1.0, 1.0)], "file string, page long, open long, open_x double, open_y double, close long, close_x double, close_y double")
+    rows = spark.createDataFrame([("f", 1, 1, float(i // 2), i) for i in range(6)], "file string, page long, open long, y double, line_no long")
+    keys = ["file", "page", "open"]
+    grouped = sequence.anchored_groups(sequence.chained_groups(rows, keys, ["y", "line_no"], "y", 5.0, "_g"), keys, ["y", "line_no"], "y", 0.5, "row", placed=True)
+    for df in (Q.matched_by_fold(pairs), grouped):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+    assert sorted((r.line_no, r.row) for r in grouped.collect()) == [(i, i // 2 + 1) for i in range(6)]
